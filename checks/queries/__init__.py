@@ -1 +1 @@
-from checks.queries import aggregates  # noqa: F401
+from checks.queries import aggregates, joins, scalars, windows  # noqa: F401
