@@ -1 +1,3 @@
-from checks.queries import aggregates, joins, scalars, windows  # noqa: F401
+from checks.queries import (  # noqa: F401
+    aggregates, charts, evaluation, features, joins, quality, scalars, windows,
+)

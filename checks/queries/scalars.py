@@ -161,10 +161,9 @@ def _(t):
 @query("to_date_parse", """
 SELECT event_id, CAST(ts AS DATE) AS day, CAST(NULL AS DATE) AS bad FROM events""")
 def _(t):
-    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return t.raw("events").withColumn("text", F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")) \
-        .select("event_id", S.parse_date("text").alias("day"),
-                S.parse_date(F.concat(F.lit("x"), F.col("text"))).alias("bad"))
+    rows = t.raw("events").withColumn("text", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return rows.select("event_id", S.parse_date("text").alias("day"),
+                       S.parse_date(F.concat(F.lit("x"), F.col("text"))).alias("bad"))
 
 
 @query("format_month", "SELECT DISTINCT date, strftime(date, '%b') AS month_name FROM lines")

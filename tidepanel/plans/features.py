@@ -44,7 +44,8 @@ def add_interactions(df: DataFrame) -> DataFrame:
 
 def feature_frame(df: DataFrame, spec: PanelSpec, lags: bool = True, rolling: bool = True,
                   seasonal: bool = True, interactions: bool = True, normalization: bool = True,
-                  leak_free: bool = False, train_until: str | None = None) -> DataFrame:
+                  leak_free: bool = False, train_until: str | None = None,
+                  zscore_digits: int = 3) -> DataFrame:
     """All feature groups; every row is kept.
 
     Lags and rolling columns share one window, hence one exchange and one sort.
@@ -68,7 +69,7 @@ def feature_frame(df: DataFrame, spec: PanelSpec, lags: bool = True, rolling: bo
         df = add_interactions(df)
     if normalization:
         fit = filters.before(df, spec.time, train_until) if train_until else None
-        df = W.add_zscore(df, spec, t, fit=fit)
+        df = W.add_zscore(df, spec, t, zscore_digits, fit)
         if leak_free:
             df = _lagged_zscore(df, spec)
     return df
