@@ -31,8 +31,13 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def append_unique(incoming: DataFrame, path: str, key: Sequence[str]) -> None:
-    """Append the rows whose key the stored table lacks; repeating a load adds nothing."""
+def append_unique(incoming: DataFrame, path: str, key: Sequence[str],
+                  time: str | None = None) -> None:
+    """Append the rows whose key the stored table lacks; repeating a load adds nothing.
+
+    With ``time`` only the incoming rows' time range of the stored table is read: its
+    file statistics skip the rest.
+    """
     spark = incoming.sparkSession
     try:
         target = spark.read.parquet(path)
@@ -40,6 +45,13 @@ def append_unique(incoming: DataFrame, path: str, key: Sequence[str]) -> None:
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
         target = None
+    if target is not None and time is not None:
+        ends = incoming.agg(F.min(time).alias("a"), F.max(time).alias("b")).first()
+        if ends["a"] is None:
+            return
+        kind = target.schema[time].dataType
+        target = target.where(F.col(time).between(F.lit(ends["a"]).cast(kind),
+                                                  F.lit(ends["b"]).cast(kind)))
     append(new_rows(incoming, target, key), path)
 
 
