@@ -442,7 +442,7 @@ def _(t):
 
 
 @query("load_entity_series", f"""
-SELECT city, date AS ds, {r('aqi')} AS y FROM lines
+SELECT city, CAST(date AS DATE) AS ds, {r('aqi')} AS y FROM lines
 WHERE city = 'A' AND aqi IS NOT NULL AND NOT is_synthetic""")
 def _(t):
     return fixed(FL.entity_series(t.lines, PANEL, ["A"]))
@@ -506,9 +506,9 @@ def _(t):
 
 
 @query("flt_threshold", f"""
-SELECT city, model, {r('mape')} AS mape FROM metrics WHERE mape < 1000 AND mape > 25""")
+SELECT city, model, {r('mape')} AS mape FROM metrics WHERE mape < 1000 AND mape > 1""")
 def _(t):
-    return fixed(FL.above(FL.below(t.metrics, "mape", 1000), "mape", 25)
+    return fixed(FL.above(FL.below(t.metrics, "mape", 1000), "mape", 1)
                  .select("city", "model", "mape"))
 
 

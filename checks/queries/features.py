@@ -37,16 +37,32 @@ def _(t):
     return fixed(P.add_interactions(t.daily).drop(*MEASURES))
 
 
-@query("feat_pipeline", f"""
+_FRAME = f"""
 SELECT city, date, {_KEEP}, {_CAL}, {_LAGGED}, {rolls(('aqi', 'pm2_5'), (3, 7, 30), 'date')},
        {_TERMS}, {r('(aqi - avg(aqi) OVER c) / CASE WHEN stddev_samp(aqi) OVER c = 0 THEN 1 ELSE stddev_samp(aqi) OVER c END', 3)} AS aqi_city_zscore
-FROM daily WINDOW c AS (PARTITION BY city)""")
+FROM daily WINDOW c AS (PARTITION BY city)"""
+
+
+@query("feat_pipeline", _FRAME)
 def _(t):
     out = fixed(P.feature_frame(t.daily, PANEL, zscore_digits=9), skip=("aqi_city_zscore",))
     return out.withColumn("aqi_city_zscore", F.round(F.col("aqi_city_zscore") + 1e-9, 3))
 
 
-@query("prj_feature_groups")
+_GROUPS = {
+    "temporal": ["month_sin", "month_cos", "dow_sin", "dow_cos", "day_of_week", "month", "quarter",
+                 "is_weekend"],
+    "lags": [f"{c}_lag{n}" for c in ("aqi", "pm2_5", "no2", "co") for n in (1, 2, 3, 7)],
+    "rolling": [f"{c}_roll{n}_{s}" for c in ("aqi", "pm2_5") for n in (3, 7, 30)
+                for s in ("mean", "std", "max")],
+    "interactions": ["pm25_pm10_ratio", "no2_co_product", "primary_secondary", "no2_so2_sum"],
+    "normalization": ["aqi_city_zscore"],
+}
+
+
+@query("prj_feature_groups", f"WITH frame AS ({_FRAME}) " + " UNION ALL ".join(
+    f"SELECT '{g}' AS feature_group, '{c}' AS feature, count({c}) AS n FROM frame"
+    for g, cs in _GROUPS.items() for c in cs))
 def _(t):
     return FL.feature_group_table(P.feature_frame(t.daily, PANEL))
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import query
+from checks.registry import fixed, query
+from checks.sqltext import r
 from checks.tables import CUTOFF, PANEL, SERIES
 from tidepanel.models import registry, trees, trend
 from tidepanel.models.trend import TrendModel
 from tidepanel.operators import evaluation as E
 from tidepanel.operators import filters as FL
-from tidepanel.plans import dataset as D
-from tidepanel.plans import features as P
 from tidepanel.plans import forecasting as FC
 from tidepanel.session import shared_dir
 
@@ -22,8 +21,7 @@ HORIZON = 365 * 2
 
 
 def _prepared(t):
-    frame = P.feature_frame(t.daily, PANEL, leak_free=True, train_until=CUTOFF)
-    return D.prepare(frame, PANEL, FC.safe_features(frame, PANEL), CUTOFF)
+    return FC.training_rows(t.daily, PANEL, CUTOFF)
 
 
 @query("model_gbt")
@@ -89,9 +87,17 @@ def _(t):
     return trend.regressor_effects(trend.fit(_with_weather(t), SERIES, m), SERIES, m)
 
 
-@query("linear_effects")
+_MOMENTS = """
+SELECT covar_pop(aqi, no2) AS ya, covar_pop(aqi, pm2_5) AS yb, var_pop(no2) AS va, var_pop(pm2_5) AS vb,
+       covar_pop(no2, pm2_5) AS ab FROM lines WHERE no2 IS NOT NULL"""
+
+
+@query("linear_effects", f"""
+SELECT regressor, {r('coef')} AS coef, CASE WHEN coef > 0 THEN 'increases' ELSE 'decreases' END AS direction
+FROM (SELECT 'no2' AS regressor, (ya * vb - yb * ab) / (va * vb - ab * ab) AS coef FROM ({_MOMENTS})
+      UNION ALL SELECT 'pm2_5', (yb * va - ya * ab) / (va * vb - ab * ab) FROM ({_MOMENTS}))""")
 def _(t):
-    return trees.linear_effects(t.lines, ["pm2_5", "no2", "co"], "aqi")
+    return fixed(trees.linear_effects(t.lines, ["no2", "pm2_5"], "aqi"))
 
 
 @query("forecast_entity")
@@ -179,6 +185,21 @@ def _(t):
         "entity", "model_type", "target", "size_kb", "trained_at")
 
 
+@query("sink_model")
+def _(t):
+    """A saved and reloaded model predicts the test rows as the fitted one does."""
+    rows, kept = _prepared(t)
+    root = shared_dir(t.spark, "models")
+    model = trees.fit(rows.where("split = 'train'"), kept, "aqi", "gbt", QUICK_GBT)
+    registry.save_model(t.spark, root, model, "all places", "aqi", kept)
+    back = registry.load_model(t.spark, root, "all places")
+    test = rows.where("split = 'test'")
+    again = trees.predict(back, test, PANEL).withColumnRenamed("yhat", "again")
+    both = trees.predict(model, test, PANEL).join(again.select("city", "ds", "again"), ["city", "ds"])
+    return both.groupBy("city").agg(F.count("*").alias("n"),
+                                    F.max(F.abs(F.col("yhat") - F.col("again"))).alias("difference"))
+
+
 @query("bucket_classes")
 def _(t):
     """Six-level classification of the next reading's level from leak-free features."""

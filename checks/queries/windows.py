@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import fixed, query
 from checks.sqltext import r
-from checks.tables import CUTOFF, EVENTS, HOURS, PANEL, SERIES
+from checks.tables import CUTOFF, EVENTS, PANEL, SERIES
 from tidepanel.operators import windows as W
 
 _W = "PARTITION BY city ORDER BY date"
@@ -100,26 +100,26 @@ def _(t):
     return fixed(W.rolling_calendar(t.series, SERIES, "y", 7).drop("y"))
 
 
-_GAPS = """
-SELECT city, {hours} AS gap_hours FROM
- (SELECT city, datetime, lag(datetime) OVER (PARTITION BY city ORDER BY datetime) AS prev
-  FROM {table} WHERE aqi IS NOT NULL) WHERE {hours} > 2"""
-_HOURS = "epoch_us(datetime) / 3600000000e0 - epoch_us(prev) / 3600000000e0"
-_EXACT = "(epoch_us(datetime) - epoch_us(prev)) / 3600000000e0"
+def _gaps(entity: str, hours: int) -> str:
+    length = "(epoch_us(datetime) - epoch_us(prev)) / 3600000000e0"
+    return f"""
+SELECT {entity}, count(*) AS gaps, {r(f'max({length})')} AS largest, {r(f'sum({length})')} AS total
+FROM (SELECT {entity}, datetime, lag(datetime) OVER (PARTITION BY {entity} ORDER BY datetime) AS prev
+      FROM readings WHERE aqi IS NOT NULL)
+WHERE {length} > {hours} GROUP BY {entity}"""
 
 
-@query("detect_gaps", f"""
-SELECT city, count(*) AS gaps, {r('max(gap_hours)')} AS largest, {r('sum(gap_hours)')} AS total
-FROM ({_GAPS.format(hours=_EXACT, table='hourly')}) GROUP BY city""")
+@query("detect_gaps", _gaps("user_id", 2))
 def _(t):
-    return fixed(W.detect_gaps(t.hourly, HOURS))
+    """Gaps in each user's events; the window layout follows the measured size."""
+    return fixed(W.detect_gaps(t.readings, t.events_spec.with_(entity="user_id")))
 
 
-@query("detect_gaps_blocked", f"""
-SELECT city, count(*) AS gaps, {r('max(gap_hours)')} AS largest, {r('sum(gap_hours)')} AS total
-FROM ({_GAPS.format(hours=_EXACT, table='readings')}) GROUP BY city""")
+@query("detect_gaps_blocked", _gaps("user_id", 3))
 def _(t):
-    return fixed(W.detect_gaps(t.readings, EVENTS.with_(block_seconds=86_400)))
+    """Day slots scanned apart, joined by their first and last readings."""
+    spec = EVENTS.with_(entity="user_id", block_seconds=86_400)
+    return fixed(W.detect_gaps(t.readings, spec, hours=3))
 
 
 _PRED = "SELECT city, model, ds, {y} AS y, {p} AS yhat FROM {t}"

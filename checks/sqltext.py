@@ -56,7 +56,7 @@ _AQI = "(l_extendedprice / 200e0)"
 CTES = {
     # Readings per shipped line: three entities, so each holds a third of all rows.
     "lines": f"""
-SELECT l_returnflag AS city, CAST(l_shipdate AS DATE) AS date, {_AQI} AS aqi,
+SELECT l_returnflag AS city, l_shipdate AS date, {_AQI} AS aqi,
        l_quantity AS pm2_5, l_quantity + 1000e0 * l_tax AS pm10,
        100e0 * nullif(l_discount, 0) AS no2, 100e0 * nullif(l_tax, 0) AS co,
        l_extendedprice / 1000e0 AS so2, CAST(l_linenumber AS DOUBLE) AS o3,
@@ -65,8 +65,8 @@ SELECT l_returnflag AS city, CAST(l_shipdate AS DATE) AS date, {_AQI} AS aqi,
        l_suppkey % 4 = 0 AS is_synthetic, concat('source', l_suppkey % 4) AS data_source,
        l_shipdate AS ingested_at, l_suppkey AS station_id
 FROM lineitem""",
-    "daily": "SELECT city, date, " + ", ".join(
-        f"{r(f'avg({m})', 6)} AS {m}" for m in MEASURES) + " FROM lines GROUP BY city, date",
+    "daily": "SELECT city, CAST(date AS DATE) AS date, " + ", ".join(
+        f"{r(f'avg({m})', 6)} AS {m}" for m in MEASURES) + " FROM lines GROUP BY 1, 2",
     # One series per order priority.
     "series": f"""
 SELECT o_orderpriority AS city, CAST(o_orderdate AS DATE) AS ds,

@@ -37,7 +37,7 @@ class Tables:
                   .otherwise(S.aqi_bucket(aqi)))
         part = (F.col("l_suppkey") % 4)
         return self.raw("lineitem").select(
-            F.col("l_returnflag").alias("city"), F.to_date("l_shipdate").alias("date"),
+            F.col("l_returnflag").alias("city"), F.col("l_shipdate").alias("date"),
             aqi.alias("aqi"), F.col("l_quantity").alias("pm2_5"),
             (F.col("l_quantity") + F.lit(1000.0) * F.col("l_tax")).alias("pm10"),
             zero_is_null("l_discount").alias("no2"), zero_is_null("l_tax").alias("co"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,14 +79,16 @@ def spearman_pairs(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, value: str, weight: str, name: str,
-                  ranges: int = 256) -> DataFrame:
-    """(value, average rank) of weighted values, by sums per value range then within it."""
+                  ranges: int = 1024) -> DataFrame:
+    """(value, average rank) of weighted values.
+
+    Sampled quantiles split the values into ranges; weights are summed per range first,
+    then within each range. Only the cut points reach the driver.
+    """
     counts = df.groupBy(value).agg(F.sum(weight).alias("c"))
-    cuts = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 4 * ranges)
-    bounds = counts.agg(F.array_sort(F.array_distinct(cuts)).alias("b")).scalar()
-    # Values of one range share the number of cut points not above them.
-    passed = F.size(F.filter("_b", lambda cut: cut <= F.col(value)))
-    located = counts.withColumn("_b", bounds).withColumn("_g", passed).drop("_b")
+    cuts = counts.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    located = Bucketizer(splits=splits, inputCol=value, outputCol="_g").transform(counts)
     per = located.groupBy("_g").agg(F.sum("c").alias("n"))
     ahead = F.sum("n").over(
         Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1))

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles
+from tidepanel.functions.quantiles import (
+    SMALL_GROUP, approx_quantiles, exact_quantiles, small_quantiles,
+)
 from tidepanel.operators import filters
 from tidepanel.panel import PanelSpec
 from tidepanel.plans.features import feature_frame
@@ -76,13 +78,16 @@ def rolling_origins(df: DataFrame, spec: PanelSpec, initial_days: int = 1825,
 
 
 def feature_stats(train: DataFrame, features: Sequence[str], target: str,
-                  by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """(by..., measure, null_frac, median) over training rows with a target."""
+                  by: Sequence[str] = (), exact: bool = True, small: bool = False) -> DataFrame:
+    """(by..., measure, null_frac, median) over training rows with a target.
+
+    ``small`` says the rows were counted and fit one task.
+    """
     known = train.where(F.col(target).isNotNull())
     rows = known.groupBy(*by).agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c)
                                     for c in features])
     fracs = rows.unpivot(list(by), list(features), "measure", "null_frac")
-    quantiles = exact_quantiles if exact else approx_quantiles
+    quantiles = small_quantiles if small else exact_quantiles if exact else approx_quantiles
     medians = quantiles(known, list(by), list(features), [0.5]).drop("prob")
     return (fracs.join(medians, [*by, "measure"], "left")
             .withColumnRenamed("q", "median"))
@@ -102,7 +107,9 @@ def prepare(df: DataFrame, spec: PanelSpec, features: Sequence[str], cutoff: str
     """
     marked = with_split(df.where(F.col(spec.target).isNotNull()), spec, cutoff)
     train = marked.where(F.col("split") == "train")
-    stats = kept_features(feature_stats(train, features, spec.target, exact=exact), max_null)
+    small = exact and train.count() <= SMALL_GROUP
+    stats = feature_stats(train, features, spec.target, exact=exact, small=small)
+    stats = kept_features(stats, max_null)
     medians = {r["measure"]: r["median"] for r in stats.collect()}
     kept = [c for c in features if c in medians]
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in kept}

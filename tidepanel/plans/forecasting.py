@@ -15,6 +15,7 @@ from tidepanel.operators.joins import over_horizon
 from tidepanel.panel import PanelSpec
 from tidepanel.plans import dataset
 from tidepanel.plans.features import feature_frame
+from tidepanel.session import materialise
 from tidepanel.sources.readers import date_spine, future_spine
 
 # Training cutoff, forecast length, gates of the flows.
@@ -214,9 +215,7 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
         parts += [windows.moving_average(panel, spec, cutoff),
                   windows.seasonal_naive(panel, spec, cutoff)]
     if ml:
-        frame = feature_frame(panel, spec, leak_free=True, train_until=cutoff)
-        features = safe_features(frame, spec)
-        rows, kept = dataset.prepare(frame, spec, features, cutoff)
+        rows, kept = training_rows(panel, spec, cutoff)
         train = rows.where(F.col("split") == "train")
         test = rows.where(F.col("split") == "test")
         parts.append(trees.predict(trees.fit(train, kept, spec.target, "gbt", tree_params),
@@ -248,6 +247,16 @@ def safe_features(frame: DataFrame, spec: PanelSpec) -> list[str]:
     return [c for c in filters.numeric_features(frame, spec.target) if c in set(wanted)]
 
 
+def training_rows(panel: DataFrame, spec: PanelSpec, cutoff: str) -> tuple[DataFrame, list[str]]:
+    """Prepared rows and feature names for the tree models.
+
+    The feature frame is written once: medians, fits and predictions all read it, and a
+    lost executor costs a re-read, not the windows again.
+    """
+    frame = materialise(feature_frame(panel, spec, leak_free=True, train_until=cutoff), "features")
+    return dataset.prepare(frame, spec, safe_features(frame, spec), cutoff)
+
+
 def train_and_save(spark: SparkSession, panel: DataFrame, spec: PanelSpec, root: str, entity: str,
                    cutoff: str = "2019-01-01", params: Mapping[str, object] | None = None) -> str:
     """Train one entity's boosted trees and save them; returns a status.
@@ -257,8 +266,7 @@ def train_and_save(spark: SparkSession, panel: DataFrame, spec: PanelSpec, root:
     one = panel.where(F.col(spec.entity) == entity)
     if one.count() < evaluation.MIN_ROWS:
         return "insufficient_data"
-    frame = feature_frame(one, spec, leak_free=True, train_until=cutoff)
-    rows, kept = dataset.prepare(frame, spec, safe_features(frame, spec), cutoff)
+    rows, kept = training_rows(one, spec, cutoff)
     train = rows.where(F.col("split") == "train")
     if train.count() < MIN_TRAIN_CLEAN:
         return "insufficient_train"
