@@ -49,38 +49,52 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
                     probs: Sequence[float], accuracy: int = ACCURACY,
                     small_group: int = SMALL_GROUP) -> DataFrame:
     """(by..., measure, prob, q): linear interpolation between order statistics."""
-    keys = [*by, "measure"]
+    keys, x = [*by, "measure"], F.col("x")
+    probs = sorted(float(p) for p in probs)
     long = melt(df, by, measures)
-    slack = 2.0 / accuracy
+    slack, k = 2.0 / accuracy, len(probs)
     lows = [max(0.0, p - slack) for p in probs]
     highs = [min(1.0, p + slack) for p in probs]
-    n = len(probs)
-    brackets = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
-        F.percentile_approx("x", lows + highs, accuracy).alias("s"),
-    )
+    sketch = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("a"), F.max("x").alias("b"),
+        F.percentile_approx("x", lows + highs, accuracy).alias("s"))
     small = F.col("n") <= F.lit(small_group)
-    rows = [F.struct(
-        F.lit(float(p)).alias("prob"),
-        F.when(small | F.lit(lows[i] <= 0.0), F.col("lo")).otherwise(F.col("s")[i]).alias("lo"),
-        F.when(small | F.lit(highs[i] >= 1.0), F.col("hi")).otherwise(F.col("s")[n + i]).alias("hi"),
-    ) for i, p in enumerate(probs)]
-    targets = brackets.select(*keys, "n", F.inline(F.array(*rows)))
-    # One count per distinct value in a bracket, plus one row for all values below it.
-    inside = F.when(F.col("x") >= F.col("lo"), F.col("x"))
+    lo, hi = [f"lo{i}" for i in range(k)], [f"hi{i}" for i in range(k)]
+    brackets = sketch.select(
+        *keys, "n",
+        *[F.when(small | F.lit(lows[i] <= 0.0), F.col("a")).otherwise(F.col("s")[i]).alias(lo[i])
+          for i in range(k)],
+        *[F.when(small | F.lit(highs[i] >= 1.0), F.col("b")).otherwise(F.col("s")[k + i])
+          .alias(hi[i]) for i in range(k)])
+    # Values outside all brackets only count: those between the same bounds become one cell.
+    reached = sum((x >= F.col(c)).cast("int") for c in lo)
+    passed = sum((x > F.col(c)).cast("int") for c in hi)
+    inside = F.array_max(F.array(*[(x >= F.col(a)) & (x <= F.col(b)) for a, b in zip(lo, hi)]))
+    cells = (
+        long.join(brackets, keys)
+        .groupBy(*keys, reached.alias("g1"), passed.alias("g2"), F.when(inside, x).alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"), F.first("n").alias("n"),
+             *[F.first(c).alias(c) for c in lo + hi])
+    )
+    targets = F.inline(F.array(*[F.struct(
+        F.lit(p).alias("prob"), F.col(lo[i]).alias("lo"), F.col(hi[i]).alias("hi"))
+        for i, p in enumerate(probs)]))
     counted = (
-        long.join(targets, keys).where(F.col("x") <= F.col("hi"))
-        .groupBy(*keys, "prob", "n", inside.alias("x")).agg(F.count(F.lit(1)).alias("c"))
+        cells.select(*keys, "c", "x", "n", targets).where(x <= F.col("hi"))
+        .groupBy(*keys, "prob", "n", F.when(x >= F.col("lo"), x).alias("x"))
+        .agg(F.sum("c").alias("c"))
     )
-    ranked = Window.partitionBy(*keys, "prob").orderBy(F.col("x").asc_nulls_first())
+    ranked = Window.partitionBy(*keys, "prob").orderBy(x.asc_nulls_first())
     upto = F.sum("c").over(ranked.rowsBetween(Window.unboundedPreceding, 0))
     place = (F.col("n") - 1) * F.col("prob")
     first, second = F.floor(place), F.ceil(place)
-    stats = counted.withColumn("upto", upto).where(F.col("x").isNotNull())
-    holds = lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r)
+    stats = counted.withColumn("upto", upto).where(x.isNotNull())
+
+    def at(rank):
+        held = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
+        return F.max(F.when(held, x))
+
     out = stats.groupBy(*keys, "prob").agg(
-        F.max(F.when(holds(first), F.col("x"))).alias("a"),
-        F.max(F.when(holds(second), F.col("x"))).alias("b"),
-        F.max(place - first).alias("f"),
-    )
-    return out.select(*keys, "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("q"))
+        at(first).alias("a"), at(second).alias("b"), F.max(place - first).alias("f"))
+    q = F.col("a") + (F.col("b") - F.col("a")) * F.col("f")
+    return out.select(*keys, "prob", q.alias("q"))

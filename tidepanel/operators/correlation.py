@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -13,15 +13,26 @@ from tidepanel.panel import REPORTED, PanelSpec, present
 
 
 def correlation_pairs(df: DataFrame, measures: Sequence[str] = REPORTED) -> DataFrame:
-    """(a, b, r) for every ordered pair, the diagonal included."""
+    """(a, b, r) for every ordered pair, the diagonal included.
+
+    Each row becomes one row per pair of columns, combined at once in the same task; one
+    aggregate per pair column would outgrow a compiled method.
+    """
     got = present(df, measures)
-    pairs = list(combinations(got, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-                 *[F.count(c).alias(f"{c}|{c}") for c in got])
-    cell = lambda a, b, r: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
-    rows = [cell(x, y, F.col(f"{a}|{b}")) for a, b in pairs for x, y in ((a, b), (b, a))]
-    rows += [cell(c, c, F.when(F.col(f"{c}|{c}") > 1, F.lit(1.0))) for c in got]
-    return one.select(F.inline(F.array(*rows)))
+    pairs = list(combinations_with_replacement(got, 2))
+    x = lambda c: F.col(c).cast("double")
+    rows = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), x(a).alias("x"), x(b).alias("y"))
+        for i, (a, b) in enumerate(pairs)])))
+    stats = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("i").agg(
+        F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
+    name = lambda side: F.element_at(F.array(*[F.lit(p[side]) for p in pairs]), F.col("i") + 1)
+    named = stats.withColumns({"p": name(0), "q": name(1)})
+    same = F.col("p") == F.col("q")
+    r = F.when(~same, F.col("r")).when(F.col("n") > 1, F.lit(1.0)).alias("r")
+    cell = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"), r)
+    both = F.when(same, F.array(cell("p", "q"))).otherwise(F.array(cell("p", "q"), cell("q", "p")))
+    return named.select(F.inline(both))
 
 
 def correlation_matrix(df: DataFrame, measures: Sequence[str] = REPORTED,
