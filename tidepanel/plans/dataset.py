@@ -127,7 +127,7 @@ def impute_by_entity(df: DataFrame, spec: PanelSpec, features: Sequence[str], cu
         feature_stats(train, features, spec.target, [spec.entity], exact), max_null)
     wide = stats.groupBy(spec.entity).pivot("measure", list(features)).agg(F.first("median"))
     wide = wide.withColumnsRenamed({c: f"_m_{c}" for c in features})
-    out = marked.join(wide, spec.entity)
+    out = marked.join(wide, spec.entity, "left")
     fill = {c: F.when(F.col(f"_m_{c}").isNotNull(),
                       F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"))) for c in features}
     return out.withColumns(fill).drop(*[f"_m_{c}" for c in features])
