@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 from tidepanel.panel import PanelSpec
 
 YEAR = 365.25
-# Accumulators a task holds before it hands partial sums on.
-FLUSH = 512
+# Rows a task gathers per step, and accumulators it holds before handing partial sums on.
+HELD_ROWS = 50_000
+FLUSH = 2048
 
 
 @dataclass(frozen=True)
@@ -105,9 +106,23 @@ def _scaling(train: DataFrame, m: TrendModel, keys: Sequence[str]) -> DataFrame:
 
 
 def _partial_sums(keys: Sequence[str]):
-    """Per Arrow batch stream: packed sums of outer products of (design, y) per group."""
+    """Packed sums of outer products of (design, y) per group, over a task's rows."""
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
+        held: list[pd.DataFrame] = []
+
+        def take():
+            pdf = pd.concat(held) if len(held) > 1 else held[0]
+            held.clear()
+            group = pdf.groupby(list(keys), sort=False).ngroup().to_numpy()
+            order = np.argsort(group, kind="stable")
+            x = np.column_stack([np.vstack(pdf["design"].to_numpy()), pdf["v"].to_numpy()])[order]
+            names = pdf[list(keys)].to_numpy()[order]
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            upper = np.triu_indices(x.shape[1])
+            for i, j in zip(starts, [*starts[1:], len(x)]):
+                key, packed = tuple(names[i]), (x[i:j].T @ x[i:j])[upper]
+                sums[key] = sums[key] + packed if key in sums else packed
 
         def drain():
             rows = [(*k, v) for k, v in sums.items()]
@@ -115,13 +130,14 @@ def _partial_sums(keys: Sequence[str]):
             return pd.DataFrame(rows, columns=[*keys, "sums"])
 
         for pdf in batches:
-            for key, part in pdf.groupby(list(keys), sort=False):
-                x = np.column_stack([np.vstack(part["design"].to_numpy()), part["v"].to_numpy()])
-                packed = (x.T @ x)[np.triu_indices(x.shape[1])]
-                old = sums.get(key)
-                sums[key] = packed if old is None else old + packed
-            if len(sums) >= FLUSH:
-                yield drain()
+            if len(pdf):
+                held.append(pdf)
+            if sum(map(len, held)) >= HELD_ROWS:
+                take()
+                if len(sums) >= FLUSH:
+                    yield drain()
+        if held:
+            take()
         if sums:
             yield drain()
     return add
@@ -175,6 +191,7 @@ def predict(coefficients: DataFrame, dates: DataFrame, spec: PanelSpec,
     """(keys..., ds, ..., yhat, yhat_lower, yhat_upper) for each wanted row."""
     keys = list(keys or [spec.entity])
     joined = dates.join(coefficients, keys)
+    # Measured against one long sum of products, which outgrows a compiled method.
     terms = F.zip_with("beta", _design(m), lambda b, x: b * x)
     v = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) * F.col("_scale")
     z = NormalDist().inv_cdf(0.5 + m.interval / 2) * F.col("sigma") * F.col("_scale")
