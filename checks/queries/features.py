@@ -160,3 +160,11 @@ FROM (SELECT city, min(ds) AS a, max(ds) AS b FROM series GROUP BY city), range(
 WHERE b - CAST(365 + 365 * k AS INTEGER) >= a + 1095""")
 def _(t):
     return D.rolling_origins(t.series, SERIES, initial_days=1095)
+
+
+@query("entity_folds", """
+SELECT CAST(concat('0x', substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 3 AS fold,
+       count(DISTINCT user_id) AS entities, count(*) AS n FROM readings GROUP BY 1""")
+def _(t):
+    return D.entity_folds(t.readings, PANEL.with_(entity="user_id"), 3).groupBy("fold").agg(
+        F.countDistinct("user_id").alias("entities"), F.count("*").alias("n"))

@@ -158,9 +158,9 @@ def _(t):
 
 @query("evaluate_models")
 def _(t):
-    rows = FC.evaluate_models(t.daily.withColumn("is_synthetic", F.lit(False)), PANEL, CUTOFF,
-                              tree_params=QUICK_GBT, forest_params=QUICK_FOREST)
-    return E.evaluate(rows, ["city", "model"])
+    panel = t.daily.withColumn("is_synthetic", F.lit(False))
+    return FC.cross_entity_evaluation(panel, PANEL, CUTOFF, tree_params=QUICK_GBT,
+                                      forest_params=QUICK_FOREST)
 
 
 @query("forecast_naive_future")
@@ -211,3 +211,11 @@ def _(t):
                               {"numTrees": 20, "maxDepth": 6})
     out = model.transform(rows.where("split = 'test'"))
     return out.groupBy("city", "label", "level").agg(F.count("*").alias("n"))
+
+
+@query("typology")
+def _(t):
+    """Stations grouped by their mean reading of each measure."""
+    columns = ["pm2_5", "no2", "co", "aqi"]
+    profiles = t.lines.groupBy("station_id").agg(*[F.avg(c).alias(c) for c in columns]).dropna()
+    return trees.typology(profiles, "station_id", columns)

@@ -39,6 +39,14 @@ def _(t):
     return fixed(out.select("city", "date", *[c for c in out.columns if "_roll" in c]))
 
 
+@query("long_lags_and_min", f"""
+SELECT city, date, {r(f'lag(aqi, 30) OVER ({_W})')} AS aqi_lag30, {r(f'lag(aqi, 365) OVER ({_W})')} AS aqi_lag365,
+       {r(f'min(aqi) OVER ({_W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS aqi_roll7_min FROM daily""")
+def _(t):
+    rows = W.add_lags(t.daily.select("city", "date", "aqi"), PANEL, ["aqi"], [30, 365])
+    return fixed(W.add_rolling_min(rows, PANEL, ["aqi"], [7]).drop("aqi"))
+
+
 @query("add_rolling_leak_free", f"""
 SELECT city, date, {rolls(('aqi',), (7,), 'date', 1)} FROM daily""")
 def _(t):

@@ -55,6 +55,11 @@ def test_evaluate_models(panel):
     assert names == {"Moving Average", "Seasonal Naive", "Boosted Trees", "Random Forest", "Seasonal Trend"}
     assert all(got["b", m]["n_test"] == 150 for m in names)
     assert got["b", "Boosted Trees"]["mape"] < 25
+    own = FC.evaluate_models(big, SPEC, CUTOFF, baselines=False, seasonal_trend=False, tree_params=QUICK,
+                             separate=["b"])
+    # One entity has 500 training rows, which is not more than the forest's gate.
+    assert {(r["city"], r["model"]) for r in own.select("city", "model").distinct().collect()} \
+        == {("b", "Boosted Trees")}
     only = FC.evaluate_models(big, SPEC, CUTOFF, ml=False, seasonal_trend=False)
     assert only.select("model").distinct().count() == 2
 
@@ -89,3 +94,12 @@ def test_classes(spark):
     df = frame(spark, rows, "x double, label double")
     model = trees.fit_classes(df, ["x"], "label", {"numTrees": 5})
     assert model.transform(df).where(F.col("level") != F.col("label")).count() == 0
+
+
+def test_typology_separates_profiles(spark):
+    rng = random.Random(3)
+    rows = [(f"e{i}", (i % 2) * 50 + rng.random(), (i % 2) * -9 + rng.random(), rng.random()) for i in range(40)]
+    df = frame(spark, rows, "city string, a double, b double, c double")
+    got = trees.typology(df, "city", ["a", "b", "c"], groups=2).collect()
+    by_parity = {p: {r["group"] for r in got if int(r["city"][1:]) % 2 == p} for p in (0, 1)}
+    assert by_parity[0].isdisjoint(by_parity[1])

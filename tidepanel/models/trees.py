@@ -1,4 +1,4 @@
-"""Tree regressions on Spark ML."""
+"""Tree regressions and entity groups on Spark ML."""
 
 from __future__ import annotations
 
@@ -74,3 +74,24 @@ def fit_classes(train: DataFrame, features: Sequence[str], label: str,
                                      predictionCol="level", seed=42, **dict(params or {}))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assembler, learner]).fit(train)
+
+
+def typology(profiles: DataFrame, entity: str, columns: Sequence[str], groups: int = 3,
+             axes: int = 2) -> DataFrame:
+    """Entities grouped by their profile: (entity, group, axes...).
+
+    ``profiles`` has one complete row per entity, such as its mean of each measure.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import vector_to_array
+
+    stages = [
+        VectorAssembler(inputCols=list(columns), outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True),
+        PCA(k=axes, inputCol="scaled", outputCol="axes"),
+        KMeans(k=groups, seed=42, featuresCol="axes", predictionCol="group"),
+    ]
+    out = Pipeline(stages=stages).fit(profiles).transform(profiles)
+    at = vector_to_array("axes")
+    return out.select(entity, "group", *[at[i].alias(f"axis{i + 1}") for i in range(axes)])

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,11 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def rounded(df: DataFrame, digits: int = 1) -> DataFrame:
+    """All double columns rounded, as a last step before presentation."""
+    return df.withColumns({n: F.round(n, digits) for n, kind in df.dtypes if kind == "double"})
+
+
 def distinct_entities(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.select(spec.entity).distinct()
 

@@ -49,6 +49,14 @@ def add_rolling(df: DataFrame, spec: PanelSpec, columns: Sequence[str] = ROLL_CO
                      lambda w: rolling_columns(w, got, widths, skip))
 
 
+def add_rolling_min(df: DataFrame, spec: PanelSpec, columns: Sequence[str],
+                    widths: Sequence[int]) -> DataFrame:
+    """Smallest value of the last n rows."""
+    got = present(df, columns)
+    return over_rows(df, spec, max(widths) - 1, 0, lambda w: {
+        f"{c}_roll{n}_min": F.min(c).over(w.rowsBetween(-(n - 1), 0)) for c in got for n in widths})
+
+
 def rolling_mean(df: DataFrame, spec: PanelSpec, column: str, width: int) -> DataFrame:
     """One trailing mean of any width."""
     return over_rows(df, spec, width - 1, 0, lambda w: {

@@ -63,6 +63,12 @@ def fold_rows(df: DataFrame, spec: PanelSpec, folds: DataFrame) -> DataFrame:
     return rows.withColumn("role", role).drop("train_end", "test_end")
 
 
+def entity_folds(df: DataFrame, spec: PanelSpec, folds: int = 5) -> DataFrame:
+    """Add a fold number, by the entity's digest, that keeps each entity whole."""
+    digest = F.substring(F.md5(F.col(spec.entity).cast("string")), 1, 8)
+    return df.withColumn("fold", F.conv(digest, 16, 10).cast("bigint") % folds)
+
+
 def rolling_origins(df: DataFrame, spec: PanelSpec, initial_days: int = 1825,
                     period_days: int = 365, horizon_days: int = 365) -> DataFrame:
     """(entity, fold, cutoff, until): cutoffs walking back from the last day less the

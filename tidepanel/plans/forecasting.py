@@ -204,11 +204,13 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
                     baselines: bool = True, ml: bool = True, seasonal_trend: bool = True,
                     tree_params: Mapping[str, object] | None = None,
                     forest_params: Mapping[str, object] | None = None,
-                    m: TrendModel = TrendModel()) -> DataFrame:
+                    m: TrendModel = TrendModel(),
+                    separate: Sequence[str] | None = None) -> DataFrame:
     """Prediction rows (entity, model, ds, y, yhat) of all applicable models.
 
-    Trees are pooled: one model over all entities' leak-free features. The forest needs
-    more than 500 training rows, the trend model more than 365 per entity.
+    Trees are pooled: one model over all entities' leak-free features; ``separate`` names
+    entities that get a model of their own instead, fitted one after the other. The forest
+    needs more than 500 training rows, the trend model more than 365 per entity.
     """
     parts = []
     if baselines:
@@ -216,14 +218,10 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
                   windows.seasonal_naive(panel, spec, cutoff)]
     if ml:
         rows, kept = training_rows(panel, spec, cutoff)
-        train = rows.where(F.col("split") == "train")
-        test = rows.where(F.col("split") == "test")
-        parts.append(trees.predict(trees.fit(train, kept, spec.target, "gbt", tree_params),
-                                   test, spec, "gbt"))
-        if train.count() > trees.FOREST_MIN_ROWS:
-            parts.append(trees.predict(
-                trees.fit(train, kept, spec.target, "forest", forest_params),
-                test, spec, "forest"))
+        scopes = ([rows] if separate is None
+                  else [rows.where(F.col(spec.entity) == e) for e in separate])
+        for scope in scopes:
+            parts += _tree_predictions(scope, kept, spec, tree_params, forest_params)
     if seasonal_trend:
         series = filters.entity_series(panel, spec, use_synthetic=True)
         enough = (filters.before(series, "ds", cutoff).groupBy(spec.entity)
@@ -237,6 +235,23 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
     return out
 
 
+def _tree_predictions(rows: DataFrame, kept: Sequence[str], spec: PanelSpec,
+                      tree_params, forest_params) -> list[DataFrame]:
+    train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
+    kinds = {"gbt": tree_params}
+    if train.count() > trees.FOREST_MIN_ROWS:
+        kinds["forest"] = forest_params
+    return [trees.predict(trees.fit(train, kept, spec.target, kind, params), test, spec, kind)
+            for kind, params in kinds.items()]
+
+
+def cross_entity_evaluation(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01",
+                            **options) -> DataFrame:
+    """(entity, model, mape, rmse, mae, n_test) over entities with at least 200 rows."""
+    big = evaluation.large_enough(panel, spec)
+    return evaluation.evaluate(evaluate_models(big, spec, cutoff, **options), [spec.entity, "model"])
+
+
 def safe_features(frame: DataFrame, spec: PanelSpec) -> list[str]:
     """Numeric features known before the row's own readings: calendar, lags, rolling, z-score.
 
