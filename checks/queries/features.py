@@ -101,10 +101,12 @@ def _(t):
     return D.expanding_folds(t.series, SERIES)
 
 
-@query("fold_rows", f"""{_FOLDS}
+@query("fold_rows", f"""{_FOLDS},
+kept AS (SELECT f.* FROM folds f JOIN series s ON s.city = f.city AND s.ds >= train_end
+         AND s.ds < test_end GROUP BY ALL HAVING count(*) >= 10)
 SELECT f.city, fold, CASE WHEN s.ds < train_end THEN 'train' ELSE 'test' END AS role,
        count(*) AS n, {r('avg(y)')} AS mean
-FROM folds f JOIN series s ON s.city = f.city AND s.ds < test_end GROUP BY ALL""")
+FROM kept f JOIN series s ON s.city = f.city AND s.ds < test_end GROUP BY ALL""")
 def _(t):
     rows = D.fold_rows(t.series, SERIES, D.expanding_folds(t.series, SERIES))
     return fixed(rows.groupBy("city", "fold", "role").agg(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day, frame
+from tidepanel.operators import aggregates as A
 from tidepanel.operators import evaluation as E
 from tidepanel.operators import ranking as R
 from tidepanel.panel import PanelSpec
@@ -66,3 +67,14 @@ def test_fold_scores_and_range(spark):
     assert got["folds"] == 3 and got["mape"] == pytest.approx(10) and got["coverage"] == 1.0
     low, high = E.expected_range(F.lit(100.0), F.lit(13.0))
     assert tuple(df.select(low, high).first()) == (pytest.approx(87), pytest.approx(113))
+
+
+def test_unknown_scores_are_never_the_best(spark):
+    df = frame(spark, [("a", "x", None), ("a", "y", 20.0), ("a", "z", 10.0)],
+               "city string, model string, mape double")
+    got = {r["model"]: (r["gain_pct"], r["selected"]) for r in E.improvement(df, ["city"], "y").collect()}
+    assert got == {"x": (None, False), "y": (0.0, False), "z": (50.0, True)}
+    batch = frame(spark, [("p", None, "improving"), ("q", 3.0, "worsening"), ("r", 5.0, "improving")],
+                  "city string, mape double, trend string")
+    one = A.batch_summary(batch, SPEC).first()
+    assert (one["best"], one["worst"], one["entities"]) == ("q", "r", 3)

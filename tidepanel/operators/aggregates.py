@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions import scalars as S
 from tidepanel.operators import filters
+from tidepanel.operators.evaluation import smallest
 from tidepanel.panel import REPORTED, PanelSpec, present
 
 
@@ -259,14 +260,12 @@ def forecast_of_month(forecast: DataFrame, month: int, first_year: int) -> DataF
 def batch_summary(results: DataFrame, spec: PanelSpec) -> DataFrame:
     """Error range, best and worst entity and trend shares over a batch's result rows."""
     n = F.count(F.lit(1))
-    best = F.min(F.struct(F.col("mape"), F.col(spec.entity)))
-    worst = F.min(F.struct((-F.col("mape")).alias("m"), F.col(spec.entity)))
     better, worse = (F.count_if(F.col("trend") == x) for x in ("improving", "worsening"))
     share = lambda c: c * F.lit(100.0) / F.nullif(n, F.lit(0))
     return results.agg(
         n.alias("entities"), F.avg("mape").alias("mean_mape"), F.min("mape").alias("min_mape"),
-        F.max("mape").alias("max_mape"), best[spec.entity].alias("best"),
-        worst[spec.entity].alias("worst"), better.alias("improving"), worse.alias("worsening"),
+        F.max("mape").alias("max_mape"), smallest("mape", spec.entity).alias("best"),
+        smallest(-F.col("mape"), spec.entity).alias("worst"), better.alias("improving"), worse.alias("worsening"),
         share(better).alias("improving_pct"), share(worse).alias("worsening_pct"))
 
 

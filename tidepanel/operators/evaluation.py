@@ -35,6 +35,12 @@ def mae(y: Column | str = "y", p: Column | str = "yhat") -> Column:
     return F.avg(F.abs(S._col(y) - S._col(p)))
 
 
+def smallest(metric: Column | str, name: str) -> Column:
+    """Aggregate: the name with the smallest known metric; ties go to the first name."""
+    m = S._col(metric)
+    return F.min(F.when(m.isNotNull(), F.struct(m.alias("m"), F.col(name).alias("name"))))["name"]
+
+
 def scores() -> list[Column]:
     return [mape().alias("mape"), rmse().alias("rmse"), mae().alias("mae")]
 
@@ -101,11 +107,11 @@ def improvement(metrics: DataFrame, by: Sequence[str], base: str,
     """Each model's gain over the base model in percent, and whether it is the best."""
     stats = metrics.groupBy(*by).agg(
         F.max(F.when(F.col("model") == base, F.col(metric))).alias("_base"),
-        F.min(F.struct(F.col(metric), F.col("model"))).alias("_best"))
+        smallest(metric, "model").alias("_best"))
     gain = (F.col("_base") - F.col(metric)) / F.nullif(F.col("_base"), F.lit(0.0)) * 100
     return metrics.join(stats, list(by)).select(
         *by, "model", metric, gain.alias("gain_pct"),
-        (F.col("model") == F.col("_best.model")).alias("selected"))
+        (F.col("model") == F.col("_best")).alias("selected"))
 
 
 def expected_range(level: Column | str, error: Column | str) -> tuple[Column, Column]:

@@ -164,8 +164,7 @@ def training_variants(series: DataFrame, spec: PanelSpec, cutoff: str, era: tupl
     scored = evaluation.evaluate(
         trend.predict(trend.fit(fits, spec, m, keys), wanted, spec, m, keys), keys)
     low, high = evaluation.expected_range(F.lit(100.0), "mape")
-    best = F.min(F.struct("mape", "model"))
-    pick = scored.groupBy(spec.entity).agg(best["model"].alias("_best"))
+    pick = scored.groupBy(spec.entity).agg(evaluation.smallest("mape", "model").alias("_best"))
     return scored.join(pick, spec.entity).select(
         *keys, "mape", "rmse", "mae", low.alias("low"), high.alias("high"),
         (F.col("model") == F.col("_best")).alias("selected"))
