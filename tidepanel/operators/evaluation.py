@@ -60,7 +60,8 @@ def large_enough(df: DataFrame, spec: PanelSpec, rows: int = MIN_ROWS) -> DataFr
 def _relative(frame: DataFrame) -> DataFrame:
     known = frame.where(F.col("y").isNotNull() & F.col("yhat").isNotNull())
     err = F.col("y") - F.col("yhat")
-    return known.withColumns({"err": err, "ape": F.abs(err) / (F.col("y") + 1) * 100})
+    ape = F.abs(err) / F.nullif(F.col("y") + 1, F.lit(0.0)) * 100
+    return known.withColumns({"err": err, "ape": ape})
 
 
 def _breakdown(frame: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -84,8 +85,8 @@ def error_by_season(predictions: DataFrame, by: Sequence[str],
 def error_overall(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
     """Overall error and bias, and the dates of the worst and best prediction."""
     day = F.to_date("ds")
-    worst = F.min(F.struct((-F.col("ape")).alias("k"), day.alias("d")))
-    best = F.min(F.struct(F.col("ape").alias("k"), day.alias("d")))
+    at = lambda k: F.min(F.when(F.col("ape").isNotNull(), F.struct(k.alias("k"), day.alias("d"))))
+    worst, best = at(-F.col("ape")), at(F.col("ape"))
     return _relative(predictions).groupBy(*by).agg(
         F.avg("ape").alias("overall_mape"), F.avg("err").alias("overall_bias"),
         worst["d"].alias("worst_ds"), best["d"].alias("best_ds"))
