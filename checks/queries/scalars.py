@@ -181,8 +181,7 @@ def _(t):
 
 
 @query("horizon_to_days", """
-SELECT event_id, greatest(1, k // 24 + 1) AS days FROM readings""")
+SELECT event_id, CAST(greatest(1, k // 24 + 1) AS INTEGER) AS days FROM readings""")
 def _(t):
     """The plan-time rule over a column of hours."""
-    return t.readings.select("event_id", F.greatest(
-        F.lit(1).cast("bigint"), F.expr("k div 24") + 1).alias("days"))
+    return t.readings.select("event_id", S.horizon_to_days(F.col("k")).alias("days"))

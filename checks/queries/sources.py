@@ -97,11 +97,12 @@ _PLACES = """SELECT user_id, event_id, CAST(ts AS DATE) AS date, value AS pm2_5,
 
 
 def _row_payloads(t):
-    """One response per user and day, as an API would give it."""
+    """Responses of at most 500 readings, per user and day, as a paged API would give them."""
     place = F.when(F.col("event_type") != "error", F.col("event_type"))
     local = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     item = F.struct(F.struct(local.alias("local")).alias("date"), "value", place.alias("location"))
-    packed = t.raw("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+    page = F.floor(F.col("event_id") / 500)
+    packed = t.raw("events").groupBy("user_id", F.to_date("ts").alias("day"), page).agg(
         F.collect_list(item).alias("results"))
     return packed.select("user_id", F.to_json(F.struct("results")).alias("payload"))
 

@@ -178,6 +178,8 @@ def month_name(time: Column | str) -> Column:
     return F.date_format(_col(time), "MMM")
 
 
-def horizon_to_days(hours: int) -> int:
+def horizon_to_days(hours: int | Column) -> int | Column:
     """Days a forecast horizon in hours needs, at least one."""
+    if isinstance(hours, Column):
+        return F.greatest(F.lit(1), F.floor(hours / 24).cast("int") + 1)
     return max(1, hours // 24 + 1)

@@ -216,11 +216,12 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
         parts += [windows.moving_average(panel, spec, cutoff),
                   windows.seasonal_naive(panel, spec, cutoff)]
     if ml:
-        rows, kept = training_rows(panel, spec, cutoff)
-        scopes = ([rows] if separate is None
-                  else [rows.where(F.col(spec.entity) == e) for e in separate])
+        frame = training_frame(panel, spec, cutoff)
+        scopes = ([frame] if separate is None
+                  else [frame.where(F.col(spec.entity) == e) for e in separate])
         for scope in scopes:
-            parts += _tree_predictions(scope, kept, spec, tree_params, forest_params)
+            rows, kept = dataset.prepare(scope, spec, safe_features(scope, spec), cutoff)
+            parts += _tree_predictions(rows, kept, spec, tree_params, forest_params)
     if seasonal_trend:
         series = filters.entity_series(panel, spec, use_synthetic=True)
         enough = (filters.before(series, "ds", cutoff).groupBy(spec.entity)
@@ -261,13 +262,18 @@ def safe_features(frame: DataFrame, spec: PanelSpec) -> list[str]:
     return [c for c in filters.numeric_features(frame, spec.target) if c in set(wanted)]
 
 
-def training_rows(panel: DataFrame, spec: PanelSpec, cutoff: str) -> tuple[DataFrame, list[str]]:
-    """Prepared rows and feature names for the tree models.
+def training_frame(panel: DataFrame, spec: PanelSpec, cutoff: str) -> DataFrame:
+    """The leak-free feature frame, written once.
 
-    The feature frame is written once: medians, fits and predictions all read it, and a
-    lost executor costs a re-read, not the windows again.
+    Medians, fits and predictions all read it, and a lost executor costs a re-read, not
+    the windows again.
     """
-    frame = materialise(feature_frame(panel, spec, leak_free=True, train_until=cutoff), "features")
+    return materialise(feature_frame(panel, spec, leak_free=True, train_until=cutoff), "features")
+
+
+def training_rows(panel: DataFrame, spec: PanelSpec, cutoff: str) -> tuple[DataFrame, list[str]]:
+    """Prepared rows and feature names for the tree models."""
+    frame = training_frame(panel, spec, cutoff)
     return dataset.prepare(frame, spec, safe_features(frame, spec), cutoff)
 
 
