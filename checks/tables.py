@@ -11,6 +11,7 @@ from tidepanel.functions import scalars as S
 from tidepanel.operators import windows as W
 from tidepanel.operators.evaluation import evaluate
 from tidepanel.panel import PanelSpec, daily_panel, sized
+from tidepanel.session import materialise
 
 PANEL = PanelSpec()
 SERIES = PanelSpec(time="ds", target="y")
@@ -60,6 +61,11 @@ class Tables:
             (F.col("o_totalprice") / 1000.0).alias("y"))
         return daily_panel(rows, SERIES, ["y"], digits=6).withColumnRenamed("date", "ds")
 
+    @cached_property
+    def stored_series(self) -> DataFrame:
+        """``series`` written once, for flows that read it several times."""
+        return materialise(self.series, "series")
+
     @cached_property
     def readings(self) -> DataFrame:
         """Irregular readings per event type."""

@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,25 @@ def test_partitioning_does_not_change_the_fit(series):
         assert x["beta"] == pytest.approx(y["beta"], abs=1e-6) and x["n"] == y["n"] == DAYS
 
 
+def test_matches_a_direct_solution(spark):
+    rng = np.random.default_rng(8)
+    days = np.sort(rng.choice(1500, 700, replace=False))
+    y = 50 + 0.03 * days + rng.normal(0, 8, 700)
+    df = frame(spark, [("a", day(int(d)), float(v)) for d, v in zip(days, y)],
+               "city string, ds date, y double")
+    m = TrendModel(order=3, changes=4)
+    got = trend.predict(trend.fit(df.repartition(6), SPEC, m), df, SPEC, m).orderBy("ds").collect()
+    t = (days - days[0]) / (days[-1] - days[0])
+    epoch = (day(0) - dt.date(1970, 1, 1)).days + days
+    columns = [np.ones(700), t]
+    columns += [np.maximum(t - 0.8 * i / 5, 0) for i in range(1, 5)]
+    columns += [f(2 * np.pi * k * epoch / 365.25) for k in (1, 2, 3) for f in (np.sin, np.cos)]
+    x, scale = np.column_stack(columns), np.abs(y).max()
+    widths = np.array([5.0, 5.0, *[0.05] * 4, *[10.0] * 6])
+    beta = np.linalg.solve(x.T @ x + np.diag((0.1 / widths) ** 2), x.T @ (y / scale))
+    assert [r["yhat"] for r in got] == pytest.approx(list(x @ beta * scale), abs=1e-6)
+
+
 def test_interval_covers_noise(spark):
     rng = random.Random(1)
     rows = [("a", day(i), 100 + rng.gauss(0, 10)) for i in range(1500)]

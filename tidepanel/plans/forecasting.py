@@ -1,4 +1,8 @@
-"""Forecast and validation flows over all entities at once."""
+"""Forecast and validation flows over all entities at once.
+
+The flows read their series several times (sizes, scaling, fit, prediction). Pass a stored
+daily series, ``session.materialise`` writes one, rather than a view over raw readings.
+"""
 
 from __future__ import annotations
 
