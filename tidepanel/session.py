@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,6 +16,7 @@ def local_session(cores: str = "8", app: str = "tidepanel") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -27,17 +26,11 @@ def local_session(cores: str = "8", app: str = "tidepanel") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
-
-    Every executor must see it, so a machine-local folder is only accepted in
-    local mode, where driver and executors are one process.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidepanel-")
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the folder named by ``spark.checkpoint.dir``, or below the
+    warehouse where that is unset. Every executor sees both; the caller's session owns
+    the folder and its cleaning."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df, label: str = "stage"):
