@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.llm.language_id import identify
+from tidepanel.llm.near_duplicates import near_duplicates
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
 from tidepanel.llm.token_counts import token_counts
@@ -57,3 +58,8 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return found.select("doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in BASE],
                         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
