@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,3 +76,10 @@ def shingle_hashes(h: np.ndarray, width: int) -> np.ndarray:
     for i in range(width):
         out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n]
     return mixed(out)
+
+
+def small_table(spark, rows: list[dict], schema: str) -> DataFrame:
+    """A table of a few given rows, as one literal of the plan."""
+    fields = ", ".join(":".join(field.split()) for field in schema.split(","))
+    held = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")
+    return spark.range(1).select(F.inline(held))

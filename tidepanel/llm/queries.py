@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.llm.language_id import identify
+from tidepanel.llm.mixing import mix
 from tidepanel.llm.near_duplicates import near_duplicates
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
@@ -63,3 +64,8 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))

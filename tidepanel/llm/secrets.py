@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import BROADCAST_ROWS, only
+from tidepanel.llm.common import BROADCAST_ROWS, only, small_table
 from tidepanel.session import materialise
 
 
@@ -96,9 +96,10 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     terms = []
     for r, rule in enumerate(rules):
         for c, clause in enumerate(trigram_query(rule.pattern)):
-            terms += [(t, r, c, 1 << i, (1 << len(clause)) - 1) for i, t in enumerate(sorted(clause))]
-    table = index.sparkSession.createDataFrame(
-        terms, "trigram string, rule int, clause int, bit long, whole long")
+            terms += [{"trigram": t, "rule": r, "clause": c, "bit": 1 << i, "whole": (1 << len(clause)) - 1}
+                      for i, t in enumerate(sorted(clause))]
+    table = small_table(index.sparkSession, terms,
+                        "trigram string, rule int, clause int, bit long, whole long")
     met = (index.join(F.broadcast(table), "trigram")
            .groupBy("doc_id", "rule", "clause", "whole").agg(F.bit_or("bit").alias("held"))
            .where("held = whole"))
