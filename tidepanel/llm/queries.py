@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepanel.llm.decontamination import contamination
 from tidepanel.llm.language_id import identify
 from tidepanel.llm.mixing import mix
 from tidepanel.llm.near_duplicates import near_duplicates
+from tidepanel.llm.preferences import preference_pairs, with_replies_of_others
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
 from tidepanel.llm.token_counts import token_counts
@@ -69,3 +71,49 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference_pairs(*with_replies_of_others(table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return pairs.withColumns({"chosen_mask": spans("chosen_mask"), "rejected_mask": spans("rejected_mask")})
+
+
+SQL["op10_preference_pairs"] = """
+WITH last AS (
+  SELECT conv_id, max(turn) AS turn FROM conversations WHERE role = 'assistant' GROUP BY 1),
+reply AS (SELECT l.conv_id, l.turn, max(c.text) AS text FROM last l
+  JOIN conversations c ON c.conv_id = l.conv_id AND c.turn = l.turn AND c.role = 'assistant' GROUP BY 1, 2),
+sides AS (
+  SELECT c.conv_id, c.turn, coalesce(c.role, '') AS role, coalesce(c.text, '') AS chosen,
+         coalesce(CASE WHEN c.turn = own.turn AND c.role = 'assistant' THEN other.text ELSE c.text END, '') AS rejected
+  FROM conversations c JOIN reply own ON own.conv_id = c.conv_id AND c.turn <= own.turn
+  JOIN reply other ON other.conv_id = xor(own.conv_id, 1)),
+marked AS (
+  SELECT *, min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id) AS first FROM sides),
+drawn AS (
+  SELECT *, first IS NULL OR turn < first AS common,
+         '<|' || role || '|>' || chr(10) || chosen || '<|end|>' || chr(10) AS c,
+         '<|' || role || '|>' || chr(10) || rejected || '<|end|>' || chr(10) AS r FROM marked),
+placed AS (
+  SELECT *, sum(CASE WHEN common THEN 0 ELSE length(c) END) OVER w AS c_end,
+         sum(CASE WHEN common THEN 0 ELSE length(r) END) OVER w AS r_end
+  FROM drawn WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+pairs AS (
+  SELECT conv_id, (count(*) FILTER (WHERE common))::INTEGER AS n_common,
+         coalesce(string_agg(c, '' ORDER BY turn) FILTER (WHERE common), '') AS prompt,
+         coalesce(string_agg(c, '' ORDER BY turn) FILTER (WHERE NOT common), '') AS chosen,
+         coalesce(string_agg((c_end - length(chosen) - 8)::BIGINT || ':' || c_end::BIGINT, ',' ORDER BY turn)
+                  FILTER (WHERE NOT common AND role = 'assistant'), '') AS chosen_mask,
+         coalesce(string_agg(r, '' ORDER BY turn) FILTER (WHERE NOT common), '') AS rejected,
+         coalesce(string_agg((r_end - length(rejected) - 8)::BIGINT || ':' || r_end::BIGINT, ',' ORDER BY turn)
+                  FILTER (WHERE NOT common AND role = 'assistant'), '') AS rejected_mask
+  FROM placed GROUP BY conv_id)
+SELECT *, chosen_mask <> '' AND rejected_mask <> '' AND chosen <> rejected AS differs FROM pairs
+"""
