@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.session import materialise
+
 #: Rows of at most this size are worth a broadcast: 16 bytes each, 32 MB together.
 BROADCAST_ROWS = 2_000_000
 
@@ -27,12 +29,25 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(n) for n in names])
 
 
-def keep_ids(df: DataFrame, ids: DataFrame, on: str, most: int = BROADCAST_ROWS) -> DataFrame:
+def is_few(rows: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether a counted table is small enough to travel to the other side of a join."""
+    return rows.limit(most + 1).count() <= most
+
+
+def _by_ids(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
+    ids = materialise(ids.select(on).distinct(), "ids")
+    return df.join(F.broadcast(ids) if is_few(ids) else ids, on, how)
+
+
+def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose id is in ``ids``. The ids travel to the texts when a count of them
     shows that they are few; otherwise both sides are shuffled. Either way gives the same rows."""
-    ids = ids.select(on).distinct()
-    few = ids.limit(most + 1).count() <= most
-    return df.join(F.broadcast(ids) if few else ids, on, "left_semi")
+    return _by_ids(df, ids, on, "left_semi")
+
+
+def drop_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose id is null or not in ``ids``."""
+    return _by_ids(df, ids, on, "left_anti")
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
@@ -83,3 +98,37 @@ def small_table(spark, rows: list[dict], schema: str) -> DataFrame:
     fields = ", ".join(":".join(field.split()) for field in schema.split(","))
     held = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")
     return spark.range(1).select(F.inline(held))
+
+
+def hash_slots(keys: np.ndarray) -> np.ndarray:
+    """An open hash table of the places in ``keys``; -1 is free."""
+    size = 1 << max(4, int(4 * len(keys)).bit_length())
+    table = np.full(size, -1, np.int32)
+    slot, left = _place(keys, size), np.arange(len(keys), dtype=np.int32)
+    while len(left):
+        free = table[slot] < 0
+        table[slot[free]] = left[free]  # of several, the last one stays
+        placed = table[slot] == left
+        slot, left = (slot[~placed] + 1) & (size - 1), left[~placed]
+    return table
+
+
+def _place(keys: np.ndarray, size: int) -> np.ndarray:
+    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def find_slots(table: np.ndarray, keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted key, -1 where there is none."""
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int32)
+    size = len(table)
+    slot = _place(wanted, size)
+    at = table[slot]
+    open_ = np.flatnonzero((at >= 0) & (keys[at] != wanted))
+    while len(open_):
+        slot[open_] = (slot[open_] + 1) & (size - 1)
+        at[open_] = table[slot[open_]]
+        p = at[open_]
+        open_ = open_[(p >= 0) & (keys[p] != wanted[open_])]
+    return at

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import BROADCAST_ROWS, only
+from tidepanel.llm.common import is_few, only
 from tidepanel.session import materialise
 
 WIDTH = 5
@@ -113,8 +113,7 @@ def windows(docs: DataFrame, anchor: DataFrame) -> DataFrame:
     hits = materialise(at.join(anchor, "word").select(
         F.col("doc_id").alias("h_id"), "n", F.greatest(F.lit(0), F.col("at") - F.col("offset")).alias("start"))
         .distinct(), "hits")
-    few = hits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    met = docs.join(F.broadcast(hits) if few else hits, F.col("doc_id").eqNullSafe(F.col("h_id")))
+    met = docs.join(F.broadcast(hits) if is_few(hits) else hits, F.col("doc_id").eqNullSafe(F.col("h_id")))
     cut = F.array_remove(F.slice(_words(F.col("text")), F.col("start") + 1, F.col("n")), "")
     return met.select("doc_id", "n", "start", cut.alias("words"))
 

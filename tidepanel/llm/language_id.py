@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import held_out, only, slices, texts
+from tidepanel.llm.common import find_slots, hash_slots, held_out, only, slices, texts
 
 UNKNOWN = "und"
 #: Paths of four bytes kept over all trees, the most frequent first; bounds the cost tables.
@@ -86,7 +86,7 @@ class Trees:
         self.e3 = np.zeros((n, len(self.x3)), np.float32)
         for i, (path, count) in enumerate(counts):
             self._fill(i, path.astype(np.int64), count.astype(np.float64))
-        self.slots = _slots(self.k4)
+        self.slots = hash_slots(self.k4)
 
     def _fill(self, i: int, path: np.ndarray, count: np.ndarray) -> None:
         none = np.full(256, 8.0)
@@ -117,7 +117,7 @@ class Trees:
         out = np.zeros((len(values), len(self.langs)))
         if not len(grams):
             return out
-        at = _find(self.slots, self.k4, grams)
+        at = find_slots(self.slots, self.k4, grams)
         miss = np.flatnonzero(at < 0)
         rare = grams[miss].astype(np.int64)
         p3 = np.minimum(np.searchsorted(self.k3, rare & 0xFFFFFF), len(self.k3) - 1)
@@ -153,38 +153,6 @@ def _context(owner: np.ndarray, n: np.ndarray, lower: np.ndarray, size: int):
     return seen, escape
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    """An open hash table of the places in ``keys``; -1 is free."""
-    size = 1 << max(4, int(4 * len(keys)).bit_length())
-    table = np.full(size, -1, np.int32)
-    slot, left = _hash(keys, size), np.arange(len(keys), dtype=np.int32)
-    while len(left):
-        free = table[slot] < 0
-        table[slot[free]] = left[free]  # of several, the last one stays
-        placed = table[slot] == left
-        slot, left = (slot[~placed] + 1) & (size - 1), left[~placed]
-    return table
-
-
-def _hash(keys: np.ndarray, size: int) -> np.ndarray:
-    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(65 - size.bit_length())).astype(np.int64)
-
-
-def _find(table: np.ndarray, keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The place of each wanted key, -1 where there is none."""
-    size = len(table)
-    slot = _hash(wanted, size)
-    at = table[slot]
-    open_ = np.flatnonzero((at >= 0) & (keys[at] != wanted))
-    while len(open_):
-        slot[open_] = (slot[open_] + 1) & (size - 1)
-        at[open_] = table[slot[open_]]
-        p = at[open_]
-        open_ = open_[(p >= 0) & (keys[p] != wanted[open_])]
-    return at
-
-
 def fit(docs: DataFrame) -> Trees | None:
     """Context trees of the languages of ``docs`` (text, lang); None if no row has both."""
     rows = only(docs, "text", "lang").where("lang is not null and text is not null")

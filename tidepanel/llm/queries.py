@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm.decontamination import contamination
 from tidepanel.llm.language_id import identify
+from tidepanel.llm.language_model import perplexities
 from tidepanel.llm.mixing import mix
 from tidepanel.llm.near_duplicates import near_duplicates
 from tidepanel.llm.preferences import preference_pairs, with_replies_of_others
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
 from tidepanel.llm.token_counts import token_counts
+from tidepanel.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +119,14 @@ pairs AS (
   FROM placed GROUP BY conv_id)
 SELECT *, chosen_mask <> '' AND rejected_mask <> '' AND chosen <> rejected AS differs FROM pairs
 """
+
+
+@query
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "spans")

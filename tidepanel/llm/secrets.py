@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import BROADCAST_ROWS, only, small_table
+from tidepanel.llm.common import is_few, only, small_table
 from tidepanel.session import materialise
 
 
@@ -142,9 +142,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     rows = docs.drop("spans", "rules")
     if trigrams:
         found = materialise(candidates(postings(only(docs, "doc_id", "text"), trigrams), rules), "candidates")
-        few = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         found = found.select(F.col("doc_id").alias("c_id"), "rules")
-        rows = rows.join(F.broadcast(found) if few else found,
+        rows = rows.join(F.broadcast(found) if is_few(found) else found,
                          F.col("doc_id").eqNullSafe(F.col("c_id")), "left").drop("c_id")
     else:
         rows = rows.withColumn("rules", F.lit(0))
