@@ -46,11 +46,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
-    found = find_secrets(docs).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    rest = F.struct(F.lit(0).alias("no_column"), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    found = find_secrets(docs.select("doc_id", "text", rest.alias("rest")))
+    out = {c: F.col("rest")[c] for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": redacted(F.col("text"), F.col("spans"))}
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+        out["n_chars"] = F.when(F.size("spans") > 0, F.length(out["text"])).otherwise(out["n_chars"]) \
+            .cast(docs.schema["n_chars"].dataType)
+    return found.select(*[out[c].alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
