@@ -11,9 +11,11 @@ the share of it that both hold estimates their similarity.
    A value that nobody else retains makes no list, yet takes up one of these places.
 3. Each list links its members to its most typical one, so pairs grow with the lists' length,
    not its square. The union sketch filters the pairs, the full sets confirm them.
-4. A list may still hold several components. There, members are compared with members of other
-   components, unless the shingles that nobody in such lists shares with them already rule
-   out the similarity. Links found in the lists join the components.
+4. A list may still hold several components, and near copies can be too far from its center
+   and yet near to each other. Two such texts either share a rare shingle, and the lists of
+   rare shingles are short; or all they share is frequent, and then how much frequent content
+   each has bounds their similarity. Pairs that neither way rules out are confirmed, and their
+   links join the components.
 
 Shingles are 64-bit hashes throughout.
 """
@@ -34,6 +36,8 @@ from tidepanel.session import materialise
 
 #: Retained values per text.
 K = 32
+#: A shingle is rare among texts when at most so many hold it.
+RARE = 32
 
 
 def least_overlap(k: int, similarity: float, miss: float = 1e-9) -> int:
@@ -154,7 +158,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
-    more = _across(lists, components(links), classes, sets, pairs, k, overlap, percent)
+    more = _across(lists, components(links), classes, sets, k, overlap, percent)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
@@ -165,7 +169,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
 
 def _across(lists: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame,
-            done: DataFrame, k: int, overlap: int, percent: int) -> DataFrame:
+            k: int, overlap: int, percent: int) -> DataFrame:
     """Links between members of lists that the centers left in several components."""
     tagged = (lists.join(found, "id", "left")
               .select("value", "id", "n", F.coalesce("component", "id").alias("component")))
@@ -173,22 +177,29 @@ def _across(lists: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFr
         t.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo <> hi").select("value"), "value")
     mixed_lists = materialise(several(tagged), "mixed")
-    # What a class shares with anyone at all in such lists bounds what it shares with each.
-    active = mixed_lists.select("id").distinct()
-    held = sets.join(active, "id").select("id", F.explode(F.array_distinct("shingles")).alias("shingle"))
+    # Shingles that few classes in such lists hold, and what a class has of the others.
+    active = mixed_lists.select("id", "n", "component").distinct()
+    held = sets.join(active.select("id"), "id").select("id", F.explode("shingles").alias("shingle"))
     often = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    common = held.join(often.select("shingle"), "shingle").groupBy("id").agg(F.count("*").alias("common"))
-    bounded = (mixed_lists.join(common, "id")
-               .where(F.col("common") * 100 >= F.col("n") * percent))
-    # A partner within the list has at least ``lo_n`` shingles.
-    reach = bounded.groupBy("value").agg(F.min("n").alias("lo_n"))
-    able = (bounded.join(reach, "value")
-            .where(_similar(F.col("common"), F.col("n"), F.greatest("lo_n", "common"), percent)))
-    able = materialise(several(able.select("value", "id", "n", "common", "component")), "able")
-    a, b = able.alias("a"), able.alias("b")
-    most = F.least("a.common", "b.common")
-    pairs = (a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.id") < F.col("b.id"))
-                    & (F.col("a.component") != F.col("b.component"))
-                    & _similar(most, F.col("a.n"), F.col("b.n"), percent))
-             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+    met = materialise(held.join(often, "shingle"), "met")
+    shared = met.groupBy("id").agg(F.count("*").alias("common"), F.count_if(F.col("df") > RARE).alias("frequent"))
+    bounded = materialise(active.join(shared, "id").where(F.col("common") * 100 >= F.col("n") * percent), "bounded")
+
+    def across(rows: DataFrame, key: str, most: str) -> DataFrame:
+        """Pairs of members of a list, in different components, that ``most`` does not rule out."""
+        a, b = rows.alias("a"), rows.alias("b")
+        bound = _similar(F.least(f"a.{most}", f"b.{most}"), F.col("a.n"), F.col("b.n"), percent)
+        return (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.id") < F.col("b.id"))
+                       & (F.col("a.component") != F.col("b.component")) & bound)
+                .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+
+    rare = met.where(F.col("df") <= RARE).select("id", "shingle").join(bounded, "id")
+    # Pairs without a rare shingle in common share frequent ones only; a partner within the
+    # list has at least ``lo_n`` shingles.
+    placed = mixed_lists.select("value", "id").join(bounded, "id")
+    reach = placed.groupBy("value").agg(F.min("n").alias("lo_n"))
+    able = (placed.join(reach, "value").where(
+        _similar(F.col("frequent"), F.col("n"), F.greatest("lo_n", "frequent"), percent)).drop("lo_n"))
+    able = materialise(several(able), "able")
+    pairs = across(rare, "shingle", "common").unionAll(across(able, "value", "frequent")).distinct()
     return materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
