@@ -183,11 +183,19 @@ _CORR = " UNION ALL ".join(
     + (" HAVING count(*) > 1" if a == b else "") for a, b in _PAIRS)
 
 
-@query("correlation_matrix", _CORR)
+@query("correlation_pairs", _CORR)
 def _(t):
     return fixed(C.correlation_pairs(t.lines))
 
 
+@query("correlation_matrix", "".join(
+    f"{' UNION ALL ' if i else ''}SELECT '{a}' AS measure, " + ", ".join(
+        (f"1e0 AS {b}" if a == b else f"{r(f'corr({min(a, b)}, {max(a, b)})', 3)} AS {b}") for b in MEASURES)
+    + " FROM lines HAVING count(*) > 1" for i, a in enumerate(MEASURES)))
+def _(t):
+    return fixed(C.correlation_matrix(t.lines, digits=6), 3)
+
+
 @query("correlation_with_target", " UNION ALL ".join(
     f"SELECT '{c}' AS regressor, {r(f'corr(aqi, {c})')} AS r FROM lines"
     for c in ("pm2_5", "no2", "co")))

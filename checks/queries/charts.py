@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from checks import sqltext as T
+from pyspark.sql import functions as F
+
 from checks.registry import fixed, query
 from checks.sqltext import r
 from checks.tables import PANEL, SERIES
@@ -23,16 +25,16 @@ _PERIOD = {
 def _resample_sql(freq: str) -> str:
     _, end, spine, step = _PERIOD[freq]
     return f"""
-WITH g AS (SELECT city, {end} AS p, avg(y) AS y FROM series
-           WHERE ds < DATE '1996-05-01' OR ds > DATE '1997-02-10' GROUP BY 1, 2),
+WITH g AS (SELECT city, {end} AS p,
+                  avg(CASE WHEN ds < DATE '1996-05-01' OR ds > DATE '1997-02-10' THEN y END) AS y
+           FROM series GROUP BY 1, 2),
 e AS (SELECT city, unnest({spine}) AS s FROM g GROUP BY city)
 SELECT e.city, {step} AS period, {r('g.y')} AS y FROM e LEFT JOIN g ON g.city = e.city AND g.p = {step}"""
 
 
 def _resample(t, freq):
-    from tidepanel.operators.filters import outside
-
-    rows = outside(t.series, "ds", "1996-05-01", "1997-02-10")
+    known = ~F.col("ds").between("1996-05-01", "1997-02-10")
+    rows = t.series.withColumn("y", F.when(known, F.col("y")))
     return fixed(D.resample_mean(rows, SERIES, freq))
 
 
@@ -71,14 +73,14 @@ def _(t):
 @query("kde_grid", f"""
 WITH e AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n,
                   stddev_samp(value) * pow(count(value), -0.2) AS h,
-                  (max(value) - min(value)) / 100 AS w FROM events),
-g AS (SELECT CAST(least(floor((value - lo) / w), 99) AS INTEGER) AS bin, count(*) AS c
+                  (max(value) - min(value)) / 400 AS w FROM events),
+g AS (SELECT CAST(least(floor((value - lo) / w), 399) AS INTEGER) AS bin, count(*) AS c
       FROM events, e WHERE value IS NOT NULL GROUP BY 1)
-SELECT {r('lo - (hi - lo) * 0.5e0 + (hi - lo) * 2e0 * i / 49')} AS x,
-       {r('sum(c * exp(-0.5e0 * pow((lo - (hi - lo) * 0.5e0 + (hi - lo) * 2e0 * i / 49 - (lo + bin * w + w / 2)) / h, 2)) / (n * h * sqrt(2 * pi())))', 9)} AS density
-FROM g, e, range(0, 50) AS s(i) GROUP BY lo, hi, i""")
+SELECT {r('lo - (hi - lo) * 0.5e0 + (hi - lo) * 2e0 * i / 199')} AS x,
+       {r('sum(c * exp(-0.5e0 * pow((lo - (hi - lo) * 0.5e0 + (hi - lo) * 2e0 * i / 199 - (lo + bin * w + w / 2)) / h, 2)) / (n * h * sqrt(2 * pi())))', 9)} AS density
+FROM g, e, range(0, 200) AS s(i) GROUP BY lo, hi, i""")
 def _(t):
-    out = D.kde_grid(t.raw("events"), "value", 100, 50)
+    out = D.kde_grid(t.raw("events"), "value", 400, 200)
     return fixed(fixed(out, 9, ("x",)), 4, ("density",))
 
 

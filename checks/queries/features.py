@@ -64,7 +64,7 @@ _GROUPS = {
     f"SELECT '{g}' AS feature_group, '{c}' AS feature, count({c}) AS n FROM frame"
     for g, cs in _GROUPS.items() for c in cs))
 def _(t):
-    return FL.feature_group_table(P.feature_frame(t.daily, PANEL))
+    return P.feature_group_table(P.feature_frame(t.daily, PANEL), PANEL)
 
 
 @query("ml_dataset", f"""

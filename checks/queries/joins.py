@@ -47,9 +47,9 @@ def _(t):
 
 @query("join_regressors_inner", f"""
 SELECT s.city, s.ds, {r('s.y')} AS y, {r('d.no2')} AS no2, {r('d.co')} AS co
-FROM series s JOIN daily d ON d.date = s.ds AND d.city = 'A'""")
+FROM series s JOIN (SELECT date, avg(no2) AS no2, avg(co) AS co FROM daily GROUP BY date) d ON d.date = s.ds""")
 def _(t):
-    weather = t.daily.where("city = 'A'").select(F.col("date").alias("ds"), "no2", "co")
+    weather = t.daily.groupBy(F.col("date").alias("ds")).agg(F.avg("no2").alias("no2"), F.avg("co").alias("co"))
     return fixed(J.with_regressors(t.series, weather, ["ds"]))
 
 
@@ -57,11 +57,11 @@ def _(t):
 WITH spine AS (SELECT city, unnest(generate_series(max(ds) + 1, max(ds) + 120, INTERVAL 1 DAY)) AS ts
                FROM series GROUP BY city)
 SELECT s.city, CAST(s.ts AS DATE) AS ds, {r('d.no2')} AS no2 FROM spine s
-LEFT JOIN daily d ON d.date = CAST(s.ts AS DATE) AND d.city = 'A'""")
+LEFT JOIN (SELECT date, avg(no2) AS no2 FROM daily GROUP BY date) d ON d.date = CAST(s.ts AS DATE)""")
 def _(t):
     from tidepanel.sources.readers import future_spine
 
-    weather = t.daily.where("city = 'A'").select(F.col("date").alias("ds"), "no2")
+    weather = t.daily.groupBy(F.col("date").alias("ds")).agg(F.avg("no2").alias("no2"))
     return fixed(J.with_regressors(future_spine(t.series, SERIES, 120), weather, ["ds"], "left"))
 
 

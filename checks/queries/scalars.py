@@ -46,8 +46,8 @@ def _(t):
     return t.readings.groupBy("city", S.aqi_alert("aqi").alias("alert")).agg(F.count("*").alias("n"))
 
 
-_COLOR = T.quality("pm2_5").replace("'Excellent'", "'green'").replace("'Good'", "'blue'") \
-    .replace("'Moderate'", "'orange'").replace("'Poor'", "'red'")
+_COLOR = """CASE WHEN pm2_5 < 15 THEN 'green' WHEN pm2_5 < 20 THEN 'blue'
+WHEN pm2_5 < 30 THEN 'orange' ELSE 'red' END"""
 
 
 @query("model_quality", f"""
@@ -175,9 +175,8 @@ def _(t):
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'unknown' AS place
 FROM events""")
 def _(t):
-    parsed = F.from_json("props", "k bigint, place string")
-    return t.raw("events").select("event_id", parsed["k"].alias("k"),
-                                  F.coalesce(parsed["place"], F.lit("unknown")).alias("place"))
+    return t.raw("events").select("event_id", S.json_value("props", "$.k", "bigint").alias("k"),
+                                  S.json_value("props", "$.place", default="unknown").alias("place"))
 
 
 @query("horizon_to_days", """

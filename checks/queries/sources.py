@@ -170,15 +170,11 @@ def _(t):
 
 
 @query("src_exists", """
-SELECT 'there' AS name, true AS found, count(*) > 0 AS filled FROM series
-UNION ALL SELECT 'absent', false, false""")
+SELECT 'there' AS name, true AS found, count(*) AS n FROM series
+UNION ALL SELECT 'absent', false, 0""")
 def _(t):
     t.series.createOrReplaceTempView("there")
-    R.table_exists(t.spark, "absent")
-    state = {n: (R.table_exists(t.spark, n), R.has_rows(t.spark, n)) for n in ("there", "absent")}
-    names = t.spark.createDataFrame(
-        [(n, *flags) for n, flags in state.items()], "name string, found boolean, filled boolean")
-    return names
+    return R.table_state(t.spark, "there").unionByName(R.table_state(t.spark, "absent"))
 
 
 @query("src_view", f"""
@@ -216,7 +212,28 @@ def _(t):
     path, key = shared_dir(t.spark, "unique"), K.key_of(PANEL)
     K.append_unique(FL.before(t.lines, "date", "2000-01-01"), path, key, "date")
     K.append_unique(FL.since(t.lines, "date", "1999-01-01"), path, key, "date")
-    return t.spark.read.parquet(path).groupBy(*key).agg(F.count("*").alias("n"))
+    return K.stored(t.spark, path).groupBy(*key).agg(F.count("*").alias("n"))
+
+
+@query("sink_winner", f"""
+WITH loads AS (SELECT 1 AS load, city, date, data_source, aqi, pm2_5 FROM lines WHERE date < DATE '2000-01-01'
+               UNION ALL SELECT 2, city, date, CASE WHEN data_source = 'source0' THEN NULL ELSE data_source END,
+                                aqi + 1, pm2_5 FROM lines WHERE date >= DATE '1999-01-01'
+               UNION ALL SELECT 3, city, date, CASE WHEN data_source = 'source0' THEN NULL ELSE data_source END,
+                                aqi + 2, pm2_5 FROM lines WHERE date >= DATE '2000-06-01')
+SELECT city, date, data_source, {r('aqi')} AS aqi, {r('pm2_5')} AS pm2_5 FROM (
+  SELECT *, row_number() OVER (PARTITION BY city, date, data_source
+                               ORDER BY load, aqi DESC, pm2_5 DESC) AS place FROM loads) WHERE place = 1""")
+def _(t):
+    """Overlapping loads that differ in value and have NULL key parts: the first load's row
+    stays, and within a load the greatest values do."""
+    path, key = shared_dir(t.spark, "winner"), K.key_of(PANEL)
+    rows = t.lines.select("city", "date", "data_source", "aqi", "pm2_5")
+    late = rows.withColumn("data_source", F.when(F.col("data_source") != "source0", F.col("data_source")))
+    K.append_unique(FL.before(rows, "date", "2000-01-01"), path, key, "date")
+    K.append_unique(FL.since(late, "date", "1999-01-01").withColumn("aqi", F.col("aqi") + 1), path, key, "date")
+    K.append_unique(FL.since(late, "date", "2000-06-01").withColumn("aqi", F.col("aqi") + 2), path, key, "date")
+    return fixed(K.stored(t.spark, path))
 
 
 @query("sink_recreate", f"SELECT city, ds, {r('y')} AS y FROM series WHERE year(ds) = 2000")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import fixed, query
 from checks.sqltext import r
-from checks.tables import CUTOFF, EVENTS, PANEL, SERIES
+from checks.tables import CUTOFF, EVENT_BLOCKS, EVENTS, PANEL, SERIES
 from tidepanel.operators import windows as W
 
 _W = "PARTITION BY city ORDER BY date"
@@ -61,8 +61,8 @@ _E = "OVER (PARTITION BY city ORDER BY datetime, event_id"
 SELECT event_id, {r(f'lag(pm2_5, 1) {_E})')} AS pm2_5_lag1, {r(f'lag(pm2_5, 7) {_E})')} AS pm2_5_lag7
 FROM readings""")
 def _(t):
-    """Raw events: the window layout follows the measured size of the busiest entity."""
-    out = W.add_lags(t.readings, t.events_spec, ["pm2_5"], [1, 7])
+    """Raw events, declared to come in blocks."""
+    out = W.add_lags(t.readings, EVENT_BLOCKS, ["pm2_5"], [1, 7])
     return fixed(out.select("event_id", "pm2_5_lag1", "pm2_5_lag7"))
 
 
@@ -119,8 +119,8 @@ WHERE {length} > {hours} GROUP BY {entity}"""
 
 @query("detect_gaps", _gaps("user_id", 2))
 def _(t):
-    """Gaps in each user's events; the window layout follows the measured size."""
-    return fixed(W.detect_gaps(t.readings, t.events_spec.with_(entity="user_id")))
+    """Gaps in each user's events, by blocks of time."""
+    return fixed(W.detect_gaps(t.readings, EVENT_BLOCKS.with_(entity="user_id")))
 
 
 @query("detect_gaps_blocked", _gaps("user_id", 3))

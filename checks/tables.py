@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from tidepanel.functions import scalars as S
 from tidepanel.operators import windows as W
 from tidepanel.operators.evaluation import evaluate
-from tidepanel.panel import PanelSpec, daily_panel, sized
+from tidepanel.panel import PanelSpec, daily_panel
 from tidepanel.session import materialise
 
 PANEL = PanelSpec()
 SERIES = PanelSpec(time="ds", target="y")
 HOURS = PanelSpec(time="datetime")
 EVENTS = PanelSpec(time="datetime", tie_break=("event_id",))
+# Raw events are laid out in blocks; an entity has a few thousand of them a day.
+EVENT_BLOCKS = EVENTS.with_(block_seconds=86_400)
 MEASURES = ["pm2_5", "pm10", "no2", "co", "so2", "o3", "aqi"]
 CUTOFF = "2000-01-01"
 
@@ -75,11 +77,6 @@ class Tables:
             "user_id", F.col("value").alias("pm2_5"), S.pm25_to_aqi("value").alias("aqi"),
             k.alias("k"))
 
-    @cached_property
-    def events_spec(self) -> PanelSpec:
-        """Window layout by the size of the event table."""
-        return sized(self.readings.select("city", "datetime"), EVENTS)
-
     @cached_property
     def hourly(self) -> DataFrame:
         """Hourly means of the readings."""

@@ -13,6 +13,7 @@ from tidepanel.operators import quality as Q
 from tidepanel.operators import ranking as R
 from tidepanel.operators import reshape as X
 from tidepanel.panel import PanelSpec
+from tidepanel.plans import features as P
 
 SPEC = PanelSpec()
 SCHEMA = "city string, date date, aqi double"
@@ -157,7 +158,7 @@ def test_feature_names_and_groups(spark):
                "city string, date date, aqi double, month int, aqi_lag1 double, month_sin double")
     assert FL.numeric_features(df) == ["month", "aqi_lag1", "month_sin"]
     assert FL.numeric_features(df, wide_types_only=True) == ["aqi_lag1", "month_sin"]
-    assert FL.feature_groups(df)["lags"] == ["aqi_lag1"]
+    assert P.feature_groups(df, SPEC)["lags"] == ["aqi_lag1"]
 
 
 def test_tail_rows(spark):

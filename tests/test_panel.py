@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day, frame
 from tidepanel.operators import windows as W
-from tidepanel.panel import PanelSpec, daily_panel, normalise, over_rows, sized
+from tidepanel.panel import PanelSpec, daily_panel, normalise, over_rows
 
 SPEC = PanelSpec()
 STAMPED = PanelSpec(time="at", tie_break=("id",))
@@ -56,12 +56,9 @@ def test_blocked_frames_equal_plain_ones(skewed, block_rows, block_seconds):
     assert a.exceptAll(b).count() == 0
 
 
-def test_sized_picks_the_layout(skewed):
-    assert sized(skewed, STAMPED, 10_000).block_seconds is None
-    spec = sized(skewed, STAMPED, 100)
-    assert spec.block_seconds >= 1 and spec.block_rows == 100
-    slot = F.floor(F.unix_seconds(F.col("at").cast("timestamp")) / spec.block_seconds)
-    assert skewed.groupBy("city", slot).count().agg(F.max("count")).first()[0] <= 300
+def test_blocks_need_an_order():
+    with pytest.raises(ValueError):
+        SPEC.with_(block_seconds=60)
 
 
 def test_blocked_gaps_equal_plain_ones(skewed):

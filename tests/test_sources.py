@@ -74,7 +74,7 @@ def test_append_unique_is_idempotent(spark, work):
     path = f"{work}/t"
     for days in (range(10), range(10), range(5, 15)):
         K.append_unique(loaded(spark, days), path, KEY, "date")
-    K.append_unique(loaded(spark, [3, 3], "y"), path, KEY)
+    K.append_unique(loaded(spark, [3, 3], "y"), path, KEY, "date")
     K.append_unique(loaded(spark, []), path, KEY, "date")
     got = spark.read.parquet(path)
     assert got.where("data_source = 'x'").count() == 15 and got.where("data_source = 'y'").count() == 1

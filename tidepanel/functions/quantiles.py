@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one aggregation
 buffer. Here an approximate sketch brackets each wanted rank, and only values in the
-bracket are counted and ranked, so the exact answer needs a small part of the group.
+bracket are counted and ranked, so the exact answer needs a small part of the group. Groups
+of every size take this one path.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-# Groups up to this size are ranked whole: the sketch's rank slack is below one row.
-SMALL_GROUP = 100_000
+# A bracket holds a share of 4 / ACCURACY of its group: 40,000 of a billion values.
+ACCURACY = 100_000
 
 
 def melt(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
@@ -34,21 +34,14 @@ def approx_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     return out.select(*by, "measure", F.inline(cells))
 
 
-def small_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
-                    probs: Sequence[float]) -> DataFrame:
-    """``exact_quantiles`` in one pass, for data counted to hold few rows per group."""
-    fractions = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(
-        *[F.percentile(F.col(m).cast("double"), fractions).alias(m) for m in measures])
-    long = wide.unpivot(list(by), list(measures), "measure", "qs").where(F.col("qs").isNotNull())
-    cells = F.arrays_zip(fractions.alias("prob"), F.col("qs").alias("q"))
-    return long.select(*by, "measure", F.inline(cells))
-
-
 def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
-                    probs: Sequence[float], accuracy: int = ACCURACY,
-                    small_group: int = SMALL_GROUP) -> DataFrame:
-    """(by..., measure, prob, q): linear interpolation between order statistics."""
+                    probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+    """(by..., measure, prob, q): linear interpolation between order statistics.
+
+    Per wanted rank the sketch gives two bounds around it. Values between the bounds are
+    counted and ranked; of those below and above, only the count and the nearest value are
+    kept, as a rank may be one beside a bound. A rank further out raises an error.
+    """
     keys, x = [*by, "measure"], F.col("x")
     probs = sorted(float(p) for p in probs)
     long = melt(df, by, measures)
@@ -56,16 +49,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     lows = [max(0.0, p - slack) for p in probs]
     highs = [min(1.0, p + slack) for p in probs]
     sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("a"), F.max("x").alias("b"),
-        F.percentile_approx("x", lows + highs, accuracy).alias("s"))
-    small = F.col("n") <= F.lit(small_group)
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("x", lows + highs, accuracy).alias("s"))
     lo, hi = [f"lo{i}" for i in range(k)], [f"hi{i}" for i in range(k)]
-    brackets = sketch.select(
-        *keys, "n",
-        *[F.when(small | F.lit(lows[i] <= 0.0), F.col("a")).otherwise(F.col("s")[i]).alias(lo[i])
-          for i in range(k)],
-        *[F.when(small | F.lit(highs[i] >= 1.0), F.col("b")).otherwise(F.col("s")[k + i])
-          .alias(hi[i]) for i in range(k)])
+    brackets = sketch.select(*keys, "n", *[F.col("s")[i].alias(c) for i, c in enumerate(lo + hi)])
     # Values outside all brackets only count: those between the same bounds become one cell.
     reached = sum((x >= F.col(c)).cast("int") for c in lo)
     passed = sum((x > F.col(c)).cast("int") for c in hi)
@@ -73,26 +59,31 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     cells = (
         long.join(brackets, keys)
         .groupBy(*keys, reached.alias("g1"), passed.alias("g2"), F.when(inside, x).alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"), F.first("n").alias("n"),
-             *[F.first(c).alias(c) for c in lo + hi])
+        .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"), F.max("x").alias("top"),
+             F.first("n").alias("n"), *[F.first(c).alias(c) for c in lo + hi])
     )
     targets = F.inline(F.array(*[F.struct(
         F.lit(p).alias("prob"), F.col(lo[i]).alias("lo"), F.col(hi[i]).alias("hi"))
         for i, p in enumerate(probs)]))
+    side = F.when(x < F.col("lo"), -1).when(x > F.col("hi"), 1).otherwise(0)
     counted = (
-        cells.select(*keys, "c", "x", "n", targets).where(x <= F.col("hi"))
-        .groupBy(*keys, "prob", "n", F.when(x >= F.col("lo"), x).alias("x"))
-        .agg(F.sum("c").alias("c"))
+        cells.select(*keys, "c", "x", "top", "n", targets).withColumn("side", side)
+        .groupBy(*keys, "prob", "n", "side", F.when(F.col("side") == 0, x).alias("v"))
+        .agg(F.sum("c").alias("c"), F.min("x").alias("x"), F.max("top").alias("top"))
     )
-    ranked = Window.partitionBy(*keys, "prob").orderBy(x.asc_nulls_first())
+    ranked = Window.partitionBy(*keys, "prob").orderBy("side", "v")
     upto = F.sum("c").over(ranked.rowsBetween(Window.unboundedPreceding, 0))
     place = (F.col("n") - 1) * F.col("prob")
     first, second = F.floor(place), F.ceil(place)
-    stats = counted.withColumn("upto", upto).where(x.isNotNull())
+    stats = counted.withColumn("upto", upto)
 
     def at(rank):
         held = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
-        return F.max(F.when(held, x))
+        below = (F.col("side") < 0) & (rank == F.col("upto") - 1)
+        above = (F.col("side") > 0) & (rank == F.col("upto") - F.col("c"))
+        value = (F.when((F.col("side") == 0) | above, x).when(below, F.col("top"))
+                 .otherwise(F.raise_error(F.lit("a rank is outside its bracket")).cast("double")))
+        return F.max(F.when(held, value))
 
     out = stats.groupBy(*keys, "prob").agg(
         at(first).alias("a"), at(second).alias("b"), F.max(place - first).alias("f"))

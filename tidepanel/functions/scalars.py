@@ -156,10 +156,6 @@ def clip(x: Column | str, low: float | None = None, high: float | None = None) -
     return F.when(x.isNotNull(), y)
 
 
-def round_n(x: Column | str, digits: int) -> Column:
-    return F.round(_col(x), digits)
-
-
 def hours_between(start: Column | str, end: Column | str) -> Column:
     a, b = _col(start).cast("timestamp"), _col(end).cast("timestamp")
     return (F.unix_micros(b) - F.unix_micros(a)) / F.lit(3_600_000_000)
@@ -183,3 +179,10 @@ def horizon_to_days(hours: int | Column) -> int | Column:
     if isinstance(hours, Column):
         return F.greatest(F.lit(1), F.floor(hours / 24).cast("int") + 1)
     return max(1, hours // 24 + 1)
+
+
+def json_value(text: Column | str, path: str, kind: str = "string", default: object = None) -> Column:
+    """A value at a JSON path, cast to ``kind``; ``default`` where the path, or the text, is not
+    there or is no JSON."""
+    found = F.try_variant_get(F.try_parse_json(_col(text)), path, kind)
+    return found if default is None else F.coalesce(found, F.lit(default).cast(kind))

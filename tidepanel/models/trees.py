@@ -18,8 +18,6 @@ GBT_PARAMS = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate"
 FOREST_PARAMS = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5, "seed": 42}
 MODELS = {"gbt": (GBTRegressor, GBT_PARAMS, "Boosted Trees"),
           "forest": (RandomForestRegressor, FOREST_PARAMS, "Random Forest")}
-# Fixed value: the forest is only trained on more rows than this.
-FOREST_MIN_ROWS = 500
 
 
 def fit(train: DataFrame, features: Sequence[str], target: str, kind: str = "gbt",
@@ -80,7 +78,8 @@ def typology(profiles: DataFrame, entity: str, columns: Sequence[str], groups: i
              axes: int = 2) -> DataFrame:
     """Entities grouped by their profile: (entity, group, axes...).
 
-    ``profiles`` has one complete row per entity, such as its mean of each measure.
+    ``profiles`` has one complete row per entity, such as its mean of each measure; it is
+    kept for the four fits that read it.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import PCA, StandardScaler
@@ -92,6 +91,11 @@ def typology(profiles: DataFrame, entity: str, columns: Sequence[str], groups: i
         PCA(k=axes, inputCol="scaled", outputCol="axes"),
         KMeans(k=groups, seed=42, featuresCol="axes", predictionCol="group"),
     ]
-    out = Pipeline(stages=stages).fit(profiles).transform(profiles)
+    kept = profiles.persist()
+    try:
+        model = Pipeline(stages=stages).fit(kept)
+    finally:
+        kept.unpersist()
+    out = model.transform(profiles)
     at = vector_to_array("axes")
     return out.select(entity, "group", *[at[i].alias(f"axis{i + 1}") for i in range(axes)])

@@ -24,12 +24,6 @@ def period_end(time: Column | str, freq: str) -> Column:
     raise ValueError(f"unknown frequency {freq!r}")
 
 
-def _next_period(end: Column, freq: str) -> Column:
-    if freq == "W":
-        return F.date_add(end, 7)
-    return F.last_day(F.add_months(end, 1 if freq == "ME" else 3))
-
-
 def resample_mean(df: DataFrame, spec: PanelSpec, freq: str, metric: str | None = None) -> DataFrame:
     """Mean per entity and period, empty periods between its first and last as NULL."""
     m = metric or spec.target

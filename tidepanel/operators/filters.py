@@ -112,30 +112,3 @@ def numeric_features(df: DataFrame, target: str = "aqi", exclude: Sequence[str]
     kinds = (T.DoubleType, T.FloatType, T.LongType) if wide_types_only else T.NumericType
     skip = {target, *exclude}
     return [f.name for f in df.schema if f.name not in skip and isinstance(f.dataType, kinds)]
-
-
-# Feature groups that are listed by name.
-TEMPORAL = ("month_sin", "month_cos", "dow_sin", "dow_cos", "day_of_week", "month", "quarter",
-            "is_weekend")
-INTERACTIONS = ("pm25_pm10_ratio", "no2_co_product", "primary_secondary", "no2_so2_sum")
-
-
-def feature_groups(df: DataFrame) -> dict[str, list[str]]:
-    """Feature columns of the frame by group."""
-    cols = df.columns
-    return {
-        "temporal": present(df, TEMPORAL),
-        "lags": sorted(c for c in cols if "_lag" in c),
-        "rolling": sorted(c for c in cols if "_roll" in c),
-        "interactions": sorted(present(df, INTERACTIONS)),
-        "normalization": sorted(c for c in cols if "zscore" in c),
-    }
-
-
-def feature_group_table(df: DataFrame) -> DataFrame:
-    """(group, feature) rows of ``feature_groups`` with the non-null count of each feature."""
-    pairs = [(g, c) for g, cs in feature_groups(df).items() for c in cs]
-    counts = df.agg(*[F.count(c).alias(c) for _, c in pairs])
-    rows = [F.struct(F.lit(g).alias("feature_group"), F.lit(c).alias("feature"),
-                     F.col(c).alias("n")) for g, c in pairs]
-    return counts.select(F.inline(F.array(*rows)))

@@ -15,10 +15,23 @@ LAG_COLUMNS = ("aqi", "pm2_5", "no2", "co", "o3")
 LAGS = (1, 2, 3, 7)
 ROLL_COLUMNS = ("aqi", "pm2_5")
 ROLL_WIDTHS = (3, 7, 30)
+ROLL_STATS = ("mean", "std", "max")
+
+
+def lag_name(column: str, rows: int) -> str:
+    return f"{column}_lag{rows}"
+
+
+def roll_name(column: str, rows: int, stat: str) -> str:
+    return f"{column}_roll{rows}_{stat}"
+
+
+def zscore_name(target: str, entity: str) -> str:
+    return f"{target}_{entity}_zscore"
 
 
 def lag_columns(w: WindowSpec, columns: Sequence[str], lags: Sequence[int]) -> dict[str, Column]:
-    return {f"{c}_lag{n}": F.lag(c, n).over(w) for c in columns for n in lags}
+    return {lag_name(c, n): F.lag(c, n).over(w) for c in columns for n in lags}
 
 
 def rolling_columns(w: WindowSpec, columns: Sequence[str], widths: Sequence[int],
@@ -28,9 +41,9 @@ def rolling_columns(w: WindowSpec, columns: Sequence[str], widths: Sequence[int]
     for c in columns:
         for n in widths:
             f = w.rowsBetween(-(n - 1) - lead_out, -lead_out)
-            out[f"{c}_roll{n}_mean"] = F.avg(c).over(f)
-            out[f"{c}_roll{n}_std"] = F.coalesce(F.stddev_samp(c).over(f), F.lit(0.0))
-            out[f"{c}_roll{n}_max"] = F.max(c).over(f)
+            out[roll_name(c, n, "mean")] = F.avg(c).over(f)
+            out[roll_name(c, n, "std")] = F.coalesce(F.stddev_samp(c).over(f), F.lit(0.0))
+            out[roll_name(c, n, "max")] = F.max(c).over(f)
     return out
 
 
@@ -84,7 +97,7 @@ def add_zscore(df: DataFrame, spec: PanelSpec, target: str | None = None,
     unit = F.when(F.col("_s") == 0, F.lit(1.0)).otherwise(F.col("_s"))
     z = F.round((F.col(t) - F.col("_m")) / unit, digits)
     return (df.join(small, spec.entity, "left")
-            .withColumn(f"{t}_{spec.entity}_zscore", z).drop("_m", "_s"))
+            .withColumn(zscore_name(t, spec.entity), z).drop("_m", "_s"))
 
 
 def trend_decomposition(df: DataFrame, spec: PanelSpec, column: str | None = None,

@@ -31,7 +31,7 @@ class PanelSpec:
     Set it for raw event-like panels, where one entity may hold a third of all
     rows: ROWS frames then run per (entity, run of ``block_rows`` rows), see
     ``over_rows``. It should be short enough that one entity's rows within it fit
-    one task.
+    one task. Such a panel can hold equal times, so it must name a ``tie_break``.
     """
 
     entity: str = "city"
@@ -45,6 +45,10 @@ class PanelSpec:
     block_seconds: int | None = None
     block_rows: int = 250_000
 
+    def __post_init__(self):
+        if self.block_seconds is not None and not self.tie_break:
+            raise ValueError("a panel in blocks needs a tie_break, or equal times have no order")
+
     def with_(self, **changes) -> PanelSpec:
         return replace(self, **changes)
 
@@ -81,28 +85,6 @@ def epoch_seconds(time: Column) -> Column:
     return F.unix_seconds(time.cast("timestamp"))
 
 
-def sized(df: DataFrame, spec: PanelSpec, rows_per_slot: int = 1_000_000) -> PanelSpec:
-    """Choose the window layout from the data's size.
-
-    Entities that fit one task keep plain windows. Otherwise ``block_seconds`` is set so
-    that no slot holds much more than ``rows_per_slot`` rows of an entity, judged by the
-    busiest of 4096 equal time cells, not by the average. Two small aggregate jobs; only
-    a few numbers reach the driver.
-    """
-    at = epoch_seconds(F.col(spec.time))
-    per_entity = df.groupBy(spec.entity).agg(
-        F.count(F.lit(1)).alias("n"), F.min(at).alias("a"), F.max(at).alias("b"))
-    top = per_entity.agg(F.max("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b")).first()
-    if top["n"] is None or top["n"] <= rows_per_slot:
-        return replace(spec, block_seconds=None)
-    cell = max((top["b"] - top["a"]) // 4096, 1)
-    cells = df.groupBy(spec.entity, F.floor((at - top["a"]) / cell).alias("c")).agg(
-        F.count(F.lit(1)).alias("n"))
-    busiest = cells.agg(F.max("n").alias("n")).first()["n"]
-    return replace(spec, block_seconds=max(1, cell * rows_per_slot // busiest),
-                   block_rows=rows_per_slot)
-
-
 _SLOT, _START, _POS, _RUN, _HOME = "_slot", "_start", "_pos", "_run", "_home"
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.functions.quantiles import (
-    SMALL_GROUP, approx_quantiles, exact_quantiles, small_quantiles,
-)
+from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles
 from tidepanel.operators import filters
 from tidepanel.panel import PanelSpec
 from tidepanel.plans.features import feature_frame
@@ -32,8 +30,8 @@ def expanding_folds(df: DataFrame, spec: PanelSpec, min_train_days: int = 365,
                     step_days: int = 180, test_days: int = 90, min_test_rows: int = 10) -> DataFrame:
     """(entity, fold, train_end, test_end, train_rows, test_rows) of expanding windows.
 
-    Row counts come from per-day counts, so rows are not repeated per fold. Folds with
-    few test rows are left out.
+    Row counts are differences of running counts per day, taken at a fold's bounds, so
+    neither rows nor days are repeated per fold. Folds with few test rows are left out.
     """
     day = F.to_date(spec.time)
     days = df.groupBy(spec.entity, day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
@@ -46,11 +44,19 @@ def expanding_folds(df: DataFrame, spec: PanelSpec, min_train_days: int = 365,
         .withColumn("train_end", F.date_add("first", F.lit(min_train_days) + F.col("fold") * step_days))
         .withColumn("test_end", F.date_add("train_end", test_days))
     )
-    counted = folds.join(days, spec.entity).groupBy(
-        spec.entity, "fold", "train_end", "test_end").agg(
-        F.sum(F.when(F.col("day") < F.col("train_end"), F.col("n")).otherwise(0)).alias("train_rows"),
-        F.sum(F.when((F.col("day") >= F.col("train_end")) & (F.col("day") < F.col("test_end")),
-                     F.col("n")).otherwise(0)).alias("test_rows"))
+    # Bounds join the days as rows without readings; a running count then knows each bound.
+    bound = lambda c: folds.select(spec.entity, F.col(c).alias("day"), "fold", F.lit(c).alias("of"))
+    points = days.withColumns({"fold": F.lit(None).cast("int"), "of": F.lit(None).cast("string")}) \
+        .unionByName(bound("train_end").unionByName(bound("test_end")).withColumn("n", F.lit(0).cast("bigint")))
+    before = Window.partitionBy(spec.entity).orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = Window.partitionBy(spec.entity, "day")
+    so_far = F.sum("n").over(before) - F.sum("n").over(own)
+    upto = points.withColumn("upto", so_far).where("fold is not null").groupBy(spec.entity, "fold").agg(
+        F.max(F.when(F.col("of") == "train_end", F.col("upto"))).alias("train_rows"),
+        F.max(F.when(F.col("of") == "test_end", F.col("upto"))).alias("test_upto"))
+    counted = folds.join(upto, [spec.entity, "fold"]).select(
+        spec.entity, "fold", "train_end", "test_end", "train_rows",
+        (F.col("test_upto") - F.col("train_rows")).alias("test_rows"))
     return counted.where(F.col("test_rows") >= min_test_rows)
 
 
@@ -84,16 +90,13 @@ def rolling_origins(df: DataFrame, spec: PanelSpec, initial_days: int = 1825,
 
 
 def feature_stats(train: DataFrame, features: Sequence[str], target: str,
-                  by: Sequence[str] = (), exact: bool = True, small: bool = False) -> DataFrame:
-    """(by..., measure, null_frac, median) over training rows with a target.
-
-    ``small`` says the rows were counted and fit one task.
-    """
+                  by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+    """(by..., measure, null_frac, median) over training rows with a target."""
     known = train.where(F.col(target).isNotNull())
     rows = known.groupBy(*by).agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c)
                                     for c in features])
     fracs = rows.unpivot(list(by), list(features), "measure", "null_frac")
-    quantiles = small_quantiles if small else exact_quantiles if exact else approx_quantiles
+    quantiles = exact_quantiles if exact else approx_quantiles
     medians = quantiles(known, list(by), list(features), [0.5]).drop("prob")
     return (fracs.join(medians, [*by, "measure"], "left")
             .withColumnRenamed("q", "median"))
@@ -113,8 +116,7 @@ def prepare(df: DataFrame, spec: PanelSpec, features: Sequence[str], cutoff: str
     """
     marked = with_split(df.where(F.col(spec.target).isNotNull()), spec, cutoff)
     train = marked.where(F.col("split") == "train")
-    small = exact and train.count() <= SMALL_GROUP
-    stats = feature_stats(train, features, spec.target, exact=exact, small=small)
+    stats = feature_stats(train, features, spec.target, exact=exact)
     stats = kept_features(stats, max_null)
     medians = {r["measure"]: r["median"] for r in stats.collect()}
     kept = [c for c in features if c in medians]

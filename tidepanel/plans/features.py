@@ -33,6 +33,38 @@ def interaction_features(df: DataFrame) -> dict[str, Column]:
     return {n: f(*cs) for n, (cs, f) in every.items() if have.issuperset(cs)}
 
 
+def feature_groups(df: DataFrame, spec: PanelSpec) -> dict[str, list[str]]:
+    """Names of the frame's feature columns, by the builder that adds them. The hour is no
+    feature of a daily panel."""
+    target = spec.target
+    built = {
+        "temporal": [c for c in seasonal_features(spec.time) if c != "hour"],
+        "lags": [W.lag_name(c, n) for c in _lagged(df, target) for n in W.LAGS],
+        "rolling": [W.roll_name(c, n, s) for c in _rolled(df, target) for n in W.ROLL_WIDTHS
+                    for s in W.ROLL_STATS],
+        "interactions": list(interaction_features(df)),
+        "normalization": [W.zscore_name(target, spec.entity)],
+    }
+    return {group: present(df, names) for group, names in built.items()}
+
+
+def feature_group_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """(group, feature) rows of ``feature_groups`` with the non-null count of each feature."""
+    pairs = [(g, c) for g, cs in feature_groups(df, spec).items() for c in cs]
+    counts = df.agg(*[F.count(c).alias(c) for _, c in pairs])
+    rows = [F.struct(F.lit(g).alias("feature_group"), F.lit(c).alias("feature"),
+                     F.col(c).alias("n")) for g, c in pairs]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def _lagged(df: DataFrame, target: str) -> list[str]:
+    return present(df, dict.fromkeys([target, "pm2_5", "no2", "co"]))
+
+
+def _rolled(df: DataFrame, target: str) -> list[str]:
+    return present(df, dict.fromkeys([target, "pm2_5"]))
+
+
 def add_seasonal(df: DataFrame, spec: PanelSpec) -> DataFrame:
     time = "datetime" if "datetime" in df.columns else spec.time
     return df.withColumns(seasonal_features(time))
@@ -55,8 +87,7 @@ def feature_frame(df: DataFrame, spec: PanelSpec, lags: bool = True, rolling: bo
     t = spec.target
     if seasonal:
         df = add_seasonal(df, spec)
-    lagged = present(df, dict.fromkeys([t, "pm2_5", "no2", "co"]))
-    rolled = present(df, dict.fromkeys([t, "pm2_5"]))
+    lagged, rolled = _lagged(df, t), _rolled(df, t)
     skip = int(leak_free)
 
     def build(w):
@@ -77,5 +108,5 @@ def feature_frame(df: DataFrame, spec: PanelSpec, lags: bool = True, rolling: bo
 
 def _lagged_zscore(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """The previous row's z-score in place of the row's own, which restates the target."""
-    z = f"{spec.target}_{spec.entity}_zscore"
+    z = W.zscore_name(spec.target, spec.entity)
     return over_rows(df, spec, 1, 0, lambda w: {z: F.lag(z, 1).over(w)})

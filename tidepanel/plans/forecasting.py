@@ -18,9 +18,9 @@ from tidepanel.operators import aggregates, evaluation, filters, windows
 from tidepanel.operators.joins import over_horizon
 from tidepanel.panel import PanelSpec
 from tidepanel.plans import dataset
-from tidepanel.plans.features import feature_frame
+from tidepanel.plans.features import feature_frame, feature_groups
 from tidepanel.session import materialise
-from tidepanel.sources.readers import date_spine, future_spine
+from tidepanel.sources.readers import date_spine
 
 # Training cutoff, forecast length, gates of the flows.
 TRAIN_CUTOFF = "2023-01-01"
@@ -29,6 +29,8 @@ MIN_TEST_ROWS = 30
 MIN_SERIES_ROWS = 1000
 MIN_TREND_ROWS = 365
 MIN_TRAIN_CLEAN = 100
+# Training rows that an entity must exceed for a model.
+ROW_GATES = {"Boosted Trees": 0, "Random Forest": 500, "Seasonal Trend": MIN_TREND_ROWS}
 
 
 def forecast_entities(series: DataFrame, spec: PanelSpec, periods: int = FORECAST_DAYS,
@@ -200,7 +202,7 @@ def compare_regressors(series: DataFrame, spec: PanelSpec, cutoff: str,
         out = one if out is None else out.unionByName(one)
     scored = evaluation.evaluate(out, [spec.entity, "model"])
     gains = evaluation.improvement(scored, [spec.entity], next(iter(sets)))
-    return scored.join(gains, [spec.entity, "model"])
+    return scored.join(gains.drop("mape"), [spec.entity, "model"])
 
 
 def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01",
@@ -208,13 +210,16 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
                     tree_params: Mapping[str, object] | None = None,
                     forest_params: Mapping[str, object] | None = None,
                     m: TrendModel = TrendModel(),
-                    separate: Sequence[str] | None = None) -> DataFrame:
+                    separate: Sequence[str] | None = None,
+                    gates: Mapping[str, int] = ROW_GATES) -> DataFrame:
     """Prediction rows (entity, model, ds, y, yhat) of all applicable models.
 
     Trees are pooled: one model over all entities' leak-free features; ``separate`` names
-    entities that get a model of their own instead, fitted one after the other. The forest
-    needs more than 500 training rows, the trend model more than 365 per entity.
+    entities that get a model of their own instead, fitted one after the other. An entity
+    needs more training rows than ``gates`` names for a model to be scored by it; ``status_of``
+    says which models that leaves out.
     """
+    counts = training_counts(panel, spec, cutoff)
     parts = []
     if baselines:
         parts += [windows.moving_average(panel, spec, cutoff),
@@ -225,11 +230,11 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
                   else [frame.where(F.col(spec.entity) == e) for e in separate])
         for scope in scopes:
             rows, kept = dataset.prepare(scope, spec, safe_features(scope, spec), cutoff)
-            parts += _tree_predictions(rows, kept, spec, tree_params, forest_params)
+            parts += [_past_gate(p, counts, spec, gates) for p in
+                      _tree_predictions(rows, kept, spec, tree_params, forest_params)]
     if seasonal_trend:
         series = filters.entity_series(panel, spec, use_synthetic=True)
-        enough = (filters.before(series, "ds", cutoff).groupBy(spec.entity)
-                  .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MIN_TREND_ROWS))
+        enough = counts.where(F.col("n_train") > gates.get("Seasonal Trend", 0))
         chosen = series.join(enough.select(spec.entity), spec.entity, "left_semi")
         parts.append(validate_entities(chosen, spec, cutoff, m).select(
             spec.entity, "model", "ds", "y", "yhat"))
@@ -242,18 +247,47 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
 def _tree_predictions(rows: DataFrame, kept: Sequence[str], spec: PanelSpec,
                       tree_params, forest_params) -> list[DataFrame]:
     train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
-    kinds = {"gbt": tree_params}
-    if train.count() > trees.FOREST_MIN_ROWS:
-        kinds["forest"] = forest_params
+    kinds = {"gbt": tree_params, "forest": forest_params}
     return [trees.predict(trees.fit(train, kept, spec.target, kind, params), test, spec, kind)
             for kind, params in kinds.items()]
 
 
 def cross_entity_evaluation(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01",
                             **options) -> DataFrame:
-    """(entity, model, mape, rmse, mae, n_test) over entities with at least 200 rows."""
+    """(entity, model, mape, rmse, mae, n_test, status) of every entity and model. Errors are
+    those of entities with at least 200 rows; models without errors keep a row that says why."""
     big = evaluation.large_enough(panel, spec)
-    return evaluation.evaluate(evaluate_models(big, spec, cutoff, **options), [spec.entity, "model"])
+    scored = evaluation.evaluate(evaluate_models(big, spec, cutoff, **options), [spec.entity, "model"])
+    return status_of(scored, training_counts(panel, spec, cutoff), spec, options.get("gates", ROW_GATES))
+
+
+def training_counts(panel: DataFrame, spec: PanelSpec, cutoff: str) -> DataFrame:
+    """(entity, n_rows, n_train): rows, and rows with a target before the cutoff."""
+    early = F.col(spec.time) < F.lit(cutoff).cast(panel.schema[spec.time].dataType)
+    return panel.groupBy(spec.entity).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(early & F.col(spec.target).isNotNull()).alias("n_train"))
+
+
+def _past_gate(predictions: DataFrame, counts: DataFrame, spec: PanelSpec,
+               gates: Mapping[str, int]) -> DataFrame:
+    gate = F.coalesce(*[F.when(F.col("model") == k, F.lit(n)) for k, n in gates.items()], F.lit(0))
+    return (predictions.join(counts.select(spec.entity, "n_train"), spec.entity)
+            .where(F.col("n_train") > gate).drop("n_train"))
+
+
+def status_of(scored: DataFrame, counts: DataFrame, spec: PanelSpec,
+              gates: Mapping[str, int] = ROW_GATES, min_rows: int = evaluation.MIN_ROWS) -> DataFrame:
+    """``scored`` with a status, and a row without errors for every entity and model that was
+    left out for want of rows."""
+    gated = F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.lit(n).alias("gate"))
+                                for k, n in gates.items()])).alias("g")
+    out = counts.select(spec.entity, "n_rows", "n_train", gated).select(
+        spec.entity, "g.model", F.when(F.col("n_rows") < min_rows, "insufficient_data")
+        .when(F.col("n_train") <= F.col("g.gate"), "insufficient_train").alias("status"))
+    return (scored.join(out, [spec.entity, "model"], "full")
+            .withColumn("status", F.coalesce("status", F.when(F.col("n_test").isNull(), "no_predictions"), F.lit("ok")))
+            .withColumn("n_test", F.coalesce("n_test", F.lit(0))))
 
 
 def safe_features(frame: DataFrame, spec: PanelSpec) -> list[str]:
@@ -261,7 +295,7 @@ def safe_features(frame: DataFrame, spec: PanelSpec) -> list[str]:
 
     Same-row measures and their interactions are left out: they come with the target.
     """
-    groups = filters.feature_groups(frame)
+    groups = feature_groups(frame, spec)
     wanted = [c for g in ("temporal", "lags", "rolling", "normalization") for c in groups[g]]
     return [c for c in filters.numeric_features(frame, spec.target) if c in set(wanted)]
 
@@ -345,10 +379,6 @@ def expected_horizon_range(forecast: DataFrame, errors: DataFrame, spec: PanelSp
         high.alias("expected_high"))
 
 
-def horizon_spine(series: DataFrame, spec: PanelSpec, periods: int) -> DataFrame:
-    return future_spine(series, spec.with_(time="ds"), periods)
-
-
 def summary_of(batch: DataFrame, spec: PanelSpec) -> DataFrame:
     """Batch summary over the entities that succeeded."""
     return aggregates.batch_summary(batch.where(F.col("status") == "success"), spec)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +101,14 @@ def has_rows(spark: SparkSession, name: str) -> bool:
     return table_exists(spark, name) and not spark.table(name).isEmpty()
 
 
+def table_state(spark: SparkSession, name: str) -> DataFrame:
+    """One row: the name, whether the table is there, and how many rows it has."""
+    found = table_exists(spark, name)
+    rows = spark.table(name).select(F.lit(1).alias("x")) if found else spark.range(0).select(F.lit(1).alias("x"))
+    return rows.agg(F.count("x").alias("n")).select(
+        F.lit(name).alias("name"), F.lit(found).alias("found"), "n")
+
+
 def first_available(*sources: Callable[[], DataFrame | None]) -> DataFrame | None:
     """The first source that yields rows; a source that is missing yields None."""
     for load in sources:
@@ -107,8 +116,8 @@ def first_available(*sources: Callable[[], DataFrame | None]) -> DataFrame | Non
             df = load()
             if df is not None and not df.isEmpty():
                 return df
-        except Exception as exc:  # a path that is not there surfaces as an analysis error
-            if "PATH_NOT_FOUND" not in str(exc) and "TABLE_OR_VIEW_NOT_FOUND" not in str(exc):
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
                 raise
     return None
 
