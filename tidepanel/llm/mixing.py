@@ -81,9 +81,9 @@ def kinds(share: DataFrame) -> DataFrame:
     source gives, ``size`` those of all, ``start`` the slot of its first frame."""
     full = _div(F.col("blocks"), F.col("parts"))
     firsts = share.select(F.explode(F.array(F.lit(0).cast("long"), full, full + 1)).alias("kind")) \
-        .agg(F.sort_array(F.collect_set("kind")).alias("firsts"))
-    rows = (share.withColumn("one", F.lit(1)).join(firsts.withColumn("one", F.lit(1)), "one").drop("one")
-            .select("mix_source", "blocks", "parts", "firsts", F.explode("firsts").alias("kind")))
+        .agg(F.sort_array(F.collect_set("kind")).alias("firsts")).scalar()
+    rows = share.withColumn("firsts", firsts).select("mix_source", "blocks", "parts", "firsts",
+                                                     F.explode("firsts").alias("kind"))
     own = Window.partitionBy("kind")
     done = F.least(F.col("blocks"), F.col("kind") * F.col("parts"))
     q = F.least(F.col("parts"), F.col("blocks") - done)
