@@ -28,8 +28,8 @@ WIDTH = 5
 RADIUS = 19
 #: Bits of each block of a fingerprint.
 BLOCKS = (13, 13, 13, 13, 12)
-#: An anchor is chosen from every so many words.
-STRETCH = 10
+#: An anchor is chosen from every so many words, the fewest that will do.
+STRETCHES = (20, 10, 5, 1)
 
 
 def _words(text: Column) -> Column:
@@ -83,27 +83,29 @@ def items(benchmark: DataFrame) -> DataFrame:
 
 
 def anchors(item: DataFrame, percent: int) -> DataFrame:
-    """(word, n, offset): the anchors of every item. Where those of an item leave it possible
-    that a similar window has none of them, all its words are anchors."""
+    """(word, n, offset): the anchors of every item.
+
+    From every stretch of words the one is chosen that is longest and stands in most shingles.
+    A window without any of these words lacks all shingles with one of them; where that
+    leaves room for the similarity, shorter stretches are taken, down to every word.
+    """
     placed = item.select("item_id", "words", "n", F.posexplode("words").alias("at", "word"))
-    longest = placed.groupBy("item_id", "words", "n", F.floor(F.col("at") / STRETCH).alias("stretch")).agg(
-        F.max(F.struct(F.length("word").alias("size"), "at", "word")).alias("x"))
-    chosen = longest.groupBy("item_id", "words", "n").agg(F.collect_list("x.at").alias("ats"))
-    words = F.col("words")
-    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - WIDTH))
-
-    def through(i: Column) -> Column:
-        """The weight of the shingle at ``i`` if an anchor stands in it."""
-        met = F.exists("ats", lambda a: (a >= i) & (a < i + WIDTH))
-        return F.when(met, F.length(F.array_join(F.slice(words, i + 1, F.lit(WIDTH)), " "))).otherwise(0)
-
-    total = F.aggregate(places, F.lit(0), lambda a, i: a + F.length(F.array_join(
-        F.slice(words, i + 1, F.lit(WIDTH)), " ")))
-    covered = F.aggregate(places, F.lit(0), lambda a, i: a + through(i))
-    # Half of what is covered may be repeats of one shingle, which count once.
-    enough = covered * 100 > (total * (100 - percent)) * 2
-    ats = F.when(enough, F.col("ats")).otherwise(F.sequence(F.lit(0), F.size(words) - 1))
-    return (chosen.select("n", "words", F.explode(ats).alias("offset"))
+    met = F.least("at", F.col("n") - WIDTH) - F.greatest(F.col("at") - WIDTH + 1, F.lit(0)) + 1
+    worth = F.length("word") * F.greatest(met, F.lit(1))
+    parts = F.greatest(F.lit(1), F.floor(F.col("n") / F.col("stretch")))  # of about equal length
+    chosen = (placed.withColumn("stretch", F.explode(F.array(*map(F.lit, STRETCHES))))
+              .groupBy("item_id", "words", "n", "stretch", F.floor(F.col("at") * parts / F.col("n")))
+              .agg(F.max(F.struct(worth.alias("worth"), "at", "word")).alias("x"))
+              .groupBy("item_id", "words", "n", "stretch")
+              .agg(F.collect_list("x.at").alias("ats"), F.collect_set("x.word").alias("marks")))
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - WIDTH + 1))
+    own = F.array_distinct(F.transform(places, lambda i: F.slice("words", i, F.lit(WIDTH))))
+    weight = lambda s: F.aggregate(
+        s, F.lit(0), lambda a, x: a + F.length(F.array_join(x, " ")))
+    covered = weight(F.filter(own, lambda x: F.arrays_overlap(x, "marks")))
+    enough = chosen.where((F.col("stretch") == 1) | (covered * 100 > weight(own) * (100 - percent)))
+    ats = enough.groupBy("item_id", "words", "n").agg(F.max_by("ats", "stretch").alias("ats"))
+    return (ats.select("n", "words", F.explode("ats").alias("offset"))
             .select(F.element_at("words", F.col("offset") + 1).alias("word"), "n", "offset").distinct())
 
 
