@@ -27,7 +27,7 @@ def quality_verdicts(rows, rules, fence=3, least=200):
 
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
     held = {i: dict(zip(names, quality(t or ""))) for i, _, _, t in rows}
-    ratio = lambda m, r: m[rules[r][0]] * 1000 // m[rules[r][1]] if m[rules[r][1]] else None
+    ratio = lambda m, r: m[rules[r][0]] * 1000 // (m[rules[r][1]] + rules[r][4]) if m[rules[r][1]] else None
     groups = collections.defaultdict(list)
     for i, lang, source, _ in rows:
         for r in rules:
@@ -38,7 +38,7 @@ def quality_verdicts(rows, rules, fence=3, least=200):
     kept = set()
     for i, lang, source, _ in rows:
         m, good = held[i], True
-        for r, (_, _, side, floor) in rules.items():
+        for r, (_, _, side, floor, _) in rules.items():
             v = ratio(m, r)
             if v is None:
                 continue

@@ -23,13 +23,14 @@ from tidepanel.session import materialise
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
-#: Rule: numerator, denominator, side, least spread. Ratios are in thousandths.
+#: Rule: numerator, denominator, side, least spread, and what is added to the denominator, so
+#: that one line or phrase decides nothing in a short text. Ratios are in thousandths.
 RULES = {
-    "symbols": ("n_symbols", "n_words", "high", 50),
-    "dup_lines": ("n_dup_lines", "n_lines", "high", 100),
-    "repeats": ("n_repeat_words", "n_words", "high", 100),
-    "long_words": ("word_chars", "n_words", "high", 500),
-    "short_words": ("word_chars", "n_words", "low", 500),
+    "symbols": ("n_symbols", "n_words", "high", 50, 0),
+    "dup_lines": ("n_dup_lines", "n_lines", "high", 100, 3),
+    "repeats": ("n_repeat_words", "n_words", "high", 100, 20),
+    "long_words": ("word_chars", "n_words", "high", 500, 0),
+    "short_words": ("word_chars", "n_words", "low", 500, 0),
 }
 
 
@@ -101,8 +102,8 @@ def bucket_top(b: Column) -> Column:
 
 
 def ratio(rule: str) -> Column:
-    above, below, _, _ = RULES[rule]
-    return F.when(F.col(below) > 0, F.call_function("div", F.col(above) * 1000, F.col(below)))
+    above, below, _, _, more = RULES[rule]
+    return F.when(F.col(below) > 0, F.call_function("div", F.col(above) * 1000, F.col(below) + more))
 
 
 def sketches(measured: DataFrame) -> DataFrame:
