@@ -59,10 +59,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         column = texts(batch)
-        for start, end in slices(column):
+        for start, end in slices(column, 1 << 20):
             keys, n = np.unique(_stream(column[start:end].to_pylist())[0], return_counts=True)
             parts.append((keys, n.astype(np.float64)))
-            if len(parts) > 8:
+            if len(parts) > 24:
                 parts = [merged()]
     if parts:
         keys, n = merged()
@@ -144,7 +144,7 @@ def _scores(batches: Iterator[pa.RecordBatch], table, keys: list[str]) -> Iterat
     slots = hash_slots(known)
     for batch in batches:
         column = texts(batch)
-        for start, end in slices(column):
+        for start, end in slices(column, 1 << 20):
             grams, sizes = _stream(column[start:end].to_pylist())
             at = find_slots(slots, known, grams)
             cost = np.where(at >= 0, bits[at], 0.0) if len(known) else np.zeros(len(grams))
@@ -216,11 +216,10 @@ def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.999, slack
     lengths = materialise(code_lengths(rows, fit(trusted), ("doc_id", "lang")), "lengths")
     rated = lengths.withColumn("rate", F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes")))
     cuts = materialise(cutoffs(keep_ids(rated, good.where("half = 1"), "doc_id"), share), "cutoffs")
-    whole = cuts.where("every").agg(F.max("cutoff").alias("of_all")).withColumn("one", F.lit(1))
+    of_all = cuts.where("every").agg(F.max("cutoff")).scalar()
     own = cuts.where("not every").select(F.col("lang").alias("c_lang"), "cutoff")
     out = (rated.join(own, F.col("lang").eqNullSafe(F.col("c_lang")), "left")
-           .withColumn("one", F.lit(1)).join(whole, "one", "left")
-           .withColumn("cutoff", F.coalesce("cutoff", "of_all") * slack))
+           .withColumn("cutoff", F.coalesce("cutoff", of_all) * slack))
     return out.select("doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), "rate").alias("perplexity"),
                       F.pow(F.lit(2.0), "cutoff").alias("cutoff"),
                       F.coalesce(F.col("rate") <= F.coalesce("cutoff", "rate"), F.lit(False)).alias("kept"))
