@@ -1,3 +1,3 @@
 from checks.queries import (  # noqa: F401
-    aggregates, charts, evaluation, features, forecasting, joins, quality, scalars, sources, windows,
+    aggregates, charts, evaluation, features, forecasting, joins, lines, quality, scalars, sources, windows,
 )
