@@ -53,6 +53,13 @@ def test_future_has_exactly_the_wanted_days(series):
     assert ahead.where("yhat is null or yhat_lower is null").count() == 0
 
 
+def test_sums_follow_the_stretches_not_the_tasks(series):
+    rows = series.repartition(64)
+    m = TrendModel()
+    sums = trend.partial_sums(rows, trend._scaling(rows, m, ["city"]), m, ["city"])
+    assert sums.count() <= 2 * 2  # four years lie in at most two stretches
+
+
 def test_partitioning_does_not_change_the_fit(series):
     a = trend.fit(series.coalesce(1), SPEC).orderBy("city").collect()
     b = trend.fit(series.repartition(13), SPEC).orderBy("city").collect()

@@ -1,10 +1,11 @@
 """Seasonal-trend regression for every entity at once.
 
 A series is a piecewise-linear trend plus yearly sine and cosine pairs, and optional
-regressors. Each row's design vector is a column expression; tasks add its outer products
-up to one partial sum per entity and task, Spark sums those by entity, and a small ridge
-system per entity gives the coefficients. Only the sums are shuffled, so the length of a
-series, and how rows spread over entities, do not matter. Prediction is column arithmetic.
+regressors. The narrow rows are dealt by entity and stretch of years, so a long series
+spreads over its stretches. Each row's design vector is a column expression; a task adds its
+outer products up to one sum per entity and stretch, Spark adds those by entity, and a small
+ridge system per entity gives the coefficients. The number of sums follows the entities and
+their stretches, not the tasks. Prediction is column arithmetic.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from pyspark.sql import types as T
 from tidepanel.panel import PanelSpec
 
 YEAR = 365.25
-# Rows a task gathers per step, and accumulators it holds before handing partial sums on.
+# Rows a task gathers per step, and sums it holds before handing them on.
 HELD_ROWS = 50_000
 FLUSH = 2048
+# Days of a series that one task adds up.
+STRETCH_DAYS = 3653
 
 
 @dataclass(frozen=True)
@@ -123,6 +126,8 @@ def _partial_sums(keys: Sequence[str]):
             for i, j in zip(starts, [*starts[1:], len(x)]):
                 key, packed = tuple(names[i]), (x[i:j].T @ x[i:j])[upper]
                 sums[key] = sums[key] + packed if key in sums else packed
+                if len(sums) >= FLUSH:
+                    yield drain()
 
         def drain():
             rows = [(*k, v) for k, v in sums.items()]
@@ -133,11 +138,9 @@ def _partial_sums(keys: Sequence[str]):
             if len(pdf):
                 held.append(pdf)
             if sum(map(len, held)) >= HELD_ROWS:
-                take()
-                if len(sums) >= FLUSH:
-                    yield drain()
+                yield from take()
         if held:
-            take()
+            yield from take()
         if sums:
             yield drain()
     return add
@@ -173,12 +176,7 @@ def fit(train: DataFrame, spec: PanelSpec, m: TrendModel = TrendModel(),
     keys = list(keys or [spec.entity])
     rows = train.where(F.col("y").isNotNull()).dropna(subset=list(m.regressors) or ["y"])
     scaling = _scaling(rows, m, keys)
-    designed = rows.join(scaling, keys).select(
-        *keys, _design(m).alias("design"), (_link(m, F.col("y")) / F.col("_scale")).alias("v"))
-    schema = T.StructType([*[designed.schema[k] for k in keys],
-                           T.StructField("sums", T.ArrayType(T.DoubleType()))])
-    partial = designed.mapInPandas(_partial_sums(keys), schema)
-    total = partial.groupBy(*keys).agg(
+    total = partial_sums(rows, scaling, m, keys).groupBy(*keys).agg(
         vector_to_array(Summarizer.sum(array_to_vector(F.col("sums")))).alias("sums"))
     # The first packed entry is the sum of squares of the level column: the row count.
     solved = total.select(*keys, _solver(m)("sums", F.col("sums")[0]).alias("s"),
@@ -186,6 +184,17 @@ def fit(train: DataFrame, spec: PanelSpec, m: TrendModel = TrendModel(),
     return (solved.select(*keys, "n", "s.beta", "s.sigma").join(scaling, keys))
 
 
+def partial_sums(rows: DataFrame, scaling: DataFrame, m: TrendModel, keys: Sequence[str]) -> DataFrame:
+    """(keys..., sums): one row per group and stretch of days."""
+    stretch = F.floor(F.unix_date(F.to_date("ds")) / STRETCH_DAYS)
+    narrow = rows.select(*keys, "ds", "y", *m.regressors).join(scaling, list(keys))
+    designed = narrow.repartition(*keys, stretch).select(
+        *keys, _design(m).alias("design"), (_link(m, F.col("y")) / F.col("_scale")).alias("v"))
+    schema = T.StructType([*[designed.schema[k] for k in keys],
+                           T.StructField("sums", T.ArrayType(T.DoubleType()))])
+    return designed.mapInPandas(_partial_sums(keys), schema)
+
+
 def predict(coefficients: DataFrame, dates: DataFrame, spec: PanelSpec,
             m: TrendModel = TrendModel(), keys: Sequence[str] | None = None) -> DataFrame:
     """(keys..., ds, ..., yhat, yhat_lower, yhat_upper) for each wanted row."""
