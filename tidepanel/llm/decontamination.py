@@ -115,9 +115,11 @@ def windows(docs: DataFrame, anchor: DataFrame) -> DataFrame:
     hits = materialise(at.join(anchor, "word").select(
         F.col("doc_id").alias("h_id"), "n", F.greatest(F.lit(0), F.col("at") - F.col("offset")).alias("start"))
         .distinct(), "hits")
-    met = docs.join(F.broadcast(hits) if is_few(hits) else hits, F.col("doc_id").eqNullSafe(F.col("h_id")))
-    cut = F.array_remove(F.slice(_words(F.col("text")), F.col("start") + 1, F.col("n")), "")
-    return met.select("doc_id", "n", "start", cut.alias("words"))
+    sent = F.broadcast(hits) if is_few(hits) else hits
+    same = F.col("doc_id").eqNullSafe(F.col("h_id"))
+    split = docs.join(sent, same, "left_semi").select("doc_id", _words(F.col("text")).alias("all"))
+    cut = F.array_remove(F.slice("all", F.col("start") + 1, F.col("n")), "")
+    return split.join(sent, same).select("doc_id", "n", "start", cut.alias("words"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:

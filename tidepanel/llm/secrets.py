@@ -139,7 +139,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     queries = {r: trigram_query(rule.pattern) for r, rule in enumerate(rules)}
     trigrams = sorted({t for clauses in queries.values() for c in clauses for t in c})
-    rows = docs.drop("spans", "rules")
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "spans")]
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("no_column"), *others).alias("rest"))
     if trigrams:
         found = materialise(candidates(postings(only(docs, "doc_id", "text"), trigrams), rules), "candidates")
         found = found.select(F.col("doc_id").alias("c_id"), "rules")
@@ -154,7 +155,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         may = F.coalesce(F.col("rules"), F.lit(0)).bitwiseAND(1 << r) > 0
         parts.append(F.when(may, own).otherwise(F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>"))
                      if queries[r] else own)
-    return rows.withColumn("spans", F.array_sort(F.concat(*parts))).drop("rules")
+    rows = rows.withColumn("spans", F.array_sort(F.concat(*parts)))
+    return rows.select(*[F.col("rest")[c].alias(c) if c in others else F.col(c)
+                         for c in docs.columns if c != "spans"], "spans")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

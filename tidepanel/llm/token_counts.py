@@ -26,7 +26,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Characters every version of Unicode classes alike; other texts are split by the library.
 SETTLED = regex.compile(r"[^\u0000-ɏ‐-‧‰-⁞₠-€]")
 #: The dictionary: entries at most, their length in characters, the least local count.
-ENTRIES, LONGEST, LEAST = 1 << 18, 24, 4
+ENTRIES, LONGEST, LEAST = 1 << 18, 48, 4
 _loaded: dict = {}
 
 
@@ -78,10 +78,10 @@ def _frequent(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
         for start, end in slices(column):
             for value in column[start:end].to_pylist():
                 held.update(pieces(path, value.decode("utf-8", "replace")))
-            if len(held) > 4 * ENTRIES:
+            if len(held) > 2 * ENTRIES:
                 held = Counter({k: n for k, n in held.items() if n >= LEAST})
-                if len(held) > 2 * ENTRIES:
-                    held = Counter(dict(held.most_common(ENTRIES)))
+                if len(held) > ENTRIES:
+                    held = Counter(dict(held.most_common(ENTRIES // 2)))
     often = [(k, n) for k, n in held.items() if n >= LEAST and len(k) <= LONGEST]
     yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in often], pa.string()),
                                       pa.array([n for _, n in often], pa.int64())],
@@ -156,7 +156,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     rows = only(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     own = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n_bytes long"
     frequencies = rows.mapInArrow(lambda b: _frequencies(b, path, known), f"{own}, piece string, n long")
-    place = F.xxhash64(F.coalesce(F.col("piece"), F.col("row").cast("string")))
+    # A piece that is too long for the dictionary, yet frequent, is spread over some places.
+    spread = F.when(F.length("piece") > LONGEST, F.col("row") % 64)
+    place = F.xxhash64(F.coalesce(F.col("piece"), F.col("row").cast("string")), spread)
     return (frequencies.repartition(place).sortWithinPartitions("piece")
             .mapInArrow(lambda b: _weighed(b, path), f"{own}, tokens long")
             .groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
