@@ -27,7 +27,7 @@ PARTS = 200
 #: Documents of a block.
 BLOCK = 8
 #: Rows of a source that one task numbers, about.
-RUN = 20_000
+RUN = 4_000
 
 
 def _div(a: Column, b: Column) -> Column:
