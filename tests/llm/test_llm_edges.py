@@ -3,6 +3,7 @@ columns whose names clash with those that the operators make."""
 
 import hashlib
 import math
+import random
 
 import pytest
 
@@ -258,3 +259,28 @@ def test_preferences(spark):
     assert got[5].n_common == 1 and got[5].chosen == "<|user|>\nx<|end|>\n"
     none = frame(spark, [], schema)
     assert preferences.preference_pairs(none, none).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    from tidepanel.llm.components import components
+
+    rng = random.Random(seed)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(120 + 60 * seed)]
+    links += [(1000 + i, 1001 + i) for i in range(70)] + [(2000, 2000 + i) for i in range(90)] + [(5, 5), (None, 7)]
+    got = components(frame(spark, links, "a long, b long")).collect()
+    ids = {x for a, b in links if a is not None and a != b for x in (a, b)}
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a is not None and a != b:
+            lo, hi = sorted((find(a), find(b)))
+            parent[hi] = lo
+    assert sorted((r.id, r.component) for r in got) == sorted((i, find(i)) for i in ids)
+    some = {r.id: r.component for r in components(frame(spark, links, "a long, b long"), 1).collect()}
+    assert set(some) == ids and all(find(some[i]) == find(i) for i in ids)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidepanel.session import materialise
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): the smallest id reachable.
 
     Each round hangs the neighbours of an id, and the id, on the smallest of them, first over
@@ -16,28 +16,36 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     with the logarithm of a component's size. Minima combine before the shuffle, so an id with
     many links is no hot group; every round is written to the shared folder, which cuts the
     lineage. Links with a null end and links of an id to itself count for nothing.
+
+    After ``rounds``, where given, it stops: ids with one component are connected then, but
+    ids of different ones may be too.
     """
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = materialise(edges, "edges")
-    before = None
-    for _ in range(most_rounds):
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")) \
-            .withColumnRenamed("a", "k")
-        large = (both.where("b > a").join(least, F.col("a") == F.col("k"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = large.distinct()
-        own = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
-        small = large.join(own, F.col("a") == F.col("k"))
-        edges = (small.select("a", F.col("m").alias("b"))
-                 .unionAll(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-                 .where("a <> b").distinct())
-        edges = materialise(edges, "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    edges, done = edges.distinct(), 0
+    while rounds is None or done < rounds:
+        edges, done = materialise(_round(edges), "edges"), done + 1
+        if _stars(edges):
             break
-        before = state
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    stars = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return stars.unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    hung = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    centers = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    return hung.unionAll(centers.join(hung.select("id"), "id", "left_anti"))
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy(F.col("a").alias("k")).agg(F.least(F.min("b"), F.col("k")).alias("m"))
+    large = (both.where("b > a").join(least, F.col("a") == F.col("k"))
+             .select(F.col("b").alias("a"), F.col("m").alias("b")))
+    own = large.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
+    small = large.join(own, F.col("a") == F.col("k"))
+    return (small.select("a", F.col("m").alias("b"))
+            .unionAll(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
+            .where("a <> b").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id hangs on one other that hangs on nothing."""
+    ends = (edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionAll(edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    found = ends.groupBy("id").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return found.where("up > 1 or (up > 0 and down > 0)").isEmpty()

@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
-    more = _across(lists, components(links), classes, sets, k, overlap, percent)
+    more = _across(lists, components(links, 2), classes, sets, k, overlap, percent)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
