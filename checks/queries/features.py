@@ -8,7 +8,6 @@ from checks.queries.windows import rolls
 from checks.registry import fixed, query
 from checks.sqltext import MEASURES, r
 from checks.tables import CUTOFF, PANEL, SERIES
-from tidepanel.operators import filters as FL
 from tidepanel.plans import dataset as D
 from tidepanel.plans import features as P
 

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tests.conftest import frame
 from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles

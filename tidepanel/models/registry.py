@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +53,12 @@ def trained_models(spark: SparkSession, root: str) -> DataFrame | None:
     """Latest row per entity and model type; None before the first save."""
     try:
         rows = spark.read.schema(REGISTRY).parquet(f"{root}/registry")
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc):
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    at = lambda c: F.max_by(c, "trained_at").alias(c)
-    return rows.groupBy("entity", "model_type").agg(
-        at("target"), at("features"), at("path"), F.round(at("size_kb"), 1).alias("size_kb"),
-        F.max("trained_at").alias("trained_at"))
+    # The whole row of the latest save; two in the same moment are told apart by their content.
+    row = F.max(F.struct("trained_at", "target", "features", "path", "size_kb")).alias("row")
+    return rows.groupBy("entity", "model_type").agg(row).select(
+        "entity", "model_type", "row.target", "row.features", "row.path",
+        F.round("row.size_kb", 1).alias("size_kb"), "row.trained_at")

@@ -24,32 +24,40 @@ def provenance(df: DataFrame, spec: PanelSpec, use_synthetic: bool = False) -> D
     return df if use_synthetic else df.where(~F.col(spec.synthetic))
 
 
-def entity_series(df: DataFrame, spec: PanelSpec, entities: Sequence[str] | None = None,
+def only_entities(df: DataFrame, spec: PanelSpec,
+                  entities: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Rows of the wanted entities: a short list becomes a pushed filter, a table (one column
+    named as the entity) a semi-join, None keeps all."""
+    if entities is None:
+        return df
+    if isinstance(entities, DataFrame):
+        return df.join(entities.select(spec.entity), spec.entity, "left_semi")
+    return df.where(F.col(spec.entity).isin(list(entities)))
+
+
+def entity_series(df: DataFrame, spec: PanelSpec, entities: Sequence[str] | DataFrame | None = None,
                   use_synthetic: bool = False) -> DataFrame:
     """(entity, ds, y) of rows with a target, for some or all entities in one scan."""
     df = provenance(df, spec, use_synthetic).where(F.col(spec.target).isNotNull())
-    if entities is not None:
-        df = df.where(F.col(spec.entity).isin(list(entities)))
+    df = only_entities(df, spec, entities)
     return df.select(spec.entity, F.to_date(spec.time).alias("ds"), F.col(spec.target).alias("y"))
 
 
-def entity_measures(df: DataFrame, spec: PanelSpec, entities: Sequence[str] | None = None,
+def entity_measures(df: DataFrame, spec: PanelSpec, entities: Sequence[str] | DataFrame | None = None,
                     use_synthetic: bool = False) -> DataFrame:
     """All measure and provenance columns of some or all entities; the entity is kept."""
     df = provenance(df, spec, use_synthetic)
-    if entities is not None:
-        df = df.where(F.col(spec.entity).isin(list(entities)))
+    df = only_entities(df, spec, entities)
     wanted = [spec.entity, spec.time, *POLLUTANTS, spec.target, spec.bucket,
               spec.synthetic, spec.source]
     return df.select(*present(df, wanted))
 
 
 def hourly_measures(df: DataFrame, spec: PanelSpec,
-                    entities: Sequence[str] | None = None) -> DataFrame:
+                    entities: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """The hourly page's columns, real rows only."""
     df = provenance(df, spec)
-    if entities is not None:
-        df = df.where(F.col(spec.entity).isin(list(entities)))
+    df = only_entities(df, spec, entities)
     return df.select(*present(df, [spec.entity, spec.time, "pm2_5", "pm10", "no2", "co", "o3",
                                    spec.target]))
 
