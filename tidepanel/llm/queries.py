@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepanel.llm import oracles
 from tidepanel.llm.decontamination import contamination
 from tidepanel.llm.language_id import identify
 from tidepanel.llm.language_model import perplexities
@@ -20,7 +21,7 @@ from tidepanel.llm.token_counts import token_counts
 from tidepanel.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracles.SQL)
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -44,7 +45,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "failed", "kept")
+        "n_repeat_words", "base_failed", F.array_join("failed", ",").alias("failed"), "kept")
 
 
 @query
@@ -77,7 +78,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumns({"items": F.array_join("items", ","), "similarity": F.round("similarity", 6)})
 
 
 @query
