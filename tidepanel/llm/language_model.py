@@ -74,10 +74,17 @@ def _low(gram: Column, n: int) -> Column:
     return gram.bitwiseAND((1 << (8 * n)) - 1)
 
 
-def _discounts(counted: DataFrame) -> tuple[float, float, float]:
-    """The discounts of counts one, two, and three or more."""
-    held = counted.agg(*[F.sum((F.col("n") == i).cast("long")).alias(f"c{i}") for i in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (float(x or 0) for x in held)
+def _discounts(tables: list[DataFrame]) -> list[tuple[float, float, float]]:
+    """Per order the discounts of counts one, two, and three or more."""
+    rows = None
+    for i, table in enumerate(tables):
+        few = table.where("n <= 4").select(F.lit(i).alias("order"), "n")
+        rows = few if rows is None else rows.unionAll(few)
+    held = {(r["order"], r["n"]): float(r["count"]) for r in rows.groupBy("order", "n").count().collect()}
+    return [_discount(*[held.get((i, n), 0.0) for n in (1, 2, 3, 4)]) for i in range(len(tables))]
+
+
+def _discount(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
     if not n1 or not n2:
         return 0.5, 0.75, 0.9
     y = n1 / (n1 + 2 * n2)
@@ -85,54 +92,62 @@ def _discounts(counted: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.1), i + 0.9) for i, d in enumerate(raw))
 
 
+def _context(gram: Column, n: int) -> Column:
+    """The bytes before the last one of an n-gram of ``n``."""
+    return F.shiftright(_low(gram, n), 8)
+
+
+def _next(gram: Column) -> Column:
+    return gram.bitwiseAND(255).cast("int")
+
+
 @dataclass(frozen=True)
 class Model:
-    """``counts``: (gram, n) of the longest n-grams. ``orders``: from one byte up, (gram, p)
-    of the n-grams of trusted text and (context, free) of their contexts, the share that a
-    context leaves to the lower order."""
+    """``counts``: (gram, n) of the longest n-grams. ``orders``: from one byte up, a row per
+    context of trusted text: (context, free, next), where ``next`` has the probability of each
+    byte that follows and ``free`` is the share left to the lower order."""
     counts: DataFrame
-    orders: list[tuple[DataFrame, DataFrame]]
+    orders: list[DataFrame]
 
 
 def fit(trusted: DataFrame) -> Model:
-    """The model of all whole texts of ``trusted``."""
+    """The model of all whole texts of ``trusted``. At most 256 bytes follow a context, so a
+    context is one row; the rows of an order are joined to the contexts that are a byte shorter."""
     counted = (only(trusted, "text").where("text is not null").mapInArrow(_counts, "gram long, n long")
                .groupBy("gram").agg(F.sum("n").alias("n")))
     tables = [materialise(counted, "grams")]
     for n in range(ORDER - 1, 0, -1):
         lower = tables[0].groupBy(_low(F.col("gram"), n).alias("gram")).agg(F.count("*").alias("n"))
         tables.insert(0, materialise(lower, "grams"))
-    model, below = [], None
-    for n, table in enumerate(tables, 1):
-        d1, d2, d3 = _discounts(table)
+    orders: list[DataFrame] = []
+    for n, (table, (d1, d2, d3)) in enumerate(zip(tables, _discounts(tables)), 1):
         cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        rows = table.withColumns({"context": F.shiftright("gram", 8), "cut": cut})
-        contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
-        contexts = contexts.select("context", "total", (F.col("freed") / F.col("total")).alias("free"))
-        rows = rows.join(contexts, "context")
-        own = (F.col("n") - F.col("cut")) / F.col("total")
-        if below is None:
-            rows = rows.select("gram", (own + F.col("free") / 256).alias("p"))
-        else:
-            lower = below.select(F.col("gram").alias("low"), F.col("p").alias("low_p"))
-            rows = rows.join(lower, _low(F.col("gram"), n - 1) == F.col("low")).select(
-                "gram", (own + F.col("free") * F.col("low_p")).alias("p"))
-        below = materialise(rows, "model")
-        model.append((below, contexts.select("context", "free")))
-    return Model(tables[-1], model)
+        rows = table.select(_context(F.col("gram"), n).alias("context"), "n", cut.alias("cut"),
+                            F.struct(_next(F.col("gram")).alias("byte"), (F.col("n") - cut).alias("own")).alias("e"))
+        rows = rows.groupBy("context").agg(
+            F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("free"), F.collect_list("e").alias("seen"))
+        if orders:
+            below = orders[-1].select(F.col("context").alias("low"), F.col("next").alias("lower"))
+            rows = rows.join(below, _low(F.col("context"), n - 2) == F.col("low"))
+        known = bool(orders)
+
+        def entry(e: Column) -> Column:
+            lower_p = F.try_element_at("lower", e["byte"]) if known else F.lit(1 / 256)
+            return F.struct(e["byte"], (e["own"] / F.col("total") + F.col("free") * lower_p).alias("p"))
+
+        rows = rows.select("context", "free", F.map_from_entries(F.transform("seen", entry)).alias("next"))
+        orders.append(materialise(rows, "model"))
+    return Model(tables[-1], orders)
 
 
 def probabilities(grams: DataFrame, model: Model) -> DataFrame:
-    """(gram, bits) of any n-grams of full length, backing off to shorter ones."""
+    """(gram, bits) of any n-grams of full length, backing off to shorter contexts."""
     rows = grams.select("gram").distinct().withColumns({"p": F.lit(None).cast("double"), "share": F.lit(1.0)})
     for n in range(ORDER, 0, -1):
-        seen, contexts = model.orders[n - 1]
-        seen = seen.select(F.col("gram").alias("k"), F.col("p").alias("seen_p"))
-        contexts = contexts.select(F.col("context").alias("c"), "free")
-        key = _low(F.col("gram"), n)
-        rows = rows.join(seen, key == F.col("k"), "left").join(
-            contexts, F.shiftright(key, 8) == F.col("c"), "left")
-        rows = rows.select("gram", F.coalesce("p", F.col("share") * F.col("seen_p")).alias("p"),
+        found = model.orders[n - 1].select(F.col("context").alias("c"), "free", "next")
+        rows = rows.join(found, _context(F.col("gram"), n) == F.col("c"), "left")
+        here = F.try_element_at("next", _next(F.col("gram")))
+        rows = rows.select("gram", F.coalesce("p", F.col("share") * here).alias("p"),
                            (F.col("share") * F.coalesce("free", F.lit(1.0))).alias("share"))
     return rows.select("gram", (-F.log2(F.coalesce("p", F.col("share") / 256))).alias("bits"))
 
@@ -166,9 +181,9 @@ def _scores(batches: Iterator[pa.RecordBatch], table, keys: list[str]) -> Iterat
 
 def code_lengths(docs: DataFrame, model: Model, keys: tuple[str, ...]) -> DataFrame:
     """``keys``, bytes and bits of every whole text, null counting as empty."""
-    grams, _ = model.orders[-1]
-    common = model.counts
-    top = common.orderBy(F.desc("n"), "gram").limit(TABLE).join(grams, "gram").orderBy("gram").toArrow()
+    common = model.counts.orderBy(F.desc("n"), "gram").limit(TABLE)
+    top = (common.join(model.orders[-1], _context(F.col("gram"), ORDER) == F.col("context"))
+           .select("gram", F.try_element_at("next", _next(F.col("gram"))).alias("p")).orderBy("gram").toArrow())
     bits = -np.log2(np.append(top["p"].to_numpy(), 1.0))
     table = docs.sparkSession.sparkContext.broadcast((top["gram"].to_numpy(), bits))
     rows = only(docs, *keys, "text").withColumn("row", F.monotonically_increasing_id())
@@ -202,7 +217,7 @@ def cutoffs(rates: DataFrame, share: float) -> DataFrame:
 def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.999, slack: float = 1.1) -> DataFrame:
     """``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` per byte, ``cutoff`` and ``kept``.
 
-    Trusted are the documents that ``labels`` gives quality 1. One half of them, by the crc32
+    Trusted are the documents that ``labels`` gives quality 1. One half of them, by the md5
     of the id, trains the model; the other, which it has not seen, sets the cutoffs. A
     document is kept when its bits per byte are at most ``slack`` times the ``share`` quantile
     of that half's documents of its language, or of all where its language has none. Null and empty texts have no
@@ -210,7 +225,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.999, slack
     with a byte is kept. Repeated rows are judged each; other columns are ignored.
     """
     rows = only(docs, "doc_id", "lang", "text")
-    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
+    digit = F.substring(F.md5(F.col("doc_id").cast("string")), 32, 1)
+    half = F.conv(digit, 16, 10).cast("int") % 2
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id", half.alias("half"))
     trusted = keep_ids(rows, good.where("half = 0"), "doc_id")
     lengths = materialise(code_lengths(rows, fit(trusted), ("doc_id", "lang")), "lengths")

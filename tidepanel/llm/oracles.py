@@ -163,5 +163,52 @@ SELECT doc_id, source, block::BIGINT AS block, (start + (frame - kind) * size +
 FROM spot JOIN plan USING (kind, s, j)"""
 
 
-SQL = {"op4_secret_scans": secret_scans(), "op5_near_duplicates": near_duplicates(3, 85),
+def perplexity(order: int = 5, share: float = 0.999, slack: float = 1.1, step: float = 0.001) -> str:
+    """Bytes as pairs of hex digits; count tables and probabilities order by order."""
+    rows, pad = [], "00" * (order - 1)
+    grams = lambda source: f"""SELECT doc_id, substr(x, 2 * i + 1, {2 * order}) AS g, count(*) AS n
+  FROM (SELECT doc_id, '{pad}' || h AS x, unnest(range(0, length(h) // 2)) AS i FROM {source}) GROUP BY 1, 2"""
+    rows.append("""d AS (SELECT doc_id, lang, hex(encode(coalesce(text, ''))) AS h FROM documents),
+good AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 32, 1))::INTEGER % 2 AS half FROM labels WHERE quality = 1),
+taught AS (SELECT * FROM d WHERE doc_id IN (SELECT doc_id FROM good WHERE half = 0))""")
+    rows.append(f"n AS ({grams('d')})")
+    rows.append(f"c{order} AS (SELECT g, sum(n)::BIGINT AS c FROM ({grams('taught')}) GROUP BY g)")
+    for k in range(order - 1, 0, -1):
+        rows.append(f"c{k} AS (SELECT substr(g, 3) AS g, count(*) AS c FROM c{k + 1} GROUP BY 1)")
+    for k in range(1, order + 1):
+        rows.append(f"""k{k} AS (SELECT count_if(c = 1)::DOUBLE AS n1, count_if(c = 2)::DOUBLE AS n2, count_if(c = 3)::DOUBLE AS n3,
+       count_if(c = 4)::DOUBLE AS n4 FROM c{k}),
+y{k} AS (SELECT CASE WHEN n1 > 0 AND n2 > 0 THEN least(greatest(1 - 2 * (n1 / (n1 + 2 * n2)) * n2 / n1, 0.1e0), 0.9e0) ELSE 0.5e0 END AS d1,
+       CASE WHEN n1 > 0 AND n2 > 0 THEN least(greatest(2 - 3 * (n1 / (n1 + 2 * n2)) * n3 / n2, 0.1e0), 1.9e0) ELSE 0.75e0 END AS d2,
+       CASE WHEN n1 > 0 AND n2 > 0 THEN least(greatest(CASE WHEN n3 > 0 THEN 3 - 4 * (n1 / (n1 + 2 * n2)) * n4 / n3 ELSE 1.5e0 END, 0.1e0), 2.9e0)
+            ELSE 0.9e0 END AS d3 FROM k{k}),
+u{k} AS (SELECT g, substr(g, 1, {2 * k - 2}) AS x, c, CASE c WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS cut FROM c{k}, y{k}),
+x{k} AS (SELECT x, sum(c) AS total, sum(cut) / sum(c) AS free FROM u{k} GROUP BY x)""")
+        low = "1 / 256e0" if k == 1 else "p"
+        below = "" if k == 1 else f" JOIN p{k - 1} ON p{k - 1}.g = substr(u{k}.g, 3)"
+        rows.append(f"p{k} AS (SELECT u{k}.g AS g, (c - cut) / total + free * {low} AS p FROM u{k} JOIN x{k} USING (x){below})")
+    chain, joins = "1 / 256e0", ""
+    for k in range(1, order + 1):
+        at = 2 * (order - k) + 1
+        chain = f"coalesce(p{k}.p, coalesce(x{k}.free, 1e0) * {chain})"
+        joins += (f" LEFT JOIN p{k} ON p{k}.g = substr(e.g, {at}) "
+                  f"LEFT JOIN x{k} ON x{k}.x = substr(e.g, {at}, {2 * k - 2})")
+    rows.append(f"z AS (SELECT e.g AS g, -log2({chain}) AS bits FROM (SELECT DISTINCT g FROM n) AS e{joins})")
+    rows.append("""r AS (SELECT d.doc_id, lang, length(h) // 2 AS n_bytes, sum(n * bits) / nullif(length(h) // 2, 0) AS rate
+      FROM d LEFT JOIN n USING (doc_id) LEFT JOIN z USING (g) GROUP BY d.doc_id, lang, h)""")
+    quantile = lambda keys: f"""SELECT {keys}(min(s) FILTER (WHERE upto >= total * {share}) + 1) * {step} AS cut FROM (
+  SELECT {keys}s, sum(count(*)) OVER ({'PARTITION BY ' + keys[:-2] if keys else ''} ORDER BY s) AS upto,
+         sum(count(*)) OVER ({'PARTITION BY ' + keys[:-2] if keys else ''}) AS total
+  FROM (SELECT lang, floor(rate / {step}) AS s FROM r WHERE rate IS NOT NULL AND doc_id IN (SELECT doc_id FROM good WHERE half = 1))
+  GROUP BY {keys}s) {'GROUP BY ' + keys[:-2] if keys else ''}"""
+    rows.append(f"own AS ({quantile('lang, ')})")
+    rows.append(f"whole AS ({quantile('')})")
+    return "WITH " + ",\n".join(rows) + f"""
+SELECT doc_id, r.lang AS lang, n_bytes, round(pow(2, rate), 6) AS perplexity,
+       round(pow(2, coalesce(own.cut, whole.cut) * {slack}), 6) AS cutoff,
+       coalesce(rate <= coalesce(own.cut, whole.cut) * {slack}, rate IS NOT NULL) AS kept
+FROM r LEFT JOIN own ON r.lang IS NOT DISTINCT FROM own.lang, whole"""
+
+
+SQL = {"op2_perplexity": perplexity(), "op4_secret_scans": secret_scans(), "op5_near_duplicates": near_duplicates(3, 85),
        "op6_decontamination": decontamination(), "op7_mixing": mixing(), "op9_quality_rules": quality_rules()}
