@@ -142,7 +142,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFra
              .select("item_id", "n", F.explode(_blocks(F.col("bits"))).alias("b"))
              .select("item_id", "n", "b.block", F.explode(_near(F.col("b.value"))).alias("value")))
     probes = marked.select("key", "n", F.explode(_blocks(F.col("bits"))).alias("b")).select("key", "n", "b.*")
-    near = probes.join(index, ["n", "block", "value"]).select("key", "n", "item_id").distinct()
+    # Each item has hundreds of entries per block: the index is dealt out, never sent whole.
+    near = probes.join(index.hint("merge"), ["n", "block", "value"]).select("key", "n", "item_id").distinct()
     full = (near.join(marked.select("key", "n", "shingles"), ["key", "n"])
             .join(item.select("item_id", F.col("shingles").alias("of_item"), "weight"), "item_id"))
     heavy = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["w"])
