@@ -49,7 +49,9 @@ def test_features_leave_the_target_out(panel):
 
 def test_evaluate_models(panel):
     big = panel.where("city <> 'tiny'")
-    rows = FC.evaluate_models(big, SPEC, CUTOFF, tree_params=QUICK, forest_params={"numTrees": 8, "maxDepth": 5})
+    gates = FC.ROW_GATES | {"Random Forest": 499}
+    rows = FC.evaluate_models(big, SPEC, CUTOFF, tree_params=QUICK, forest_params={"numTrees": 8, "maxDepth": 5},
+                              gates=gates)
     got = {(r["city"], r["model"]): r for r in evaluate(rows, ["city", "model"]).collect()}
     names = {m for _, m in got}
     assert names == {"Moving Average", "Seasonal Naive", "Boosted Trees", "Random Forest", "Seasonal Trend"}
@@ -60,6 +62,12 @@ def test_evaluate_models(panel):
     # One entity has 500 training rows, which is not more than the forest's gate.
     assert {(r["city"], r["model"]) for r in own.select("city", "model").distinct().collect()} \
         == {("b", "Boosted Trees")}
+    scored = FC.cross_entity_evaluation(panel, SPEC, CUTOFF, tree_params=QUICK, seasonal_trend=False,
+                                        forest_params={"numTrees": 2, "maxDepth": 2})
+    status = {(r["city"], r["model"]): (r["status"], r["n_test"]) for r in scored.collect()}
+    assert status["b", "Random Forest"] == ("insufficient_train", 0)
+    assert status["tiny", "Boosted Trees"] == ("insufficient_data", 0)
+    assert status["b", "Boosted Trees"] == ("ok", 150) and status["b", "Seasonal Trend"] == ("no_predictions", 0)
     only = FC.evaluate_models(big, SPEC, CUTOFF, ml=False, seasonal_trend=False)
     assert only.select("model").distinct().count() == 2
 

@@ -226,12 +226,16 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
                   windows.seasonal_naive(panel, spec, cutoff)]
     if ml:
         frame = training_frame(panel, spec, cutoff)
-        scopes = ([frame] if separate is None
-                  else [frame.where(F.col(spec.entity) == e) for e in separate])
-        for scope in scopes:
+        kinds = {"gbt": tree_params, "forest": forest_params}
+        scopes = [(frame, list(kinds))]
+        if separate is not None:
+            named = counts.where(F.col(spec.entity).isin(list(separate))).collect()
+            scopes = [(frame.where(F.col(spec.entity) == r[spec.entity]),
+                       [k for k in kinds if r["n_train"] > gates.get(trees.MODELS[k][2], 0)]) for r in named]
+        for scope, wanted in scopes:
             rows, kept = dataset.prepare(scope, spec, safe_features(scope, spec), cutoff)
             parts += [_past_gate(p, counts, spec, gates) for p in
-                      _tree_predictions(rows, kept, spec, tree_params, forest_params)]
+                      _tree_predictions(rows, kept, spec, {k: kinds[k] for k in wanted})]
     if seasonal_trend:
         series = filters.entity_series(panel, spec, use_synthetic=True)
         enough = counts.where(F.col("n_train") > gates.get("Seasonal Trend", 0))
@@ -245,9 +249,8 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
 
 
 def _tree_predictions(rows: DataFrame, kept: Sequence[str], spec: PanelSpec,
-                      tree_params, forest_params) -> list[DataFrame]:
+                      kinds: Mapping[str, Mapping[str, object] | None]) -> list[DataFrame]:
     train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
-    kinds = {"gbt": tree_params, "forest": forest_params}
     return [trees.predict(trees.fit(train, kept, spec.target, kind, params), test, spec, kind)
             for kind, params in kinds.items()]
 
