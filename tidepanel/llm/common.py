@@ -30,8 +30,8 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 
 
 def is_few(rows: DataFrame, most: int = BROADCAST_ROWS) -> bool:
-    """Whether a counted table is small enough to travel to the other side of a join."""
-    return rows.limit(most + 1).count() <= most
+    """Whether a stored table is small enough to travel to the other side of a join."""
+    return rows.count() <= most
 
 
 def _by_ids(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:

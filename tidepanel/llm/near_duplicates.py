@@ -151,8 +151,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         F.count("*").alias("members"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("center"))
     lists = materialise(lists.join(shared.where("members > 1"), "value")
                         .select("value", "id", "n", "center"), "lists")
-    members = materialise(lists.select("id").distinct(), "members")
-    sets = materialise(keep_ids(rows.withColumnRenamed("doc_id", "id"), members, "id")
+    sets = materialise(keep_ids(rows.withColumnRenamed("doc_id", "id"), lists, "id")
                        .withColumnRenamed("id", "doc_id")
                        .mapInArrow(lambda b: _sets(b, width), f"id {kind}, shingles array<long>"), "sets")
 
