@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -141,15 +142,22 @@ def fit(trusted: DataFrame) -> Model:
 
 
 def probabilities(grams: DataFrame, model: Model) -> DataFrame:
-    """(gram, bits) of any n-grams of full length, backing off to shorter contexts."""
-    rows = grams.select("gram").distinct().withColumns({"p": F.lit(None).cast("double"), "share": F.lit(1.0)})
-    for n in range(ORDER, 0, -1):
-        found = model.orders[n - 1].select(F.col("context").alias("c"), "free", "next")
-        rows = rows.join(found, _context(F.col("gram"), n) == F.col("c"), "left")
-        here = F.try_element_at("next", _next(F.col("gram")))
-        rows = rows.select("gram", F.coalesce("p", F.col("share") * here).alias("p"),
-                           (F.col("share") * F.coalesce("free", F.lit(1.0))).alias("share"))
-    return rows.select("gram", (-F.log2(F.coalesce("p", F.col("share") / 256))).alias("bits"))
+    """(gram, bits) of any n-grams of full length, backing off to shorter contexts. The
+    contexts of all orders of an n-gram are looked up in one join."""
+    tables = [m.withColumn("order", F.lit(n)) for n, m in enumerate(model.orders, 1)]
+    every = reduce(DataFrame.unionByName, tables)
+    gram = F.col("gram")
+    keys = F.array(*[F.struct(F.lit(n).alias("order"), _context(gram, n).alias("context"))
+                     for n in range(1, ORDER + 1)])
+    asked = grams.select("gram").distinct().select("gram", F.explode(keys).alias("k")).select("gram", "k.*")
+    found = asked.join(every, ["order", "context"], "left").select(
+        "gram", "order", "free", F.try_element_at("next", _next(gram)).alias("p"))
+    of = lambda c, n: F.max(F.when(F.col("order") == n, F.col(c))).alias(f"{c}{n}")
+    rows = found.groupBy("gram").agg(*[of(c, n) for n in range(1, ORDER + 1) for c in ("free", "p")])
+    p = F.lit(1 / 256)
+    for n in range(1, ORDER + 1):
+        p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"free{n}"), F.lit(1.0)) * p)
+    return rows.select("gram", (-F.log2(p)).alias("bits"))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], table, keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +191,7 @@ def code_lengths(docs: DataFrame, model: Model, keys: tuple[str, ...]) -> DataFr
     """``keys``, bytes and bits of every whole text, null counting as empty."""
     common = model.counts.orderBy(F.desc("n"), "gram").limit(TABLE)
     top = (common.join(model.orders[-1], _context(F.col("gram"), ORDER) == F.col("context"))
-           .select("gram", F.try_element_at("next", _next(F.col("gram"))).alias("p")).orderBy("gram").toArrow())
+           .select("gram", F.try_element_at("next", _next(F.col("gram"))).alias("p")).toArrow().sort_by("gram"))
     bits = -np.log2(np.append(top["p"].to_numpy(), 1.0))
     table = docs.sparkSession.sparkContext.broadcast((top["gram"].to_numpy(), bits))
     rows = only(docs, *keys, "text").withColumn("row", F.monotonically_increasing_id())
