@@ -157,16 +157,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
-    more = _across(lists, components(links, 2), classes, sets, k, overlap, percent)
+    found = materialise(components(links), "components")
+    more = _across(lists, found, classes, sets, k, overlap, percent)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
-    ids = components(links.unionAll(more).unionAll(ties))
+    ids = _joined(found, more.unionAll(ties))
     return (stored.join(ids, stored["doc_id"] == ids["id"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: each component counts as one id, so few links are left."""
+    def of(rows: DataFrame, end: str) -> DataFrame:
+        own = found.select(F.col("id").alias("k"), "component")
+        return (rows.join(own, F.col(end) == F.col("k"), "left")
+                .withColumn(end, F.coalesce("component", end)).drop("k", "component"))
+
+    ends = links.select(F.explode(F.array("a", "b")).alias("id"))
+    every = found.unionByName(ends.join(found, "id", "left_anti").distinct()
+                              .select("id", F.col("id").alias("component")))
+    top = components(of(of(links, "a"), "b").distinct()).select(F.col("id").alias("k"), F.col("component").alias("top"))
+    return (every.join(top, F.col("component") == F.col("k"), "left")
+            .select("id", F.coalesce("top", "component").alias("component")))
+
+
 def _across(lists: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame,
             k: int, overlap: int, percent: int) -> DataFrame:
     """Links between members of lists that the centers left in several components."""
