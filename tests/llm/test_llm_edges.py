@@ -113,6 +113,28 @@ def test_language_id(odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("paths", [6, 200])
+def test_language_id_with_more_paths_than_travel(spark, odd, monkeypatch, paths):
+    """A hot language does not take paths from a small one, and every path has its exact cost."""
+    rows = ([(i, prose(i, 40), "en") for i in range(60)] + [(100, "zażółć gęślą jaźń", "pl"), (101, "日本語の文", "ja")]
+            + [(200, "gęś", None), (201, "語", None), (202, "", None), (203, None, None), (204, "the zeta 日本 ż", None)])
+    docs = frame(spark, rows, "doc_id long, text string, lang string").repartition(3)
+    learned = {k: brute.Ppm([t for _, t, x in rows if x == k]) for k in ("en", "ja", "pl")}
+    monkeypatch.setattr(language_id, "PATHS", paths)
+    trees = language_id.fit(docs)
+    got = {r.doc_id: r for r in language_id.predict(docs, trees).collect()}
+    assert trees.langs == ["en", "ja", "pl"] and len(got) == len(rows)
+    for i, text, _ in rows:
+        if not text:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        bits = {k: t.bits(text) for k, t in learned.items()}
+        best = min(sorted(bits), key=bits.get)
+        assert got[i].lang_pred == best
+        assert math.isclose(got[i].score, 1 / sum(2.0 ** (bits[best] - b) for b in bits.values()), rel_tol=1e-6)
+    assert len(language_id.identify(odd).collect()) == len(TEXTS)
+
+
 def test_secret_scans(odd, none):
     got = secrets.find_secrets(odd).collect()
     assert sorted(len(r.spans) for r in got) == sorted(len(brute.secrets(t or "")) for _, t, *_ in TEXTS)
