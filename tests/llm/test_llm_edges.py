@@ -228,6 +228,25 @@ def test_mixing_keeps_within_a_block(spark):
         mixing.mix(docs, {"a": 0.0})
 
 
+def test_mixing_keeps_to_weights_that_are_no_parts(spark):
+    """One hot source and more small ones than a frame has blocks: less than two blocks from the
+    unrounded shares at every slot, less than one at the ends of frames."""
+    weights = {f"s{i}": (0.2 + i % 7 + i / 1000) for i in range(250)}
+    weights["hot"] = 0.45 / 0.55 * sum(weights.values())
+    total = sum(weights.values())
+    sizes = {s: math.ceil(w / total * 6_000) + 2 for s, w in weights.items()}
+    docs = frame(spark, [(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    got = mixing.mix(docs, weights, block=1).collect()
+    at = {r.slot: r.source for r in got}
+    assert sorted(at) == list(range(len(got))) and len(got) == sum(sizes.values())
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    given = dict.fromkeys(weights, 0)
+    for t in range(1, 6_001):
+        given[at[t - 1]] += 1
+        most = max(abs(given[s] - w / total * t) for s, w in weights.items())
+        assert most < (1 + 1e-3 if t % mixing.PARTS == 0 else 2)
+
+
 def test_perplexity(odd, none, labels):
     got = language_model.perplexities(odd, labels).collect()
     assert len(got) == len(TEXTS)
