@@ -14,6 +14,7 @@ from tidepanel.llm.language_id import identify
 from tidepanel.llm.language_model import perplexities
 from tidepanel.llm.mixing import mix
 from tidepanel.llm.near_duplicates import near_duplicates
+from tidepanel.llm.periodic_runs import periodic_runs
 from tidepanel.llm.preferences import preference_pairs, with_replies_of_others
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
@@ -133,3 +134,33 @@ def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted", "spans")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): documents whose id's crc32 is a multiple of ten become periodic from a
+    word on that the crc32 picks; the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    div = lambda a, b: F.call_function("div", a, b)
+    g = div(h, F.lit(10).cast("long"))
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), g.alias("g")).withColumn(
+        "words", F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), 1)))
+    n = F.size("words").cast("long")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n))
+    period = 1 + div(n - F.col("a"), 3 + F.col("g") % 8)
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % period)
+    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1),
+                                    lambda i: F.get("words", source(i).cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.withColumns({"n_runs": F.size("runs").cast("long"), "best": best})
+    return found.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.call_function("div", 1000 * F.col("best.length"), -F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
