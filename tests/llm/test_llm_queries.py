@@ -34,7 +34,7 @@ def test_matches_sql(spark, name):
 
 
 def test_names_are_those_of_the_list():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_toxicity(spark, docs):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm import oracles
 from tidepanel.llm.decontamination import contamination
+from tidepanel.llm.hard_negatives import hard_negatives
 from tidepanel.llm.language_id import identify
 from tidepanel.llm.language_model import perplexities
 from tidepanel.llm.mixing import mix
@@ -164,3 +165,32 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("best.period")).alias("period"),
         F.call_function("div", 1000 * F.col("best.length"), -F.col("best.period")).alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", moved.alias("label"), "embedding"))
+
+
+SQL["op13_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT * FROM rows WHERE vec_id % 100 = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+         list_dot_product(a.q, x.q)::BIGINT AS score FROM anchors a JOIN rows x ON a.vec_id <> x.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
