@@ -196,7 +196,8 @@ def hard_negatives(vectors: DataFrame, every: int = 100, positives: int = 5, neg
     picked = [r.q for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(REFERENCES).collect()]
     reach = [np.array(q, np.float64) for q in picked if any(q)]
     common = max((len(q) for q in reach), key=[len(q) for q in reach].count, default=0)
-    references = np.array([q / np.sqrt((q ** 2).sum()) for q in reach if len(q) == common]).reshape(-1, common)
+    alike = [q / np.sqrt((q ** 2).sum()) for q in reach if len(q) == common]
+    references = np.array(alike, np.float64).reshape(len(alike), common)
     anchors = rows.where(chosen)
 
     def first_same(a_rows: pa.Table, x_rows: pa.Table) -> pa.Table:

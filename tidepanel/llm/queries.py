@@ -19,6 +19,7 @@ from tidepanel.llm.periodic_runs import periodic_runs
 from tidepanel.llm.preferences import preference_pairs, with_replies_of_others
 from tidepanel.llm.quality_rules import quality_rules
 from tidepanel.llm.secrets import BASE, find_secrets
+from tidepanel.llm.substring_dedup import without_repeats
 from tidepanel.llm.token_counts import token_counts
 from tidepanel.llm.toxicity import toxicity
 
@@ -194,3 +195,11 @@ FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10
 """
+
+
+@query
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
