@@ -35,7 +35,7 @@ from tidepanel.session import materialise
 #: Bytes of a run that can own a window.
 GRAM = 32
 #: Bytes of snippets in a shard, and of the part of a group that one shard holds, about.
-SHARD, PART = 2 << 20, 256 << 10
+SHARD, PART = 1 << 20, 3 << 19
 #: Bytes of text hashed together.
 HELD = 1 << 20
 _SIZE_BITS, _SECOND_BITS = 11, 20
