@@ -17,7 +17,9 @@ from tidepanel.operators import filters as FL
 from tidepanel.plans import forecasting as FC
 
 LINE = TrendModel(order=0, changes=0)
-CURVE = TrendModel(order=0, changes=0, floor=20.0, cap=500.0)
+BROKEN = TrendModel(order=0, changes=1)
+CURVE = TrendModel(order=0, changes=0, floor=20.0, cap=500.0, steps=0)
+STEPPED = TrendModel(order=0, changes=0, floor=20.0, cap=500.0, steps=2)
 _RIDGE = (LINE.noise / LINE.level_scale) ** 2
 _Z = NormalDist().inv_cdf(0.5 + LINE.interval / 2)
 _T = "((ds - t0) / greatest(span, 1))"
@@ -47,6 +49,30 @@ SELECT d.*, {line} AS yhat, {line} - {half} AS yhat_lower, {line} + {half} AS yh
 FROM {dates} AS d JOIN {fit} AS f USING ({keys}))"""
 
 
+def _broken(rows: str) -> str:
+    """A line with one change of slope, whose absolute penalty cuts it towards zero."""
+    knot, half = BROKEN.change_range / 2, BROKEN.lasso()[2] / 2
+    solve = lambda x, y: (f"((stt + {_RIDGE}) * {x} - st * {y}) / det", f"((n + {_RIDGE}) * {y} - st * {x}) / det")
+    (c0, c1), (v0, v1) = solve("sh", "sth"), solve("sv", "stv")
+    return f"""(
+SELECT city, t0, span, scale, b0, b1, d, sqrt(greatest(yy - 2 * (b0 * sv + b1 * stv + d * shv) + b0 * b0 * n + b1 * b1 * stt
+    + d * d * shh + 2 * (b0 * b1 * st + b0 * d * sh + b1 * d * sth), 0) / n) AS sigma
+FROM (SELECT *, v0 - c0 * d AS b0, v1 - c1 * d AS b1
+ FROM (SELECT *, sign(b) * greatest(abs(b) - {half}, 0) / (shh + 1e-9 - c0 * sh - c1 * sth) AS d
+  FROM (SELECT *, shv - v0 * sh - v1 * sth AS b
+   FROM (SELECT *, {c0} AS c0, {c1} AS c1, {v0} AS v0, {v1} AS v1
+    FROM (SELECT *, (n + {_RIDGE}) * (stt + {_RIDGE}) - st * st AS det
+     FROM (SELECT city, t0, span, scale, CAST(count(*) AS DOUBLE) AS n, sum(t) AS st, sum(t * t) AS stt, sum(v) AS sv,
+                  sum(t * v) AS stv, sum(v * v) AS yy, sum(h) AS sh, sum(h * t) AS sth, sum(h * h) AS shh, sum(h * v) AS shv
+      FROM (SELECT *, greatest(t - {knot}, 0) AS h
+       FROM (SELECT city, t0, span, scale, {_T} AS t, y / scale AS v
+        FROM (SELECT * FROM {rows} WHERE y IS NOT NULL)
+        JOIN (SELECT city, min(ds) AS t0, CAST(max(ds) - min(ds) AS DOUBLE) AS span,
+                     greatest(max(abs(y)), 1e-9) AS scale
+              FROM {rows} WHERE y IS NOT NULL GROUP BY city) USING (city)))
+      GROUP BY city, t0, span, scale)))))))"""
+
+
 _TRAIN = f"(SELECT * FROM series WHERE ds < DATE '{CUTOFF}')"
 _TEST = f"(SELECT * FROM series WHERE ds >= DATE '{CUTOFF}')"
 _VALID = _predicted(_fit(_TRAIN), _TEST)
@@ -86,6 +112,56 @@ def _(t):
     return fixed(trend.predict(fits, FL.since(t.stored_series, "ds", CUTOFF), SERIES, CURVE))
 
 
+_ONCE = f"""(
+SELECT *, ((tt + {_RIDGE}) * u - x * w) / det AS c0, ((o + {_RIDGE}) * w - x * u) / det AS c1,
+       rr + {_RIDGE} * (a0 * a0 + a1 * a1) AS cost
+FROM (SELECT *, (o + {_RIDGE}) * (tt + {_RIDGE}) - x * x AS det
+ FROM (SELECT city, t0, span, n, a0, a1, sum(g * g) AS o, sum(g * g * t) AS x, sum(g * g * t * t) AS tt,
+              sum(g * z) AS u, sum(g * t * z) AS w, sum(v_e * v_e) AS rr
+  FROM (SELECT *, v_e + g * (a0 + a1 * t) AS z
+   FROM (SELECT *, e * (1 - e) AS g, (y - 20) / 480e0 - e AS v_e
+    FROM (SELECT *, 1 / (1 + exp(-(a0 + a1 * t))) AS e
+     FROM (SELECT s.city, y, t0, span, n, b0 * scale AS a0, b1 * scale AS a1, {_T} AS t
+           FROM {_TRAIN} AS s JOIN {_fit(_TRAIN, link=_LOGIT)} AS f USING (city) WHERE y IS NOT NULL))))
+  GROUP BY city, t0, span, n, a0, a1)))"""
+_SETTLED = f"""(
+SELECT city, t0, span, better, CASE WHEN better THEN c0 ELSE a0 END AS a0, CASE WHEN better THEN c1 ELSE a1 END AS a1,
+       sqrt(CASE WHEN better THEN again ELSE rr END / n) AS sigma
+FROM (SELECT *, again + {_RIDGE} * (c0 * c0 + c1 * c1) <= cost AS better
+ FROM (SELECT city, any_value(t0) AS t0, any_value(span) AS span, any_value(n) AS n, any_value(a0) AS a0, any_value(a1) AS a1,
+              any_value(c0) AS c0, any_value(c1) AS c1, any_value(cost) AS cost, any_value(rr) AS rr,
+              sum(((y - 20) / 480e0 - 1 / (1 + exp(-(c0 + c1 * {_T})))) ** 2) AS again
+       FROM {_TRAIN} AS s JOIN {_ONCE} AS o USING (city) WHERE y IS NOT NULL GROUP BY city)))"""
+
+
+@query("line_curve", f"""
+SELECT city, ds, {r('y')} AS y, {r('20 + 480 * e')} AS yhat,
+       {r(f'20 + 480 * least(greatest(e - {_Z!r} * sigma, 0), 1)')} AS yhat_lower,
+       {r(f'20 + 480 * least(greatest(e + {_Z!r} * sigma, 0), 1)')} AS yhat_upper
+FROM (SELECT city, ds, y, sigma, 1 / (1 + exp(-(a0 + a1 * {_T}))) AS e FROM {_TEST} JOIN {_SETTLED} USING (city))""")
+def _(t):
+    """A saturating trend after one step from the logit line."""
+    fits = trend.fit(FL.before(t.stored_series, "ds", CUTOFF), SERIES, STEPPED)
+    return fixed(trend.predict(fits, FL.since(t.stored_series, "ds", CUTOFF), SERIES, STEPPED))
+
+
+@query("line_change_fit", f"""
+SELECT city, {r('b0', 6)} AS b0, {r('b1', 6)} AS b1, {r('d', 6)} AS d, {r('sigma', 6)} AS sigma FROM {_broken('series')}""")
+def _(t):
+    fits = trend.fit(t.stored_series, SERIES, BROKEN)
+    b = [F.col("beta")[i].alias(c) for i, c in enumerate(("b0", "b1", "d"))]
+    return fixed(fits.select("city", *b, "sigma"), 6)
+
+
+@query("line_change_forecast", f"""
+SELECT city, ds, {r('yhat')} AS yhat, {r('yhat - half')} AS yhat_lower, {r('yhat + half')} AS yhat_upper
+FROM (SELECT city, ds, (b0 + b1 * t + d * greatest(t - {BROKEN.change_range / 2}, 0)) * scale AS yhat,
+             {_Z!r} * scale * sqrt(sigma * sigma + 2e0 / 3 * d * d * greatest(t - 1, 0) ** 3) AS half
+      FROM (SELECT *, {_T} AS t FROM {_SPINE} JOIN {_broken('series')} USING (city)))""")
+def _(t):
+    return fixed(FC.forecast_entities(t.stored_series, SERIES, HORIZON, BROKEN))
+
+
 @query("line_batch", f"""
 WITH g AS (SELECT city, count(*) AS days,
                   CASE WHEN count(*) < 1000 THEN 'insufficient_data' WHEN max(ds) < DATE '{CUTOFF}' THEN 'no_recent_data'

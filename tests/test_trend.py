@@ -67,23 +67,72 @@ def test_partitioning_does_not_change_the_fit(series):
         assert x["beta"] == pytest.approx(y["beta"], abs=1e-6) and x["n"] == y["n"] == DAYS
 
 
-def test_matches_a_direct_solution(spark):
+def design(days, changes, order):
+    t = (days - days[0]) / (days[-1] - days[0])
+    epoch = (day(0) - dt.date(1970, 1, 1)).days + days
+    columns = [np.ones(len(t)), t]
+    columns += [np.maximum(t - 0.8 * i / (changes + 1), 0) for i in range(1, changes + 1)]
+    columns += [f(2 * np.pi * k * epoch / 365.25) for k in range(1, order + 1) for f in (np.sin, np.cos)]
+    return np.column_stack(columns)
+
+
+def test_meets_the_conditions_of_a_least_sum(spark):
     rng = np.random.default_rng(8)
     days = np.sort(rng.choice(1500, 700, replace=False))
-    y = 50 + 0.03 * days + rng.normal(0, 8, 700)
+    y = 50 + 0.03 * days + 0.1 * np.maximum(days - 800, 0) + rng.normal(0, 8, 700)
     df = frame(spark, [("a", day(int(d)), float(v)) for d, v in zip(days, y)],
                "city string, ds date, y double")
     m = TrendModel(order=3, changes=4)
-    got = trend.predict(trend.fit(df.repartition(6), SPEC, m), df, SPEC, m).orderBy("ds").collect()
-    t = (days - days[0]) / (days[-1] - days[0])
-    epoch = (day(0) - dt.date(1970, 1, 1)).days + days
-    columns = [np.ones(700), t]
-    columns += [np.maximum(t - 0.8 * i / 5, 0) for i in range(1, 5)]
-    columns += [f(2 * np.pi * k * epoch / 365.25) for k in (1, 2, 3) for f in (np.sin, np.cos)]
-    x, scale = np.column_stack(columns), np.abs(y).max()
-    widths = np.array([5.0, 5.0, *[0.05] * 4, *[10.0] * 6])
-    beta = np.linalg.solve(x.T @ x + np.diag((0.1 / widths) ** 2), x.T @ (y / scale))
+    fits = trend.fit(df.repartition(6), SPEC, m)
+    beta = np.array(fits.first()["beta"])
+    x, scale = design(days, 4, 3), np.abs(y).max()
+    got = trend.predict(fits, df, SPEC, m).orderBy("ds").collect()
     assert [r["yhat"] for r in got] == pytest.approx(list(x @ beta * scale), abs=1e-6)
+    slope = 2 * (x.T @ (x @ beta - y / scale) + m.ridge() * beta)
+    thin, zero = m.lasso() > 0, beta == 0
+    assert np.abs(slope[~thin]).max() < 1e-7
+    assert np.abs(slope + m.lasso() * np.sign(beta))[thin & ~zero].max() < 1e-7
+    assert (np.abs(slope[zero]) <= m.lasso()[zero] + 1e-7).all() and 0 < zero.sum() < 4
+
+
+def test_finds_known_changes(spark):
+    """Of 25 places two have a change, on a knot each; the others stay zero or next to them."""
+    rng, n = np.random.default_rng(2), 2601
+    at, size = {5: 0.0, 14: 0.0}, {"bent": (0.08, -0.16), "straight": (0.0, 0.0)}
+    rows = []
+    for c, sizes in size.items():
+        y = 100 + 0.02 * np.arange(n)
+        for k, s in zip(at, sizes):
+            y += s * np.maximum(np.arange(n) - 0.8 * k / 26 * (n - 1), 0)
+        rows += [(c, day(i), float(v)) for i, v in enumerate(y + rng.normal(0, 2, n))]
+    fits = {r["city"]: r for r in trend.fit(frame(spark, rows, "city string, ds date, y double"), SPEC).collect()}
+    changes = {c: np.array(r["beta"][2:27]) * r["_scale"] / (n - 1) for c, r in fits.items()}
+    assert (np.abs(changes["straight"]) < 1e-3).all()
+    bent = changes["bent"]
+    # The prior shrinks what it does not cut.
+    assert bent[3:6].sum() == pytest.approx(0.08, abs=0.03) and bent[12:15].sum() == pytest.approx(-0.16, abs=0.03)
+    assert np.abs(np.delete(bent, [3, 4, 5, 12, 13, 14])).max() < 0.01 and (bent == 0).sum() >= 15
+    assert fits["bent"]["drift"] > 3 * fits["straight"]["drift"]
+
+
+def test_bounds_widen_as_simulated_changes_do(spark):
+    m = TrendModel(order=0, changes=8)
+    rng, n = np.random.default_rng(3), 1001
+    y = 100 + 0.05 * np.maximum(np.arange(n) - 400, 0) + rng.normal(0, 1, n)
+    df = frame(spark, [("a", day(i), float(v)) for i, v in enumerate(y)], "city string, ds date, y double")
+    fits = trend.fit(df, SPEC, m)
+    f = fits.first()
+    ahead = trend.predict(fits, date_spine(df, SPEC, 800), SPEC, m).orderBy("ds").collect()
+    half = np.array([r["yhat_upper"] - r["yhat"] for r in ahead]) / f["_scale"] / 1.2815515655446004
+    assert np.ptp(half[:n]) < 1e-9 and half[:n] == pytest.approx(f["sigma"])
+    assert (np.diff(half[n:]) > 0).all()
+    for days in (200, 800):
+        h = days / (n - 1)
+        paths = []
+        for _ in range(20_000):  # changes at the rate and size of the fitted ones
+            k = rng.poisson(8 * h)
+            paths.append((rng.laplace(0, f["drift"], k) * (h - rng.uniform(0, h, k))).sum())
+        assert half[n - 1 + days] == pytest.approx(np.sqrt(np.var(paths) + f["sigma"] ** 2), rel=0.05)
 
 
 def test_interval_covers_noise(spark):
@@ -107,6 +156,26 @@ def test_logistic_stays_within_bounds(spark):
     assert near < 100
 
 
+def test_saturating_curve_is_recovered_on_its_own_scale(spark):
+    """Noise that is even on the target's scale, waves that do not shrink near the cap."""
+    rng = np.random.default_rng(6)
+    curve = lambda i: 20 + 400 / (1 + np.exp(-(i - 500) / 180)) + 12 * np.sin(wave(i))
+    rows = [("a", day(i, "2016-01-01"), float(curve(i) + rng.normal(0, 6))) for i in range(1461)]
+    rows += [("flat", day(i, "2016-01-01"), float(220 + rng.normal(0, 6))) for i in range(1461)]
+    df = frame(spark, rows, "city string, ds date, y double")
+    m = TrendModel(floor=20.0, cap=420.0, order=2, changes=0)
+    fits = trend.fit(df, SPEC, m)
+    ahead = trend.predict(fits, date_spine(df, SPEC, 365), SPEC, m).where("city = 'a'").orderBy("ds").collect()
+    error = np.array([r["yhat"] - min(curve(i), 420) for i, r in enumerate(ahead)])
+    assert np.abs(error).max() < 3.0 and np.sqrt((error ** 2).mean()) < 1.2
+    beta = next(np.array(r["beta"]) for r in fits.collect() if r["city"] == "a")
+    assert beta[1] == pytest.approx(1460 / 180, rel=0.05)  # slope of the curve over the span
+    logit = trend.predict(trend.fit(df, SPEC, TrendModel(floor=20.0, cap=420.0, order=2, changes=0, steps=0)), df,
+                          SPEC, TrendModel(floor=20.0, cap=420.0, order=2, changes=0, steps=0)).where("city = 'a'")
+    worse = np.array([r["yhat"] - curve(i) for i, r in enumerate(logit.orderBy("ds").collect())])
+    assert (worse ** 2).mean() > 4 * (error[:1461] ** 2).mean()
+
+
 def test_regressor_effects(spark):
     rng = random.Random(4)
     rows = []

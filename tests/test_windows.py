@@ -95,7 +95,7 @@ def test_gaps(spark):
     rows += [("a", at + dt.timedelta(hours=5), None), ("single", at, 1.0)]
     df = frame(spark, rows, "city string, datetime timestamp_ntz, aqi double")
     spec = PanelSpec(time="datetime")
-    for s in (spec, spec.with_(block_seconds=7200)):
+    for s in (spec, spec.with_(block_seconds=7200, tie_break=("aqi",))):
         assert [tuple(r) for r in W.detect_gaps(df, s).collect()] == [("a", 2, 24.0, 27.0)]
 
 

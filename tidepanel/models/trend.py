@@ -4,8 +4,12 @@ A series is a piecewise-linear trend plus yearly sine and cosine pairs, and opti
 regressors. The narrow rows are dealt by entity and stretch of years, so a long series
 spreads over its stretches. Each row's design vector is a column expression; a task adds its
 outer products up to one sum per entity and stretch, Spark adds those by entity, and a small
-ridge system per entity gives the coefficients. The number of sums follows the entities and
+system per entity gives the coefficients. The number of sums follows the entities and
 their stretches, not the tasks. Prediction is column arithmetic.
+
+Changes of the slope have a Laplace prior, so most of them are exactly zero; level, slope, waves
+and regressors have a normal one. Beyond the last day the slope may change again, as often as
+the model has changes and by as much as they are on average, which widens the bounds.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepanel.models.sparse import sparse_changes
 from tidepanel.panel import PanelSpec
 
 YEAR = 365.25
@@ -35,7 +40,11 @@ STRETCH_DAYS = 3653
 
 @dataclass(frozen=True)
 class TrendModel:
-    """Settings; defaults are yearly order 10, 25 trend changes, change scale 0.05, 80 % bounds."""
+    """Settings; defaults are yearly order 10, 25 trend changes, change scale 0.05, 80 % bounds.
+
+    A ``cap`` makes the trend a saturating curve, fitted in ``steps`` passes; with 0 steps all
+    terms are fitted on the logit scale instead.
+    """
 
     order: int = 10
     changes: int = 25
@@ -49,6 +58,7 @@ class TrendModel:
     season_scale: float = 10.0
     level_scale: float = 5.0
     noise: float = 0.1
+    steps: int = 6
 
     @property
     def logistic(self) -> bool:
@@ -60,10 +70,22 @@ class TrendModel:
         return ["level", "slope", *[f"change{i}" for i in range(1, self.changes + 1)], *pairs,
                 *self.regressors]
 
-    def penalties(self) -> np.ndarray:
-        scales = ([self.level_scale] * 2 + [self.change_scale] * self.changes
-                  + [self.season_scale] * (2 * self.order + len(self.regressors)))
-        return (self.noise / np.array(scales)) ** 2
+    @property
+    def trends(self) -> int:
+        """Coefficients of the trend, which come first."""
+        return 2 + self.changes
+
+    def ridge(self) -> np.ndarray:
+        """Weights of the squared coefficients; hardly any for changes."""
+        rest = [self.season_scale] * (2 * self.order + len(self.regressors))
+        square = lambda scales: (self.noise / np.array(scales)) ** 2
+        return np.concatenate([square([self.level_scale] * 2), np.full(self.changes, 1e-9), square(rest)])
+
+    def lasso(self) -> np.ndarray:
+        """Weights of the absolute coefficients: changes only."""
+        out = np.zeros(len(self.names))
+        out[2:self.trends] = 2 * self.noise ** 2 / self.change_scale
+        return out
 
 
 def _link(m: TrendModel, y: Column) -> Column:
@@ -84,7 +106,7 @@ def _unlink(m: TrendModel, v: Column) -> Column:
 def _design(m: TrendModel) -> Column:
     """The design vector from ``ds`` and the scaling columns ``_t0``, ``_span``."""
     days = F.datediff(F.to_date("ds"), F.lit("1970-01-01").cast("date")).cast("double")
-    t = F.datediff(F.to_date("ds"), F.col("_t0")) / F.greatest(F.col("_span"), F.lit(1.0))
+    t = time_of(m)
     hinges = [F.greatest(t - F.lit(m.change_range * i / (m.changes + 1)), F.lit(0.0))
               for i in range(1, m.changes + 1)]
     waves = [f(F.lit(2 * math.pi * k / YEAR) * days)
@@ -146,64 +168,98 @@ def _partial_sums(keys: Sequence[str]):
     return add
 
 
+def unpacked(packed: pd.Series, k: int) -> np.ndarray:
+    """Symmetric matrices from their packed upper triangles."""
+    full = np.zeros((len(packed), k, k))
+    rows, columns = np.triu_indices(k)
+    full[:, rows, columns] = full[:, columns, rows] = np.vstack(packed.to_numpy())
+    return full
+
+
+def solution(full: np.ndarray, m: TrendModel) -> pd.DataFrame:
+    """Coefficients, residual deviation and mean size of a change from sums of (design, v)."""
+    gram, xy, yy = full[:, :-1, :-1], full[:, :-1, -1], full[:, -1, -1]
+    beta = sparse_changes(gram, xy, m.ridge(), m.lasso())
+    rest = yy - 2 * (beta * xy).sum(axis=1) + np.einsum("ni,nij,nj->n", beta, gram, beta)
+    sigma = np.sqrt(np.maximum(rest, 0) / np.maximum(gram[:, 0, 0], 1))
+    drift = np.abs(beta[:, 2:m.trends]).sum(axis=1) / max(m.changes, 1)
+    return pd.DataFrame({"beta": list(beta), "sigma": sigma, "drift": drift})
+
+
 def _solver(m: TrendModel):
-    penalty = m.penalties()
-    k = len(penalty)
-
-    @F.pandas_udf("struct<beta: array<double>, sigma: double>")
-    def solve(packed: pd.Series, n: pd.Series) -> pd.DataFrame:
-        out = []
-        for flat, rows in zip(packed, n):
-            full = np.zeros((k + 1, k + 1))
-            full[np.triu_indices(k + 1)] = flat
-            full = full + np.triu(full, 1).T
-            gram, xy, yy = full[:k, :k], full[:k, k], full[k, k]
-            beta = np.linalg.solve(gram + np.diag(penalty), xy)
-            rest = max(yy - 2 * beta @ xy + beta @ gram @ beta, 0.0)
-            out.append((beta.tolist(), float(np.sqrt(rest / max(rows, 1)))))
-        return pd.DataFrame(out, columns=["beta", "sigma"])
+    @F.pandas_udf("struct<beta: array<double>, sigma: double, drift: double>")
+    def solve(packed: pd.Series) -> pd.DataFrame:
+        return solution(unpacked(packed, len(m.names) + 1), m)
 
     return solve
 
 
 def fit(train: DataFrame, spec: PanelSpec, m: TrendModel = TrendModel(),
         keys: Sequence[str] | None = None) -> DataFrame:
-    """One row per group: coefficients, residual deviation and scaling columns.
+    """One row per group: coefficients, residual deviation, mean change and scaling columns.
 
     ``train`` holds (keys..., ds, y, regressors...). Groups are entities unless ``keys``
     adds, say, a fold.
     """
     keys = list(keys or [spec.entity])
+    if m.logistic and m.steps:
+        from tidepanel.models import saturating
+
+        return saturating.fit(train, spec, m, keys)
     rows = train.where(F.col("y").isNotNull()).dropna(subset=list(m.regressors) or ["y"])
     scaling = _scaling(rows, m, keys)
     total = partial_sums(rows, scaling, m, keys).groupBy(*keys).agg(
         vector_to_array(Summarizer.sum(array_to_vector(F.col("sums")))).alias("sums"))
     # The first packed entry is the sum of squares of the level column: the row count.
-    solved = total.select(*keys, _solver(m)("sums", F.col("sums")[0]).alias("s"),
-                          F.col("sums")[0].alias("n"))
-    return (solved.select(*keys, "n", "s.beta", "s.sigma").join(scaling, keys))
+    solved = total.select(*keys, _solver(m)("sums").alias("s"), F.col("sums")[0].alias("n"))
+    return solved.select(*keys, "n", "s.*").join(scaling, keys)
 
 
 def partial_sums(rows: DataFrame, scaling: DataFrame, m: TrendModel, keys: Sequence[str]) -> DataFrame:
     """(keys..., sums): one row per group and stretch of days."""
     stretch = F.floor(F.unix_date(F.to_date("ds")) / STRETCH_DAYS)
     narrow = rows.select(*keys, "ds", "y", *m.regressors).join(scaling, list(keys))
-    designed = narrow.repartition(*keys, stretch).select(
-        *keys, _design(m).alias("design"), (_link(m, F.col("y")) / F.col("_scale")).alias("v"))
+    return summed(narrow.repartition(*keys, stretch).select(
+        *keys, _design(m).alias("design"), (_link(m, F.col("y")) / F.col("_scale")).alias("v")), keys)
+
+
+def summed(designed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., sums) of the rows (keys..., design, v), added up within tasks."""
     schema = T.StructType([*[designed.schema[k] for k in keys],
                            T.StructField("sums", T.ArrayType(T.DoubleType()))])
     return designed.mapInPandas(_partial_sums(keys), schema)
 
 
+def time_of(m: TrendModel) -> Column:
+    """Days since the first, as a share of the span of the training rows."""
+    return F.datediff(F.to_date("ds"), F.col("_t0")) / F.greatest(F.col("_span"), F.lit(1.0))
+
+
+def trend_variance(m: TrendModel) -> Column:
+    """Variance of the trend beyond the training rows, in units of the scaled target.
+
+    Changes come at a rate of ``changes`` a span. One of Laplace size ``drift`` has variance
+    2 drift^2; made ``u`` before, it has moved the trend by ``u`` times itself. Over a time ``h`` past
+    the last row that adds up to the integral of 2 drift^2 changes u^2 from 0 to h.
+    """
+    h = F.greatest(time_of(m) - F.lit(1.0), F.lit(0.0))
+    return F.lit(2.0 * m.changes / 3) * F.col("drift") * F.col("drift") * h * h * h
+
+
 def predict(coefficients: DataFrame, dates: DataFrame, spec: PanelSpec,
             m: TrendModel = TrendModel(), keys: Sequence[str] | None = None) -> DataFrame:
     """(keys..., ds, ..., yhat, yhat_lower, yhat_upper) for each wanted row."""
     keys = list(keys or [spec.entity])
+    if m.logistic and m.steps:
+        from tidepanel.models import saturating
+
+        return saturating.predict(coefficients, dates, m, keys)
     joined = dates.join(coefficients, keys)
     # Measured against one long sum of products, which outgrows a compiled method.
     terms = F.zip_with("beta", _design(m), lambda b, x: b * x)
     v = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) * F.col("_scale")
-    z = NormalDist().inv_cdf(0.5 + m.interval / 2) * F.col("sigma") * F.col("_scale")
+    deviation = F.sqrt(F.col("sigma") * F.col("sigma") + trend_variance(m))
+    z = NormalDist().inv_cdf(0.5 + m.interval / 2) * deviation * F.col("_scale")
     out = joined.select(*keys, *[c for c in dates.columns if c not in keys],
                         v.alias("_v"), z.alias("_z"))
     return out.withColumns({
