@@ -121,52 +121,50 @@ def _(t):
 
 
 _BATCH = f"""
-SELECT city, {r('mape', 2)} AS mape, CASE WHEN p < a THEN 'improving' ELSE 'worsening' END AS trend
-FROM metrics JOIN (SELECT city, avg(yhat) AS p, avg(y) AS a FROM ma GROUP BY city) USING (city)
-WHERE model = 'Moving Average'"""
+SELECT city, model, {r('mape', 2)} AS mape,
+       CASE WHEN p IS NULL OR a IS NULL THEN 'unknown' WHEN p < a THEN 'improving' ELSE 'worsening' END AS trend
+FROM metrics JOIN (SELECT city, model, avg(yhat) AS p, avg(y) AS a FROM preds GROUP BY city, model) USING (city, model)"""
 
 
 @query("batch_summary", f"""
 WITH b AS ({_BATCH})
-SELECT count(*) AS entities, {r('avg(mape)')} AS mean_mape, {r('min(mape)')} AS min_mape,
-       {r('max(mape)')} AS max_mape, (SELECT city FROM b ORDER BY mape, city LIMIT 1) AS best,
-       (SELECT city FROM b ORDER BY mape DESC, city LIMIT 1) AS worst,
+SELECT model, count(*) AS entities, {r('avg(mape)')} AS mean_mape, {r('min(mape)')} AS min_mape,
+       {r('max(mape)')} AS max_mape, min(CASE WHEN up = 1 THEN city END) AS best, min(CASE WHEN down = 1 THEN city END) AS worst,
        CAST(count_if(trend = 'improving') AS BIGINT) AS improving,
        CAST(count_if(trend = 'worsening') AS BIGINT) AS worsening,
        {r("count_if(trend = 'improving') * 100e0 / count(*)")} AS improving_pct,
-       {r("count_if(trend = 'worsening') * 100e0 / count(*)")} AS worsening_pct FROM b""")
+       {r("count_if(trend = 'worsening') * 100e0 / count(*)")} AS worsening_pct
+FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY mape, city) AS up,
+             row_number() OVER (PARTITION BY model ORDER BY mape DESC, city) AS down FROM b) GROUP BY model""")
 def _(t):
     from tidepanel.functions import scalars as S
 
-    ma = t.predictions.where("model = 'Moving Average'")
-    rows = ma.groupBy("city").agg(E.mape().alias("mape"), F.avg("yhat").alias("p"),
-                                  F.avg("y").alias("a"))
-    batch = rows.select("city", F.round(F.col("mape") + 1e-9, 2).alias("mape"),
+    rows = t.predictions.groupBy("city", "model").agg(E.mape().alias("mape"), F.avg("yhat").alias("p"),
+                                                      F.avg("y").alias("a"))
+    batch = rows.select("city", "model", F.round(F.col("mape") + 1e-9, 2).alias("mape"),
                         S.trend_label("p", "a").alias("trend"))
-    return fixed(A.batch_summary(batch, PANEL))
+    return fixed(A.batch_summary(batch, PANEL, ["model"]))
 
 
 @query("comparison_report", f"""
-SELECT city, {r('mape')} AS mape, {r('a')} AS year_avg,
+SELECT city, model, {r('mape')} AS mape, {r('a')} AS year_avg,
        CASE WHEN mape < 20 THEN 'High' WHEN mape < 30 THEN 'Medium' ELSE 'Low' END AS data_quality
 FROM metrics LEFT JOIN (SELECT city, avg(y) AS a FROM series WHERE year(ds) = 2000 GROUP BY city)
-USING (city) WHERE model = 'Moving Average' AND n_test > 30""")
+USING (city) WHERE n_test > 30""")
 def _(t):
-    ma = t.predictions.where("model = 'Moving Average'")
-    return fixed(P.comparison_report(ma, t.series, PANEL, 2000))
+    return fixed(P.comparison_report(t.predictions, t.series, PANEL, 2000, by=["model"]))
 
 
 @query("validation_rows", f"""
-SELECT city, CASE WHEN test_days < 30 THEN 'insufficient_test' WHEN mape IS NULL THEN 'invalid_mape'
+SELECT city, model, CASE WHEN test_days < 30 THEN 'insufficient_test' WHEN mape IS NULL THEN 'invalid_mape'
        ELSE 'ok' END AS status, {r('mape', 2)} AS mape, {r('rmse', 2)} AS rmse, {r('mae', 2)} AS mae,
        {T.quality('mape')} AS quality, train_days, test_days
 FROM metrics JOIN (SELECT city, CAST(count_if(ds < DATE '2000-01-01') AS BIGINT) AS train_days,
                           CAST(count_if(ds >= DATE '2000-01-01') AS BIGINT) AS test_days
-                   FROM series GROUP BY city) USING (city) WHERE model = 'Moving Average'""")
+                   FROM series GROUP BY city) USING (city)""")
 def _(t):
-    """The validation report's shaping over the moving average's errors."""
+    """The validation report's shaping over the baselines' errors."""
     from checks.tables import CUTOFF
 
     sizes = P._sizes(t.series, PANEL, CUTOFF)
-    errors = t.metrics.where("model = 'Moving Average'")
-    return P.report_rows(sizes.join(errors, "city"), PANEL)
+    return P.report_rows(sizes.join(t.metrics, "city"), PANEL, by=["model"])

@@ -16,29 +16,28 @@ from tidepanel.panel import entity_means
 
 # Predictions start at the cutoff, so earlier actual rows have none.
 def _actual_and_pred(t):
-    pred = t.predictions.where("model = 'Moving Average' and yhat is not null")
-    return t.series, pred.select("city", "ds", "yhat")
+    return t.series, t.predictions.where("yhat is not null").select("city", "model", "ds", "yhat")
 
 
 _T = "series AS s"
-_P = "(SELECT city, ds, yhat FROM ma WHERE yhat IS NOT NULL) AS p"
+_P = "(SELECT city, model, ds, yhat FROM preds WHERE yhat IS NOT NULL) AS p"
 
 
 @query("join_actual_pred_inner", f"""
-SELECT city, ds, {r('y')} AS y, {r('yhat')} AS yhat FROM {_T} JOIN {_P} USING (city, ds)""")
+SELECT city, ds, {r('y')} AS y, model, {r('yhat')} AS yhat FROM {_T} JOIN {_P} USING (city, ds)""")
 def _(t):
     return fixed(J.actual_predicted(*_actual_and_pred(t), PANEL))
 
 
 @query("join_actual_pred_left", f"""
-SELECT city, {r(MAPE)} AS mape, count(*) AS n_test FROM {_T} LEFT JOIN {_P} USING (city, ds) GROUP BY city""")
+SELECT city, model, {r(MAPE)} AS mape, count(*) AS n_test FROM {_T} LEFT JOIN {_P} USING (city, ds) GROUP BY city, model""")
 def _(t):
     rows = J.actual_predicted(*_actual_and_pred(t), PANEL, "left")
-    return fixed(evaluate(rows, ["city"]).select("city", "mape", "n_test"))
+    return fixed(evaluate(rows, ["city", "model"]).select("city", "model", "mape", "n_test"))
 
 
 @query("join_semi_dates", f"""
-SELECT city, ds, {r('yhat')} AS yhat FROM {_P}
+SELECT city, model, ds, {r('yhat')} AS yhat FROM {_P}
 WHERE EXISTS (SELECT 1 FROM series x WHERE x.city = p.city AND x.ds = p.ds AND x.ds >= DATE '2001-01-01')""")
 def _(t):
     _, pred = _actual_and_pred(t)

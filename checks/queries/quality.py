@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from checks import sqltext as T
 from checks.registry import fixed, query
 from checks.sqltext import r
-from checks.tables import PANEL
+from checks.tables import MEASURES, PANEL
 from tidepanel.functions.quantiles import exact_quantiles
 from tidepanel.operators import correlation as C
 from tidepanel.operators import quality as Q
@@ -127,9 +129,9 @@ FROM lines WHERE {a} IS NOT NULL AND {b} IS NOT NULL"""
 
 @query("spearman", " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, {r('corr(ra, rb)')} AS rho FROM ({_RANKED.format(a=a, b=b)})"
-    for a, b in (("pm2_5", "no2"), ("pm2_5", "aqi"), ("no2", "aqi"))))
+    for a, b in combinations(MEASURES, 2)))
 def _(t):
-    return fixed(C.spearman_pairs(t.lines, ["pm2_5", "no2", "aqi"]))
+    return fixed(C.spearman_pairs(t.lines, MEASURES))
 
 
 @query("exact_quantiles", " UNION ALL ".join(f"""

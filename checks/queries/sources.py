@@ -253,13 +253,11 @@ def _(t):
 
 
 @query("sink_json_config", """
-SELECT city, concat(printf('%.1f', mape), '%') AS validation_mape, 'Moving Average' AS model
-FROM metrics WHERE model = 'Moving Average'""")
+SELECT city, concat(printf('%.1f', mape), '%') AS validation_mape, model, 'baseline' AS kind FROM metrics""")
 def _(t):
     path = shared_dir(t.spark, "config")
-    ma = t.metrics.where("model = 'Moving Average'")
-    K.model_config(ma, PANEL, {"model": "Moving Average"}).write.json(path)
-    return t.spark.read.schema("city string, validation_mape string, model string").json(path)
+    K.model_config(t.metrics, PANEL, {"kind": "baseline"}, ["model"]).write.json(path)
+    return t.spark.read.schema("city string, validation_mape string, model string, kind string").json(path)
 
 
 @query("stream_ingest", f"""

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,21 @@ def test_correlation_is_pairwise(spark):
     assert m["pm2_5"] == 1.0
 
 
+def test_correlation_far_from_zero(spark):
+    """Large offsets, a constant, and rows over many tasks."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, 4000)
+    values = np.stack([1e7 + x, -3e5 + 2 * x + rng.normal(0, 1, 4000), np.full(4000, 0.1), rng.normal(0, 1, 4000)], 1)
+    df = frame(spark, values.tolist(), "pm2_5 double, aqi double, no2 double, o3 double").repartition(16)
+    got = {(r["a"], r["b"]): r["r"] for r in C.correlation_pairs(df).collect()}
+    want = np.corrcoef(values[:, [0, 1, 3]].T)
+    for i, a in enumerate(("pm2_5", "aqi", "o3")):
+        for j, b in enumerate(("pm2_5", "aqi", "o3")):
+            assert got[a, b] == pytest.approx(want[i, j], abs=1e-9)
+    assert got["no2", "aqi"] is None and got["no2", "no2"] == 1.0 and len(got) == 16
+    assert C.correlation_pairs(df.limit(0)).count() == 0
+
+
 def test_null_entity_shapes(spark):
     df = frame(spark, [("k1",), ("k1",), ("k2",), (None,)], "k string")
     dim = frame(spark, [("k1",)], "k string")

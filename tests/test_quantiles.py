@@ -76,3 +76,17 @@ def test_spearman_with_ties(spark):
 
     want = np.corrcoef(ranks([x for x, _ in pairs]), ranks([y for _, y in pairs]))[0, 1]
     assert spearman_pairs(df, ["a", "b"]).first()["rho"] == pytest.approx(want)
+
+
+def test_spearman_of_many_pairs(spark):
+    """All pairs in one job, a constant column, a column without values, ranges across tasks."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 40, 3000).astype(float)
+    b = np.where(rng.random(3000) < 0.1, np.nan, a * a + rng.normal(0, 200, 3000))
+    rows = [(x, None if np.isnan(y) else float(y), 5.0, None) for x, y in zip(a.tolist(), b)]
+    df = frame(spark, rows, "a double, b double, c double, d double").repartition(7)
+    got = {(r["a"], r["b"]): r["rho"] for r in spearman_pairs(df, ["a", "b", "c", "d"]).collect()}
+    known = ~np.isnan(b)
+    rank = lambda v: np.array([(np.searchsorted(s, x) + np.searchsorted(s, x, "right") + 1) / 2 for s in [np.sort(v)] for x in v])
+    assert got["a", "b"] == pytest.approx(np.corrcoef(rank(a[known]), rank(b[known]))[0, 1])
+    assert len(got) == 6 and got["a", "c"] is None and got["c", "d"] is None

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day, frame
-from tidepanel.models import trend
+from tidepanel.models import segments, trend
 from tidepanel.models.trend import TrendModel
 from tidepanel.panel import PanelSpec
 from tidepanel.plans import forecasting as FC
@@ -228,6 +228,33 @@ def test_cross_validation_uses_only_the_past(series):
     assert len(got) == 4 and all(r["n"] == 180 for r in got)
 
 
+def test_ranges_share_their_sums(spark):
+    """Fits of ranges equal those of their own rows, and no row is repeated per range."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for c, n in (("a", 1900), ("b", 1300), ("short", 20)):
+        days = np.sort(rng.choice(2200, n, replace=False))
+        y = 60 + 0.03 * days - 0.06 * np.maximum(days - 900, 0) + rng.normal(0, 5, n)
+        rows += [(c, day(int(d)), None if i % 97 == 5 else float(v)) for i, (d, v) in enumerate(zip(days, y))]
+    df = frame(spark, rows, "city string, ds date, y double").repartition(4)
+    spans = [("one", None, day(1000)), ("two", None, day(1500)), ("gap", None, day(700)),
+             ("gap", day(950), day(2100)), ("late", day(1200), None), ("none", day(5000), None)]
+    ranges = frame(spark, [(c, *s) for c in ("a", "b", "short") for s in spans], "city string, fold string, from date, until date")
+    for m in (TrendModel(order=3, changes=6), TrendModel(order=0, changes=0)):
+        keys = ["city", "fold"]
+        inside = "(from is null or ds >= from) and (until is null or ds <= until)"
+        want = trend.fit(df.join(ranges, "city").where(inside).drop("from", "until"), SPEC, m, keys)
+        got = segments.fit_ranges(df, ranges, SPEC, m, ["fold"])
+        both = [{(r["city"], r["fold"]): r for r in f.collect()} for f in (want, got)]
+        assert set(both[0]) == set(both[1]) and len(both[0]) >= 8
+        for k, w in both[0].items():
+            g = both[1][k]
+            assert (g["n"], g["_t0"], g["_span"]) == (w["n"], w["_t0"], w["_span"])
+            assert g["beta"] == pytest.approx(w["beta"], abs=2e-5) and g["sigma"] == pytest.approx(w["sigma"], abs=1e-6)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("MapInPandas") == 1
+
+
 def test_reports(series):
     ahead = FC.forecast_entities(series, SPEC, 400)
     report = {r["city"]: r for r in FC.forecast_report(series, SPEC, ahead, 2019, 2020).collect()}

@@ -257,12 +257,13 @@ def forecast_of_month(forecast: DataFrame, month: int, first_year: int) -> DataF
     return rows.withColumn("year", F.year("ds"))
 
 
-def batch_summary(results: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Error range, best and worst entity and trend shares over a batch's result rows."""
+def batch_summary(results: DataFrame, spec: PanelSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Error range, best and worst entity and trend shares over a batch's result rows, or over
+    those of each group of ``by``, such as the model."""
     n = F.count(F.lit(1))
     better, worse = (F.count_if(F.col("trend") == x) for x in ("improving", "worsening"))
     share = lambda c: c * F.lit(100.0) / F.nullif(n, F.lit(0))
-    return results.agg(
+    return results.groupBy(*by).agg(
         n.alias("entities"), F.avg("mape").alias("mean_mape"), F.min("mape").alias("min_mape"),
         F.max("mape").alias("max_mape"), smallest("mape", spec.entity).alias("best"),
         smallest(-F.col("mape"), spec.entity).alias("worst"), better.alias("improving"), worse.alias("worsening"),

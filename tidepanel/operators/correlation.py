@@ -2,32 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations, combinations_with_replacement
+import math
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.panel import REPORTED, PanelSpec, present
+from tidepanel.session import materialise
+
+
+def _moments(batches: Iterator[pa.RecordBatch], shift: list[float]) -> Iterator[pa.RecordBatch]:
+    """Sums over a task's rows for each pair (i <= j) of columns: rows that have both, their two
+    values, squares and product, all after the shift. One matrix product each."""
+    k = len(shift)
+    total = np.zeros((6, k, k))
+    for batch in batches:
+        columns = [c.cast(pa.float64()) for c in batch.columns]
+        known = np.column_stack([np.asarray(c.is_valid()) for c in columns]).astype(np.float64)
+        v = np.column_stack([np.asarray(c.fill_null(s)) - s for c, s in zip(columns, shift)])
+        first, square = v.T @ known, (v * v).T @ known
+        total += np.array([known.T @ known, first, first.T, square, square.T, v.T @ v])
+    i, j = np.triu_indices(k)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(i * k + j, pa.int32()), *[pa.array(t[i, j]) for t in total]], names=["i", *_SUMS])
+
+
+_SUMS = ("n", "x", "y", "xx", "yy", "xy")
 
 
 def correlation_pairs(df: DataFrame, measures: Sequence[str] = REPORTED) -> DataFrame:
     """(a, b, r) for every ordered pair, the diagonal included.
 
-    Each row becomes one row per pair of columns, combined at once in the same task; one
-    aggregate per pair column would outgrow a compiled method.
+    A task multiplies its batches' value and presence matrices and hands on a row per pair of
+    columns. Values are taken relative to those of some row, which keeps the sums small.
     """
     got = present(df, measures)
-    pairs = list(combinations_with_replacement(got, 2))
-    x = lambda c: F.col(c).cast("double")
-    rows = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), x(a).alias("x"), x(b).alias("y"))
-        for i, (a, b) in enumerate(pairs)])))
-    stats = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("i").agg(
-        F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
-    name = lambda side: F.element_at(F.array(*[F.lit(p[side]) for p in pairs]), F.col("i") + 1)
-    named = stats.withColumns({"p": name(0), "q": name(1)})
+    k = len(got)
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in got])
+    some = values.head(1)
+    shift = [float(v) if v is not None and math.isfinite(v) else 0.0 for v in some[0]] if some else [0.0] * k
+    sums = values.mapInArrow(lambda b: _moments(b, shift), "i int, " + ", ".join(f"{c} double" for c in _SUMS))
+    s = sums.groupBy("i").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    spread = lambda a, b, ab: F.col(ab) - F.col(a) * F.col(b) / F.col("n")
+    # Below the rounding of the sums there is no spread: a constant correlates with nothing.
+    square = lambda a, aa: F.when(spread(a, a, aa) > F.lit(1e-13) * F.col(aa), spread(a, a, aa))
+    r = spread("x", "y", "xy") / F.sqrt(square("x", "xx") * square("y", "yy"))
+    name = lambda place: F.element_at(F.array(*[F.lit(c) for c in got]), place.cast("int") + 1)
+    named = s.where("n > 0").select(name(F.floor(F.col("i") / k)).alias("p"), name(F.col("i") % k).alias("q"), "n",
+                                    F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))
     same = F.col("p") == F.col("q")
     r = F.when(~same, F.col("r")).when(F.col("n") > 1, F.lit(1.0)).alias("r")
     cell = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"), r)
@@ -67,44 +93,47 @@ def correlation_stability(df: DataFrame, spec: PanelSpec, regressors: Sequence[s
 
 
 def spearman_pairs(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """(a, b, rho) over rows where both are known, by average ranks.
+    """(a, b, rho) over rows where both are known, by average ranks; NULL without spread.
 
-    Ranks come from per-value counts: equal values are one row before any sort, and
-    the running sum is taken in value ranges first, so no task sees all values.
+    All pairs go through one job: equal pairs of values are one row before any sort, both sides
+    of all pairs are ranked together, and the ranks join back.
     """
-    out = None
-    for a, b in combinations(present(df, measures), 2):
-        both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
-            F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        cells = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
-        ranked = cells.join(average_ranks(cells, "x", "w", "rx"), "x").join(
-            average_ranks(cells, "y", "w", "ry"), "y")
-        n, sx, sy = F.sum("w"), F.sum(F.col("w") * F.col("rx")), F.sum(F.col("w") * F.col("ry"))
-        prod = lambda p, q: F.sum(F.col("w") * F.col(p) * F.col(q))
-        cov = prod("rx", "ry") - sx * sy / n
-        vx, vy = prod("rx", "rx") - sx * sx / n, prod("ry", "ry") - sy * sy / n
-        rho = cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))
-        row = ranked.agg(rho.alias("rho")).select(F.lit(a).alias("a"), F.lit(b).alias("b"), "rho")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def average_ranks(df: DataFrame, value: str, weight: str, name: str,
-                  ranges: int = 1024) -> DataFrame:
-    """(value, average rank) of weighted values.
-
-    Sampled quantiles split the values into ranges; weights are summed per range first,
-    then within each range. Only the cut points reach the driver.
+    got = present(df, measures)
+    pairs = list(combinations(got, 2))
+    x = lambda c: F.col(c).cast("double")
+    each = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pair"), x(a).alias("x"), x(b).alias("y")) for i, (a, b) in enumerate(pairs)])))
+    cells = materialise(each.where("x is not null and y is not null").groupBy("pair", "x", "y")
+                        .agg(F.count(F.lit(1)).alias("w")), "cells")
+    side = lambda c: F.struct(F.lit(c).alias("side"), F.col(c).alias("value"), "w")
+    counts = (cells.select("pair", F.inline(F.array(side("x"), side("y"))))
+              .groupBy("pair", "side", "value").agg(F.sum("w").alias("count")))
+    ranks = materialise(group_ranks(counts, ["pair", "side"]), "ranks")
+    of = lambda c: ranks.where(F.col("side") == c).select("pair", F.col("value").alias(c), F.col("rank").alias(f"r{c}"))
+    ranked = cells.join(of("x"), ["pair", "x"]).join(of("y"), ["pair", "y"])
+    n, sx, sy = F.sum("w"), F.sum(F.col("w") * F.col("rx")), F.sum(F.col("w") * F.col("ry"))
+    prod = lambda p, q: F.sum(F.col("w") * F.col(p) * F.col(q))
+    cov = prod("rx", "ry") - sx * sy / n
+    vx, vy = prod("rx", "rx") - sx * sx / n, prod("ry", "ry") - sy * sy / n
+    rho = ranked.groupBy("pair").agg((cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))).alias("rho"))
+    names = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])))
+    return names.join(rho, "pair", "left").select("a", "b", "rho")
+
+
+def group_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., value, rank): average ranks within each group of values that occur ``count`` times.
+
+    Groups and values are dealt by ranges, so a large group lies in many; the sizes of a group's
+    earlier ranges are added to the ranks within one.
     """
-    counts = df.groupBy(value).agg(F.sum(weight).alias("c"))
-    cuts = counts.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    located = Bucketizer(splits=splits, inputCol=value, outputCol="_g").transform(counts)
-    per = located.groupBy("_g").agg(F.sum("c").alias("n"))
-    ahead = F.sum("n").over(
-        Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per.select("_g", F.coalesce(ahead, F.lit(0)).alias("s"))
-    inner = F.sum("c").over(Window.partitionBy("_g").orderBy(value)
-                            .rowsBetween(Window.unboundedPreceding, -1))
-    placed = located.join(starts, "_g").withColumn("s", F.col("s") + F.coalesce(inner, F.lit(0)))
-    return placed.select(value, (F.col("s") + (F.col("c") + 1) / 2).alias(name))
+    keys = list(keys)
+    ranged = materialise(counts.repartitionByRange(*keys, "value")
+                         .withColumn("_range", F.spark_partition_id()), "ranges")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*keys, "_range").agg(F.sum("count").alias("_n")).select(
+        *keys, "_range", F.coalesce(F.sum("_n").over(before(Window.partitionBy(*keys).orderBy("_range"))),
+                                    F.lit(0)).alias("_start"))
+    inner = F.coalesce(F.sum("count").over(before(Window.partitionBy(*keys, "_range").orderBy("value"))), F.lit(0))
+    return ranged.withColumn("_inner", inner).join(starts, [*keys, "_range"]).select(
+        *keys, "value", (F.col("_start") + F.col("_inner") + (F.col("count") + 1) / 2).alias("rank"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.functions import scalars as S
-from tidepanel.models import registry, trees, trend
+from tidepanel.models import registry, segments, trees, trend
 from tidepanel.models.trend import TrendModel
 from tidepanel.operators import aggregates, evaluation, filters, windows
 from tidepanel.operators.joins import over_horizon
@@ -76,13 +76,15 @@ def validation_report(series: DataFrame, spec: PanelSpec, cutoff: str = TRAIN_CU
     return report_rows(out, spec, min_test)
 
 
-def report_rows(out: DataFrame, spec: PanelSpec, min_test: int = MIN_TEST_ROWS) -> DataFrame:
+def report_rows(out: DataFrame, spec: PanelSpec, min_test: int = MIN_TEST_ROWS,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Report rows of each entity, and of each group of ``by`` such as the model."""
     ok = F.col("test_days") >= min_test
     status = (F.when(~ok, "insufficient_test").when(F.col("mape").isNull(), "invalid_mape")
               .otherwise("ok"))
     shown = lambda c: F.when(ok, F.round(F.col(c), 2)).alias(c)
     quality = F.when(ok & F.col("mape").isNotNull(), S.model_quality("mape")["label"])
-    return out.select(spec.entity, status.alias("status"), shown("mape"), shown("rmse"),
+    return out.select(spec.entity, *by, status.alias("status"), shown("mape"), shown("rmse"),
                       shown("mae"), quality.alias("quality"), "train_days", "test_days")
 
 
@@ -141,14 +143,15 @@ def report_points(series: DataFrame, spec: PanelSpec, forecast: DataFrame,
 
 
 def comparison_report(validation: DataFrame, series: DataFrame, spec: PanelSpec,
-                      year: int, min_test: int = MIN_TEST_ROWS) -> DataFrame:
-    """Entities by error with a year's mean and a quality band; test parts must exceed the gate."""
-    errors = evaluation.evaluate(validation, [spec.entity]).where(F.col("n_test") > min_test)
+                      year: int, min_test: int = MIN_TEST_ROWS, by: Sequence[str] = ()) -> DataFrame:
+    """Entities (and groups of ``by``, such as the model) by error with a year's mean and a quality
+    band; test parts must exceed the gate."""
+    errors = evaluation.evaluate(validation, [spec.entity, *by]).where(F.col("n_test") > min_test)
     level = (filters.in_year(series, "ds", year).groupBy(spec.entity)
              .agg(F.avg("y").alias("year_avg")))
     out = errors.join(level, spec.entity, "left")
-    return out.select(spec.entity, "mape", "year_avg",
-                      S.data_quality_band("mape").alias("data_quality")).orderBy("mape", spec.entity)
+    return out.select(spec.entity, *by, "mape", "year_avg", S.data_quality_band("mape").alias("data_quality")) \
+        .orderBy("mape", spec.entity, *by)
 
 
 def training_variants(series: DataFrame, spec: PanelSpec, cutoff: str, era: tuple[str, str],
@@ -158,17 +161,22 @@ def training_variants(series: DataFrame, spec: PanelSpec, cutoff: str, era: tupl
     The test part is taken before the training rows are filtered, so all three share it.
     """
     train, test = filters.before(series, "ds", cutoff), filters.since(series, "ds", cutoff)
-    variants = {"Full": train, "Before era": filters.before(train, "ds", era[0]),
-                "Skip era": filters.outside(train, "ds", *era)}
     keys = [spec.entity, "model"]
-    fits = None
-    for name, rows in variants.items():
-        part = rows.withColumn("model", F.lit(name))
-        fits = part if fits is None else fits.unionByName(part)
-    names = F.explode(F.array(*[F.lit(n) for n in variants]))
+    day = lambda text, days=0: F.date_add(F.lit(text).cast("date"), days)
+    early, end = F.least(day(cutoff, -1), day(era[0], -1)), day(cutoff, -1)
+    span = lambda name, a, b: F.struct(F.lit(name).alias("model"), a.cast("date").alias("from"), b.alias("until"))
+    spans = F.explode(F.array(span("Full", F.lit(None), end), span("Before era", F.lit(None), early),
+                              span("Skip era", F.lit(None), early), span("Skip era", day(era[1], 1), end))).alias("r")
+    ranges = series.select(spec.entity).distinct().select(spec.entity, spans).select(spec.entity, "r.*") \
+        .where(F.col("from").isNull() | (F.col("from") <= F.col("until")))
+    names = F.explode(F.array(F.lit("Full"), F.lit("Before era"), F.lit("Skip era")))
     wanted = test.withColumn("model", names)
-    scored = evaluation.evaluate(
-        trend.predict(trend.fit(fits, spec, m, keys), wanted, spec, m, keys), keys)
+    if m.logistic:
+        during = ((F.col("from").isNull() | (F.col("ds") >= F.col("from"))) & (F.col("ds") <= F.col("until")))
+        fits = trend.fit(train.join(ranges, spec.entity).where(during).drop("from", "until"), spec, m, keys)
+    else:
+        fits = segments.fit_ranges(train, ranges, spec, m, ["model"])
+    scored = evaluation.evaluate(trend.predict(fits, wanted, spec, m, keys), keys)
     low, high = evaluation.expected_range(F.lit(100.0), "mape")
     pick = scored.groupBy(spec.entity).agg(evaluation.smallest("mape", "model").alias("_best"))
     return scored.join(pick, spec.entity).select(
@@ -179,15 +187,23 @@ def training_variants(series: DataFrame, spec: PanelSpec, cutoff: str, era: tupl
 def cross_validation(series: DataFrame, spec: PanelSpec, initial_days: int = 1825,
                      period_days: int = 365, horizon_days: int = 365,
                      m: TrendModel = TrendModel()) -> DataFrame:
-    """(entity, fold, ds, y, yhat, bounds) of every rolling origin, all folds in one job."""
+    """(entity, fold, ds, y, yhat, bounds) of every rolling origin, all folds in one job.
+
+    Folds share one pass of sums over the series. A saturating trend cannot, as its response
+    depends on the fold; its training rows are repeated per fold.
+    """
     origins = dataset.rolling_origins(series, spec.with_(time="ds"), initial_days, period_days,
                                       horizon_days)
     keys = [spec.entity, "fold"]
     rows = series.join(origins, spec.entity)
-    train = rows.where(F.col("ds") <= F.col("cutoff")).select(*keys, "ds", "y")
     test = (rows.where((F.col("ds") > F.col("cutoff")) & (F.col("ds") <= F.col("until")))
             .select(*keys, "ds", "y"))
-    return trend.predict(trend.fit(train, spec, m, keys), test, spec, m, keys)
+    if m.logistic:
+        fits = trend.fit(rows.where(F.col("ds") <= F.col("cutoff")).select(*keys, "ds", "y"), spec, m, keys)
+    else:
+        ranges = origins.select(*keys, F.lit(None).cast("date").alias("from"), F.col("cutoff").alias("until"))
+        fits = segments.fit_ranges(series, ranges, spec, m, ["fold"])
+    return trend.predict(fits, test, spec, m, keys)
 
 
 def compare_regressors(series: DataFrame, spec: PanelSpec, cutoff: str,

@@ -97,8 +97,10 @@ def to_json(spark: SparkSession, config: Mapping[str, object], path: str) -> Non
     one.write.mode("overwrite").json(path)
 
 
-def model_config(metrics: DataFrame, spec: PanelSpec, notes: Mapping[str, str]) -> DataFrame:
-    """One settings row per entity from its validation error."""
+def model_config(metrics: DataFrame, spec: PanelSpec, notes: Mapping[str, str],
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """One settings row per row of ``metrics``: entity, validation error, the columns of ``keep``
+    and the notes."""
     text = F.concat(F.format_number("mape", 1), F.lit("%"))
-    return metrics.select(spec.entity, text.alias("validation_mape"),
+    return metrics.select(spec.entity, text.alias("validation_mape"), *keep,
                           *[F.lit(v).alias(k) for k, v in notes.items()])
