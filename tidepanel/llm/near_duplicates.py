@@ -11,11 +11,13 @@ the share of it that both hold estimates their similarity.
    A value that nobody else retains makes no list, yet takes up one of these places.
 3. Each list links its members to its most typical one, so pairs grow with the lists' length,
    not its square. The union sketch filters the pairs, the full sets confirm them.
-4. A list may still hold several components, and near copies can be too far from its center
-   and yet near to each other. Two such texts either share a rare shingle, and the lists of
-   rare shingles are short; or all they share is frequent, and then how much frequent content
-   each has bounds their similarity. Pairs that neither way rules out are confirmed, and their
-   links join the components.
+4. A list may still hold several components. Its members are then compared by what they add to
+   the center's shingles and what they lack of them. Two members differ by the sum of their
+   differences less twice those they share. Where the sum alone is small enough they are
+   similar, and both are linked to the member nearest to the center in this sense; where it is
+   not, they must share differences. Each member enters lists of so many of its rarest
+   differences that partners meet; short lists are compared, long ones are lists of the next
+   round, with a center of their own.
 
 Shingles are 64-bit hashes throughout.
 """
@@ -36,8 +38,10 @@ from tidepanel.session import materialise
 
 #: Retained values per text.
 K = 32
-#: A shingle is rare among texts when at most so many hold it.
-RARE = 32
+#: Lists of differences of at most so many members are compared member by member.
+SHORT = 32
+#: Tells a lacking shingle from an added one.
+LACKING = 0x5DEECE66D1234567
 
 
 def least_overlap(k: int, similarity: float, miss: float = 1e-9) -> int:
@@ -150,7 +154,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     shared = lists.groupBy("value").agg(
         F.count("*").alias("members"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("center"))
     lists = materialise(lists.join(shared.where("members > 1"), "value")
-                        .select("value", "id", "n", "center"), "lists")
+                        .select("value", "id", "n", "weight", "center"), "lists")
     sets = materialise(keep_ids(rows.withColumnRenamed("doc_id", "id"), lists, "id")
                        .withColumnRenamed("id", "doc_id")
                        .mapInArrow(lambda b: _sets(b, width), f"id {kind}, shingles array<long>"), "sets")
@@ -158,11 +162,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
     found = materialise(components(links), "components")
-    more = _across(lists, found, classes, sets, k, overlap, percent)
+    found = _across(lists, found, sets, percent)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
-    ids = _joined(found, more.unionAll(ties))
+    ids = _joined(found, ties)
     return (stored.join(ids, stored["doc_id"] == ids["id"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
@@ -183,38 +187,102 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
             .select("id", F.coalesce("top", "component").alias("component")))
 
 
-def _across(lists: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame,
-            k: int, overlap: int, percent: int) -> DataFrame:
-    """Links between members of lists that the centers left in several components."""
-    tagged = (lists.join(found, "id", "left")
-              .select("value", "id", "n", F.coalesce("component", "id").alias("component")))
-    several = lambda t: t.join(
-        t.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi").select("value"), "value")
-    mixed_lists = materialise(several(tagged), "mixed")
-    # Shingles that few classes in such lists hold, and what a class has of the others.
-    active = mixed_lists.select("id", "n", "component").distinct()
-    held = sets.join(active.select("id"), "id").select("id", F.explode("shingles").alias("shingle"))
-    often = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    met = materialise(held.join(often, "shingle"), "met")
-    shared = met.groupBy("id").agg(F.count("*").alias("common"), F.count_if(F.col("df") > RARE).alias("frequent"))
-    bounded = materialise(active.join(shared, "id").where(F.col("common") * 100 >= F.col("n") * percent), "bounded")
-
-    def across(rows: DataFrame, key: str, most: str) -> DataFrame:
-        """Pairs of members of a list, in different components, that ``most`` does not rule out."""
-        a, b = rows.alias("a"), rows.alias("b")
-        bound = _similar(F.least(f"a.{most}", f"b.{most}"), F.col("a.n"), F.col("b.n"), percent)
-        return (a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.id") < F.col("b.id"))
-                       & (F.col("a.component") != F.col("b.component")) & bound)
-                .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
-
-    rare = met.where(F.col("df") <= RARE).select("id", "shingle").join(bounded, "id")
-    # Pairs without a rare shingle in common share frequent ones only; a partner within the
-    # list has at least ``lo_n`` shingles.
-    placed = mixed_lists.select("value", "id").join(bounded, "id")
-    reach = placed.groupBy("value").agg(F.min("n").alias("lo_n"))
-    able = (placed.join(reach, "value").where(
-        _similar(F.col("frequent"), F.col("n"), F.greatest("lo_n", "frequent"), percent)).drop("lo_n"))
-    able = materialise(several(able), "able")
-    pairs = across(rare, "shingle", "common").unionAll(across(able, "value", "frequent")).distinct()
-    return materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
+def _across(lists: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components after the links between members of lists that the centers left apart."""
+    # Lists with one center are one list.
+    rows = _apart(lists.select(F.col("center").alias("key"), "id", "n", "weight").distinct(), found)
+    # A class with a partner has enough shingles in common with others; only such go on.
+    active = rows.select("id", "n").distinct()
+    held = sets.join(active, "id").select("id", "n", F.explode("shingles").alias("shingle"))
+    often = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1").select("shingle")
+    able = materialise(held.join(often, "shingle").groupBy("id", "n").agg(F.count("*").alias("common"))
+                       .where(F.col("common") * 100 >= F.col("n") * percent).select("id"), "able")
+    rows = rows.join(able, "id", "left_semi")
+    while True:
+        rows = materialise(_apart(rows, found), "apart")
+        if rows.isEmpty():
+            return found
+        links, longer = _round(rows, sets, percent)
+        found = materialise(_joined(found, links), "components")
+        rows = _by_center(_once(_apart(longer, found)))
+
+
+def _apart(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their component, of lists that hold several."""
+    tagged = lists.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = (tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .where("lo <> hi").select("key"))
+    return tagged.join(several, "key", "left_semi")
+
+
+def _once(lists: DataFrame) -> DataFrame:
+    """Lists without those that have the same members as another one."""
+    h = F.xxhash64("id")
+    same = lists.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h % (1 << 31)).alias("s"))
+    return lists.join(same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
+def _by_center(lists: DataFrame) -> DataFrame:
+    """The lists that came of one list and have the same center, as one list."""
+    center = lists.groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("center"))
+    return lists.join(center, "key").select(F.xxhash64("of", "center").alias("key"), "id", "n", "weight").distinct()
+
+
+def _round(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of one round, and the lists of the next one.
+
+    ``slack`` is (100 - percent) n - (100 + percent) d, with d differences from the center. Two members
+    are similar if and only if their slacks and 2 (100 + percent) times the differences they share add
+    up to 0 or more.
+    """
+    less, more = 100 - percent, 100 + percent
+    center = rows.groupBy("key").agg(F.max_by(F.struct("id", "n", "component"), F.struct(
+        "weight", -F.col("id"))).alias("c"))
+    set_of = lambda c, name: sets.select(F.col("id").alias(c), F.col("shingles").alias(name))
+    both = (rows.join(center, "key").withColumn("center", F.col("c.id")).where("id <> center")
+            .join(set_of("id", "own"), "id").join(set_of("center", "shared"), "center"))
+    lacking = F.transform(F.array_except("shared", "own"), lambda x: x.bitwiseXOR(F.lit(LACKING)))
+    members = materialise(
+        both.withColumn("diff", F.concat(F.array_except("own", "shared"), lacking))
+        .withColumn("d", F.size("diff"))
+        .withColumn("slack", less * F.col("n") - more * F.col("d"))
+        .select("key", "id", "n", "weight", "component", "c", "diff", "d", "slack"), "differences")
+    top = lambda slack, id, component: F.struct(slack.alias("slack"), id.alias("id"), component.alias("component"))
+    nearest = members.groupBy("key").agg(
+        F.max(top(F.col("slack"), F.col("id"), F.col("component"))).alias("m"), F.first("c").alias("c")).select(
+        "key", "c", F.greatest("m", top(less * F.col("c.n"), F.col("c.id"), F.col("c.component"))).alias("w"))
+    nearest = materialise(nearest, "nearest")
+    members = members.drop("c").join(nearest, "key").withColumn("inside", F.col("slack") + F.col("w.slack") >= 0)
+    sure = (members.where("inside and id <> w.id").select(F.col("id").alias("a"), F.col("w.id").alias("b"))
+            .unionAll(nearest.where("c.id <> w.id").select(F.col("c.id").alias("a"), F.col("w.id").alias("b"))))
+
+    # Of those outside the nearest one's reach, the best slack bounds what a partner inside shares.
+    outer = (members.where("not inside").groupBy("key").agg(F.max("slack").alias("outer")))
+    left = members.join(outer, "key")
+    partner = F.when(F.col("inside"), F.col("outer")).otherwise(F.col("w.slack"))
+    need = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + partner) / (2 * more)))
+    left = left.withColumns({
+        "component": F.when(F.col("inside"), F.col("w.component")).otherwise(F.col("component")),
+        "places": F.col("d") - need + 1}).where("places > 0").select(
+        "key", "id", "n", "weight", "component", "d", "slack", "places", "diff")
+    each = left.select("key", "id", F.explode("diff").alias("x"))
+    df = each.groupBy("key", "x").agg(F.count("*").alias("df")).where("df > 1")
+    met = (each.join(df, ["key", "x"]).groupBy("key", "id")
+           .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("met")))
+    entered = (left.drop("diff").join(met, ["key", "id"])
+               .withColumn("places", (F.col("places") - (F.col("d") - F.size("met"))).cast("int")).where("places > 0")
+               .select("key", "id", "n", "weight", "component", "slack", F.explode(F.slice("met", F.lit(1), F.col("places"))).alias("m"))
+               .select("id", "n", "weight", "component", "slack", F.col("key").alias("of"), F.xxhash64("key", "m.x").alias("key")))
+    sizes = entered.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"),
+                                       F.max("component").alias("hi")).where("lo <> hi").select("key", "size")
+    entered = materialise(entered.join(sizes, "key"), "entered")
+    short = entered.where(F.col("size") <= SHORT).join(
+        left.select(F.col("key").alias("of"), "id", "diff"), ["of", "id"])
+    a, b = short.alias("a"), short.alias("b")
+    shared = F.size(F.array_intersect("a.diff", "b.diff"))
+    met_pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
+                        & (F.col("a.component") != F.col("b.component"))
+                        & (F.col("a.slack") + F.col("b.slack") + 2 * more * shared >= 0))
+                 .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+    links = materialise(sure.unionAll(met_pairs).distinct(), "links")
+    return links, entered.where(F.col("size") > SHORT).select("key", "of", "id", "n", "weight")

@@ -53,7 +53,7 @@ def correlation_pairs(df: DataFrame, measures: Sequence[str] = REPORTED) -> Data
     r = spread("x", "y", "xy") / F.sqrt(square("x", "xx") * square("y", "yy"))
     name = lambda place: F.element_at(F.array(*[F.lit(c) for c in got]), place.cast("int") + 1)
     named = s.where("n > 0").select(name(F.floor(F.col("i") / k)).alias("p"), name(F.col("i") % k).alias("q"), "n",
-                                    F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))
+                                    F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
     same = F.col("p") == F.col("q")
     r = F.when(~same, F.col("r")).when(F.col("n") > 1, F.lit(1.0)).alias("r")
     cell = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"), r)
