@@ -71,10 +71,11 @@ class _Side:
         self.id = np.asarray(table["vec_id"], np.int64)[order]
         self.q, self.real, self.norm, self.angle, self.label, self.near = (
             x[order] for x in (self.q, self.real, norm, angle, self.label, near))
+        self.largest = float(np.abs(self.real).max(initial=0))
 
-    def blocks(self, size: int):
-        """Stretches of at most ``size`` rows of one label and nearest reference."""
-        key = np.stack([self.label, self.near], axis=1)
+    def blocks(self, size: int, near: bool = True):
+        """Stretches of at most ``size`` rows of one label and, if wanted, one nearest reference."""
+        key = np.stack([self.label, self.near * near], axis=1)
         turns = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
         for lo, hi in zip([0, *turns], [*turns, len(key)]):
             for at in range(lo, hi, size):
@@ -103,7 +104,7 @@ def _window(a: _Side, x: _Side, rows: np.ndarray, block: slice, floor: np.ndarra
 
 
 def _scores(a: _Side, x: _Side, rows: np.ndarray, block: slice) -> np.ndarray:
-    if a.q.shape[1] * float(np.abs(a.q).max(initial=0)) * float(np.abs(x.q).max(initial=0)) < 2.0 ** 53:
+    if a.q.shape[1] * a.largest * x.largest < 2.0 ** 53:
         return a.real[rows] @ x.real[block].T  # whole numbers, exact as doubles
     return (a.q[rows].astype(object) @ x.q[block].astype(object).T).astype(np.float64)
 
@@ -113,26 +114,34 @@ class _Best:
 
     def __init__(self, low: np.ndarray, high: np.ndarray, k: int):
         self.low, self.high, self.k = low, high, k
-        self.held = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]  # window, score, id
+        self.score = np.full((len(low), k), -np.inf)  # free places are the last
+        self.id = np.zeros((len(low), k), np.int64)
         self.least = low.astype(np.float64)
 
     def add(self, window: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        fit = np.where((scores >= self.least[window, None]) & (scores <= self.high[window, None]), scores, -np.inf)
-        if fit.shape[1] > self.k:  # those below the k-th of this block cannot come in
-            kth = np.partition(fit, fit.shape[1] - self.k, axis=1)[:, fit.shape[1] - self.k]
-            fit = np.where(fit >= kth[:, None], fit, -np.inf)
-        i, j = np.nonzero(np.isfinite(fit))
+        fit = (scores >= self.least[window, None]) & (scores <= self.high[window, None])
+        many = np.flatnonzero(np.count_nonzero(fit, axis=1) > 4 * self.k)
+        if len(many):  # those below the k-th of this block cannot come in
+            own = np.where(fit[many], scores[many], -np.inf)
+            fit[many] &= scores[many] >= np.partition(own, -self.k, axis=1)[:, -self.k, None]
+        i, j = np.nonzero(fit)
         if not len(i):
             return
-        w, s, d = (np.concatenate([old, new]) for old, new in zip(self.held, (window[i], fit[i, j], ids[j])))
-        order = np.lexsort((d, -s, w))
-        w, s, d = w[order], s[order], d[order]
-        first = np.searchsorted(w, w)
-        rank = np.arange(len(w)) - first
-        keep = rank < self.k
-        self.held = [w[keep], s[keep], d[keep]]
-        full = np.flatnonzero(rank == self.k - 1)
-        self.least[w[full]] = np.maximum(self.least[w[full]], s[full])
+        touched = np.unique(i)
+        w = window[touched]
+        place = np.concatenate([np.repeat(np.arange(len(w)), self.k), np.searchsorted(touched, i)])
+        s = np.concatenate([self.score[w].ravel(), scores[i, j]])
+        d = np.concatenate([self.id[w].ravel(), ids[j]])
+        order = np.lexsort((d, -s, place))
+        place = place[order]
+        first = order[np.arange(len(order)) - np.searchsorted(place, place) < self.k]
+        self.score[w], self.id[w] = s[first].reshape(-1, self.k), d[first].reshape(-1, self.k)
+        self.least[w] = np.maximum(self.least[w], self.score[w, -1])
+
+    def held(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window, score and id of what is held."""
+        w, k = np.nonzero(np.isfinite(self.score))
+        return w, self.score[w, k], self.id[w, k]
 
 
 def _search(a: _Side, x: _Side, best: list[_Best], same: bool) -> None:
@@ -140,7 +149,7 @@ def _search(a: _Side, x: _Side, best: list[_Best], same: bool) -> None:
     name = {n: i for i, n in enumerate(x.names)}
     code = np.array([name.get(n, -1) for n in a.names])[a.label] if len(a.label) else a.label
     blocks = list(x.blocks(ROWS))
-    for start, end in a.blocks(ANCHORS):
+    for start, end in a.blocks(ANCHORS, near=False):
         own = np.arange(start, end)
         for lo, hi in blocks:
             if (x.label[lo] == code[start]) != same:
@@ -207,7 +216,7 @@ def hard_negatives(vectors: DataFrame, every: int = 100, positives: int = 5, neg
             every_score = np.full(len(a.id), np.inf)
             best = _Best(-every_score, every_score, positives)
             _search(a, x, [best], same=True)
-            w, s, d = best.held
+            w, s, d = best.held()
             out.append(pa.table({"anchor_id": a.id[w], "positive_id": d, "positive_score": s.astype(np.int64)}))
         return pa.concat_tables(out) if out else _EMPTY.select(["anchor_id", "positive_id", "positive_score"])
 
@@ -232,7 +241,7 @@ def hard_negatives(vectors: DataFrame, every: int = 100, positives: int = 5, neg
                                   negatives))
             _search(a, x, best, same=False)
             for k, b in enumerate(best):
-                w, s, d = b.held
+                w, s, d = b.held()
                 out.append(pa.table({
                     "anchor_id": a.id[w], "positive_id": np.array([own[i][k]["positive_id"] for i in w], np.int64),
                     "negative_id": d, "negative_score": s.astype(np.int64),
