@@ -302,6 +302,24 @@ def test_preferences(spark):
     assert preferences.preference_pairs(none, none).collect() == []
 
 
+def test_replies_of_others(spark):
+    schema = "conv_id string, turn long, role string, text string, reply string, partner string"
+    rows = [("b", 0, "user", "q"), ("b", 1, "assistant", "from b"), ("b", 2, "user", "late"),
+            ("c", 0, "user", "no reply"), ("d", 1, "assistant", None), ("d", 1, "assistant", None),
+            ("e", None, "assistant", "no number"), ("f", None, "system", "s"), ("f", 1, "assistant", "x"),
+            ("f", 1, "assistant", "y"), (None, 0, "assistant", "nobody")]
+    df = frame(spark, [(*r, "r", "p") for r in rows], schema)
+    chosen, rejected = (sorted((r.conv_id, r.turn is not None, r.role, r.text or "") for r in side.collect())
+                        for side in preferences.with_replies_of_others(df))
+    kept = [r for r in rows if r[0] in ("b", "d", "f") and r[3] != "late"]
+    assert chosen == sorted((i, t is not None, role, x or "") for i, t, role, x in kept)
+    other = {"b": "", "d": "y", "f": "from b"}
+    assert rejected == sorted((i, t is not None, role, other[i] if role == "assistant" else x) for i, t, role, x in kept)
+    single = preferences.with_replies_of_others(df.where("conv_id = 'b'"))[1].collect()
+    assert sorted(r.text for r in single) == ["from b", "q"]
+    assert preferences.with_replies_of_others(df.limit(0))[1].count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     from tidepanel.llm.components import components

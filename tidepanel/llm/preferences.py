@@ -7,10 +7,11 @@ with their end mark, which a loss may count; headers and other turns stay outsid
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import only
+from tidepanel.session import materialise
 
 END = "<|end|>\n"
 
@@ -71,15 +72,36 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
                           & (F.col("chosen") != F.col("rejected")))
 
 
+def _next(ids: DataFrame) -> DataFrame:
+    """(conv_id, partner): the next id in order, the first one for the last. Ids are ordered in
+    ranges, one row for each of which goes on to find the next range's first id."""
+    ranges = materialise(ids.repartitionByRange("conv_id").withColumn("range", F.spark_partition_id()), "ranges")
+    within = ranges.withColumn("partner", F.lead("conv_id").over(Window.partitionBy("range").orderBy("conv_id")))
+    firsts = ranges.groupBy("range").agg(F.min("conv_id").alias("first"))
+    every = Window.partitionBy(F.lit(0)).orderBy("range")
+    after = firsts.select("range", F.coalesce(
+        F.lead("first").over(every), F.first("first").over(every)).alias("after"))
+    return within.join(after, "range").select("conv_id", F.coalesce("partner", "after").alias("partner"))
+
+
 def with_replies_of_others(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected sides of plain conversations: up to the last assistant turn as it
-    is, and with that turn's text taken from the partner, whose id differs in the last bit.
-    Conversations without an assistant turn, or whose partner has none, are on neither side."""
-    rows = only(conversations, "conv_id", "turn", "role", "text")
+    is, and with that turn's text taken from the next conversation, in the order of ids of any
+    type, that has an assistant turn; the last one takes the first one's.
+
+    Conversations without an assistant turn are on neither side, all others on both; if there is
+    only one, it meets its own reply. Null ids are no conversation, an assistant turn with a null
+    number is none. Of several assistant turns with the last number, which all are replaced, the
+    greatest text is the reply; rows that repeat stay. Other columns are ignored; an empty table
+    gives empty sides.
+    """
+    rows = only(conversations, "conv_id", "turn", "role", "text").where("conv_id is not null")
     last = (rows.where("role = 'assistant' and turn is not null").groupBy("conv_id")
             .agg(F.max(F.struct("turn", "text")).alias("x")).select("conv_id", "x.turn", "x.text"))
-    reply = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("text").alias("reply"))
-    ends = last.select("conv_id", F.col("turn").alias("last")).join(reply, "conv_id")
+    last = materialise(last, "replies")
+    reply = last.select(F.col("conv_id").alias("partner"), F.col("text").alias("reply"))
+    ends = last.select("conv_id", F.col("turn").alias("last")).join(_next(last.select("conv_id")), "conv_id") \
+        .join(reply, "partner").drop("partner")
     cut = rows.join(ends, "conv_id").where("turn is null or turn <= last")
     swapped = F.when((F.col("turn") == F.col("last")) & (F.col("role") == "assistant"), F.col("reply")) \
         .otherwise(F.col("text"))

@@ -94,14 +94,16 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op10_preference_pairs"] = """
 WITH last AS (
-  SELECT conv_id, max(turn) AS turn FROM conversations WHERE role = 'assistant' GROUP BY 1),
+  SELECT conv_id, max(turn) AS turn FROM conversations
+           WHERE role = 'assistant' AND conv_id IS NOT NULL GROUP BY 1),
 reply AS (SELECT l.conv_id, l.turn, max(c.text) AS text FROM last l
   JOIN conversations c ON c.conv_id = l.conv_id AND c.turn = l.turn AND c.role = 'assistant' GROUP BY 1, 2),
+next AS (SELECT conv_id, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS partner FROM reply),
 sides AS (
   SELECT c.conv_id, c.turn, coalesce(c.role, '') AS role, coalesce(c.text, '') AS chosen,
          coalesce(CASE WHEN c.turn = own.turn AND c.role = 'assistant' THEN other.text ELSE c.text END, '') AS rejected
   FROM conversations c JOIN reply own ON own.conv_id = c.conv_id AND c.turn <= own.turn
-  JOIN reply other ON other.conv_id = xor(own.conv_id, 1)),
+  JOIN next ON next.conv_id = own.conv_id JOIN reply other ON other.conv_id = next.partner),
 marked AS (
   SELECT *, min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id) AS first FROM sides),
 drawn AS (
