@@ -169,13 +169,16 @@ def test_near_duplicates(odd, none):
     assert near_duplicates.near_duplicates(none).collect() == []
 
 
-def test_near_copies_of_one_text(spark):
-    """A large group of near copies around the limit, beside texts that share a passage."""
+@pytest.mark.parametrize("members", [1024, 20])
+def test_near_copies_of_one_text(spark, monkeypatch, members):
+    """A large group of near copies around the limit, some with edits in common, beside texts that
+    share a passage; in one block and in several."""
+    monkeypatch.setattr(near_duplicates, "MEMBERS", members)
     base, rows = prose("base", 120).split(), []
     for i in range(90):
         w = list(base)
-        for j in range(i % 9):
-            w[(i * 13 + j * 17) % 120] = f"edit{i}x{j}"
+        for j in range(i % 9 + i % 4):
+            w[(i % 30 * 13 + j * 17) % 120] = f"edit{i % 45}x{j}"
         rows.append((i, " ".join(w)))
     passage = prose("shared", 40)
     rows += [(100 + i, prose(("own", i), 60) + " " + passage) for i in range(40)]

@@ -11,13 +11,11 @@ the share of it that both hold estimates their similarity.
    A value that nobody else retains makes no list, yet takes up one of these places.
 3. Each list links its members to its most typical one, so pairs grow with the lists' length,
    not its square. The union sketch filters the pairs, the full sets confirm them.
-4. A list may still hold several components. Its members are then compared by what they add to
-   the center's shingles and what they lack of them. Two members differ by the sum of their
-   differences less twice those they share. Where the sum alone is small enough they are
-   similar, and both are linked to the member nearest to the center in this sense; where it is
-   not, they must share differences. Each member enters lists of so many of its rarest
-   differences that partners meet; short lists are compared, long ones are lists of the next
-   round, with a center of their own.
+4. A list may still hold several components. Members of short lists are then paired, filtered
+   and confirmed like the others. Of long lists, members with enough shingles in common with
+   others go on: those outside the list's largest component meet all members in blocks of bounded
+   size. A task counts the common shingles of two blocks by matrix products and hands on what
+   ties its components together, so no pairs are emitted.
 
 Shingles are 64-bit hashes throughout.
 """
@@ -38,10 +36,10 @@ from tidepanel.session import materialise
 
 #: Retained values per text.
 K = 32
-#: Lists of differences of at most so many members are compared member by member.
+#: Lists of at most so many members are compared pair by pair.
 SHORT = 32
-#: Tells a lacking shingle from an added one.
-LACKING = 0x5DEECE66D1234567
+#: Members and shingles of a block of a long list, about, and shingles counted at a time.
+MEMBERS, SHINGLES, COUNTED = 1024, 1 << 18, 4096
 
 
 def least_overlap(k: int, similarity: float, miss: float = 1e-9) -> int:
@@ -162,7 +160,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
     found = materialise(components(links), "components")
-    found = _across(lists, found, sets, percent)
+    confirmed = lambda pairs: _confirmed(pairs, classes, sets, k, overlap, percent)
+    found = _across(lists, found, sets, percent, confirmed)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
@@ -187,24 +186,32 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
             .select("id", F.coalesce("top", "component").alias("component")))
 
 
-def _across(lists: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(lists: DataFrame, found: DataFrame, sets: DataFrame, percent: int, confirmed) -> DataFrame:
     """Components after the links between members of lists that the centers left apart."""
     # Lists with one center are one list.
-    rows = _apart(lists.select(F.col("center").alias("key"), "id", "n", "weight").distinct(), found)
+    rows = materialise(_apart(lists.select(F.col("center").alias("key"), "id", "n", "weight").distinct(), found), "apart")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"))
+    short = rows.join(sizes.where(F.col("size") <= SHORT), "key")
+    found = materialise(_joined(found, materialise(confirmed(_pairs(short, percent)), "links")), "components")
+    rows = _apart(rows.join(sizes.where(F.col("size") > SHORT).select("key"), "key"), found)
     # A class with a partner has enough shingles in common with others; only such go on.
-    active = rows.select("id", "n").distinct()
+    active = materialise(rows.select("id", "n").distinct(), "active")
     held = sets.join(active, "id").select("id", "n", F.explode("shingles").alias("shingle"))
     often = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1").select("shingle")
     able = materialise(held.join(often, "shingle").groupBy("id", "n").agg(F.count("*").alias("common"))
                        .where(F.col("common") * 100 >= F.col("n") * percent).select("id"), "able")
     rows = rows.join(able, "id", "left_semi")
-    while True:
-        rows = materialise(_apart(rows, found), "apart")
-        if rows.isEmpty():
-            return found
-        links, longer = _round(rows, sets, percent)
-        found = materialise(_joined(found, links), "components")
-        rows = _by_center(_once(_apart(longer, found)))
+    rows = materialise(_apart(rows, found), "apart")
+    return _joined(found, materialise(_in_blocks(rows, sets, percent), "links"))
+
+
+def _pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Members (a, b) of one short list that are in different components and near in size."""
+    a, b = lists.alias("a"), lists.alias("b")
+    near = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+    apart = (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component"))
+    return (a.join(b, (F.col("a.key") == F.col("b.key")) & apart & near)
+            .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
 
 
 def _apart(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -215,74 +222,65 @@ def _apart(lists: DataFrame, found: DataFrame) -> DataFrame:
     return tagged.join(several, "key", "left_semi")
 
 
-def _once(lists: DataFrame) -> DataFrame:
-    """Lists without those that have the same members as another one."""
-    h = F.xxhash64("id")
-    same = lists.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h % (1 << 31)).alias("s"))
-    return lists.join(same.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
-
-
-def _by_center(lists: DataFrame) -> DataFrame:
-    """The lists that came of one list and have the same center, as one list."""
-    center = lists.groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("center"))
-    return lists.join(center, "key").select(F.xxhash64("of", "center").alias("key"), "id", "n", "weight").distinct()
-
-
-def _round(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of one round, and the lists of the next one.
-
-    ``slack`` is (100 - percent) n - (100 + percent) d, with d differences from the center. Two members
-    are similar if and only if their slacks and 2 (100 + percent) times the differences they share add
-    up to 0 or more.
-    """
-    less, more = 100 - percent, 100 + percent
-    center = rows.groupBy("key").agg(F.max_by(F.struct("id", "n", "component"), F.struct(
-        "weight", -F.col("id"))).alias("c"))
-    set_of = lambda c, name: sets.select(F.col("id").alias(c), F.col("shingles").alias(name))
-    both = (rows.join(center, "key").withColumn("center", F.col("c.id")).where("id <> center")
-            .join(set_of("id", "own"), "id").join(set_of("center", "shared"), "center"))
-    lacking = F.transform(F.array_except("shared", "own"), lambda x: x.bitwiseXOR(F.lit(LACKING)))
-    members = materialise(
-        both.withColumn("diff", F.concat(F.array_except("own", "shared"), lacking))
-        .withColumn("d", F.size("diff"))
-        .withColumn("slack", less * F.col("n") - more * F.col("d"))
-        .select("key", "id", "n", "weight", "component", "c", "diff", "d", "slack"), "differences")
-    top = lambda slack, id, component: F.struct(slack.alias("slack"), id.alias("id"), component.alias("component"))
-    nearest = members.groupBy("key").agg(
-        F.max(top(F.col("slack"), F.col("id"), F.col("component"))).alias("m"), F.first("c").alias("c")).select(
-        "key", "c", F.greatest("m", top(less * F.col("c.n"), F.col("c.id"), F.col("c.component"))).alias("w"))
-    nearest = materialise(nearest, "nearest")
-    members = members.drop("c").join(nearest, "key").withColumn("inside", F.col("slack") + F.col("w.slack") >= 0)
-    sure = (members.where("inside and id <> w.id").select(F.col("id").alias("a"), F.col("w.id").alias("b"))
-            .unionAll(nearest.where("c.id <> w.id").select(F.col("c.id").alias("a"), F.col("w.id").alias("b"))))
-
-    # Of those outside the nearest one's reach, the best slack bounds what a partner inside shares.
-    outer = (members.where("not inside").groupBy("key").agg(F.max("slack").alias("outer")))
-    left = members.join(outer, "key")
-    partner = F.when(F.col("inside"), F.col("outer")).otherwise(F.col("w.slack"))
-    need = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + partner) / (2 * more)))
-    left = left.withColumns({
-        "component": F.when(F.col("inside"), F.col("w.component")).otherwise(F.col("component")),
-        "places": F.col("d") - need + 1}).where("places > 0").select(
-        "key", "id", "n", "weight", "component", "d", "slack", "places", "diff")
-    each = left.select("key", "id", F.explode("diff").alias("x"))
-    df = each.groupBy("key", "x").agg(F.count("*").alias("df")).where("df > 1")
-    met = (each.join(df, ["key", "x"]).groupBy("key", "id")
-           .agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("met")))
-    entered = (left.drop("diff").join(met, ["key", "id"])
-               .withColumn("places", (F.col("places") - (F.col("d") - F.size("met"))).cast("int")).where("places > 0")
-               .select("key", "id", "n", "weight", "component", "slack", F.explode(F.slice("met", F.lit(1), F.col("places"))).alias("m"))
-               .select("id", "n", "weight", "component", "slack", F.col("key").alias("of"), F.xxhash64("key", "m.x").alias("key")))
-    sizes = entered.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"),
-                                       F.max("component").alias("hi")).where("lo <> hi").select("key", "size")
-    entered = materialise(entered.join(sizes, "key"), "entered")
-    short = entered.where(F.col("size") <= SHORT).join(
-        left.select(F.col("key").alias("of"), "id", "diff"), ["of", "id"])
-    a, b = short.alias("a"), short.alias("b")
-    shared = F.size(F.array_intersect("a.diff", "b.diff"))
-    met_pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-                        & (F.col("a.component") != F.col("b.component"))
-                        & (F.col("a.slack") + F.col("b.slack") + 2 * more * shared >= 0))
-                 .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
-    links = materialise(sure.unionAll(met_pairs).distinct(), "links")
-    return links, entered.where(F.col("size") > SHORT).select("key", "of", "id", "n", "weight")
+def _in_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that tie the components of lists: members outside a list's largest component
+    meet all of it, block by block."""
+    blocks = lambda m, n: F.ceil(F.greatest(m / MEMBERS, n / SHINGLES)).cast("int")
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
+    lists = sizes.groupBy("key").agg(
+        F.max(F.struct("m", "component", "shingles")).alias("most"), F.sum("m").alias("m"), F.sum("shingles").alias("s"))
+    lists = lists.select("key", F.col("most.component").alias("main"), blocks(F.col("m"), F.col("s")).alias("all"),
+                         blocks(F.col("m") - F.col("most.m"), F.col("s") - F.col("most.shingles")).alias("outside"))
+    placed = rows.select("key", "id", "component").join(lists, "key").join(sets, "id")
+    slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    names = ["key", "l", "r", "id", "component", "shingles"]
+    left = placed.where("component <> main").withColumn("l", slot("outside")).withColumn("r", every("all")).select(
+        *[F.col(c).alias(c) for c in names])
+    right = placed.withColumn("r", slot("all")).withColumn("l", every("outside")).select(names)
+    kind = dict(rows.dtypes)["id"]
+    return left.groupBy("key", "l", "r").cogroup(right.groupBy("key", "l", "r")).applyInArrow(
+        lambda a, b: _compared(a, b, percent), f"a {kind}, b {kind}")
+
+
+def _compared(left: pa.Table, right: pa.Table, percent: int) -> pa.Table:
+    """Of the similar pairs of two blocks, as many as tie together the components they link."""
+    a, b = left["shingles"].combine_chunks(), right["shingles"].combine_chunks()
+    flat = [np.asarray(x.flatten()) for x in (a, b)]
+    n = [np.asarray(pa.compute.list_value_length(x)).astype(np.int64) for x in (a, b)]
+    met = np.intersect1d(*flat)
+    sides = []  # member and place in ``met`` of each shingle that both blocks have, by place
+    for values, sizes in zip(flat, n):
+        at = np.searchsorted(met, values)
+        known = np.flatnonzero(met[np.minimum(at, len(met) - 1)] == values) if len(met) else at[:0]
+        order = known[np.argsort(at[known], kind="stable")]
+        sides.append((np.repeat(np.arange(len(sizes)), sizes)[order], at[order]))
+    shared = np.zeros((len(a), len(b)))
+    for lo in range(0, len(met), COUNTED):
+        held = []
+        for (member, at), sizes in zip(sides, n):
+            part = slice(*np.searchsorted(at, [lo, lo + COUNTED]))
+            one = np.zeros((len(sizes), min(COUNTED, len(met) - lo)), np.float32)
+            one[member[part], at[part] - lo] = 1
+            held.append(one)
+        shared += held[0] @ held[1].T
+    codes = pa.chunked_array([*left["component"].chunks, *right["component"].chunks]).combine_chunks() \
+        .dictionary_encode().indices.to_numpy()
+    own, other = codes[:len(a)], codes[len(a):]
+    near = (shared * 100 >= (n[0][:, None] + n[1][None, :] - shared) * percent) & (own[:, None] != other[None, :])
+    i, j = np.nonzero(near)
+    first = np.unique(own[i].astype(np.int64) << 32 | other[j], return_index=True)[1]
+    top = list(range(int(codes.max(initial=-1)) + 1))
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    kept = []
+    for k in first.tolist():
+        x, y = root(int(own[i[k]])), root(int(other[j[k]]))
+        if x != y:
+            top[x] = y
+            kept.append(k)
+    return pa.table({"a": left["id"].take(pa.array(i[kept])), "b": right["id"].take(pa.array(j[kept]))})
