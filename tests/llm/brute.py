@@ -219,3 +219,28 @@ def pfair(sizes, parts):
             out[pick[1], frame * parts[pick[1]] + pick[2]] = (slot + t, slot + pick[3], slot + pick[0])
         slot, frame = slot + size, frame + 1
     return out
+
+
+def perplexity_verdicts(docs, labels, share=0.995, margin=0.05, weight=400, step=0.001):
+    """Per document its bits a byte, its excess over the median of its language, and its cutoff."""
+    good = {r.doc_id for r in labels if r.quality == 1 and r.doc_id in docs}
+    half = {i: int(hashlib.md5(str(i).encode()).hexdigest()[-1], 16) % 2 for i in good}
+    model = KneserNey([docs[i].text for i in good if half[i] == 0])
+    rate = {i: model.rate(r.text) for i, r in docs.items() if r.text}
+    held = [i for i in good if half[i] == 1 and i in rate]
+
+    def quantile(value, lang, share):
+        steps = sorted(math.floor(value(i) / step) for i in held if lang is ... or docs[i].lang == lang)
+        return (steps[math.ceil(len(steps) * share) - 1] + 1) * step if steps else None
+
+    langs = {r.lang for r in docs.values()}
+    every = quantile(rate.get, ..., 0.5)
+    usual = {k: quantile(rate.get, k, 0.5) or every for k in langs}
+
+    def excess(i):
+        n = len(docs[i].text.encode())
+        return (rate[i] - usual[docs[i].lang]) * n / (n + weight)
+
+    most = quantile(excess, ..., share)
+    cut = {k: max(quantile(excess, k, share) or most, most) + margin for k in langs}
+    return {i: (rate[i], excess(i), cut[docs[i].lang]) for i in rate}

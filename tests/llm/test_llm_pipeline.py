@@ -1,7 +1,5 @@
 """The pipeline over the smallest tables, against plain versions of its stages."""
 
-import hashlib
-import math
 import os
 
 import pytest
@@ -17,18 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables"
 
 
 def plain_quality(docs, labels):
-    good = {r.doc_id for r in labels if r.quality == 1 and r.doc_id in docs}
-    half = lambda i: int(hashlib.md5(str(i).encode()).hexdigest()[-1], 16) % 2
-    model = brute.KneserNey([docs[i].text for i in good if half(i) == 0])
-    rate = {i: model.rate(r.text) for i, r in docs.items() if r.text}
-    step = lambda ids: sorted(math.floor(rate[i] / 0.001) for i in ids)
-    every = step(i for i in good if half(i) == 1)
-    kept = {}
-    for i, r in docs.items():
-        own = step(j for j in good if half(j) == 1 and docs[j].lang == r.lang) or every
-        if i in rate and rate[i] <= (own[math.ceil(len(own) * 0.999) - 1] + 1) * 0.001 * 1.1:
-            kept[i] = r
-    return kept
+    return {i: docs[i] for i, (_, excess, cut) in brute.perplexity_verdicts(docs, labels).items() if excess <= cut}
 
 
 def plain_redaction(text):

@@ -1,7 +1,6 @@
 """Every query over the whole of the smallest tables, against a plain version of it."""
 
 import collections
-import hashlib
 import math
 import os
 import zlib
@@ -67,22 +66,18 @@ def test_marginals(seed):
 def test_perplexity(spark, docs):
     got = result(spark, "op2_perplexity")
     labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
-    half = lambda i: int(hashlib.md5(str(i).encode()).hexdigest()[-1], 16) % 2
-    good = {r.doc_id for r in labels if r.quality == 1 and r.doc_id in docs}
-    model = brute.KneserNey([docs[i].text for i in good if half(i) == 0])
-    rates = {i: model.rate(r.text) for i, r in docs.items() if r.text}
-    for i in docs:
-        assert math.isclose(math.log2(got[i].perplexity), rates[i], abs_tol=1e-6)
-    held = collections.defaultdict(list)
-    for i in good:
-        if half(i) == 1:
-            held[docs[i].lang].append(math.floor(rates[i] / 0.001))
-            held[...].append(math.floor(rates[i] / 0.001))
-    for i, r in docs.items():
-        steps = sorted(held.get(r.lang) or held[...])
-        cut = (steps[math.ceil(len(steps) * 0.999) - 1] + 1) * 0.001 * 1.1
-        assert math.isclose(math.log2(got[i].cutoff), cut, abs_tol=1e-6)
-        assert got[i].kept == (rates[i] <= cut)
+    want = brute.perplexity_verdicts(docs, labels)
+    assert set(got) == set(docs)
+    for i, r in got.items():
+        if i not in want:
+            assert (r.perplexity, r.excess, r.kept) == (None, None, False)
+            continue
+        rate, excess, cut = want[i]
+        assert math.isclose(math.log2(r.perplexity), rate, abs_tol=1e-6)
+        assert math.isclose(r.excess, excess, abs_tol=2e-6) and math.isclose(r.cutoff, cut, abs_tol=2e-6)
+        assert r.kept == (excess <= cut)
+    known = {r.doc_id: r.quality for r in labels if r.doc_id in docs}
+    assert np.mean([got[i].kept for i, q in known.items() if q == 1 and docs[i].text]) >= 0.97
 
 
 def test_language_id(spark, docs):

@@ -9,8 +9,8 @@ the next lower order.
 A document's code length is the sum over its n-grams. The commonest n-grams travel to the
 documents in a table of bounded size; all others are collected per document, looked up in the
 model by shuffled joins, backing off where trusted text lacks them, and summed. Which n-grams
-travel changes the cost only. A document is kept when its perplexity is at most a quantile of
-the trusted texts of its language.
+travel changes the cost only. A document is kept when its rate, shrunk towards the median of its
+language by its length, is at most a quantile of the trusted texts of that language.
 """
 
 from __future__ import annotations
@@ -206,12 +206,12 @@ def code_lengths(docs: DataFrame, model: Model, keys: tuple[str, ...]) -> DataFr
                     (F.col("bits") + F.coalesce("more", F.lit(0.0))).alias("bits")))
 
 
-def cutoffs(rates: DataFrame, share: float) -> DataFrame:
-    """(lang, cutoff): the ``share`` quantile of ``rate`` per language, null being one, and one
-    row with ``every`` set over all."""
+def quantiles(rows: DataFrame, column: str, share: float) -> DataFrame:
+    """(every, lang, at): the ``share`` quantile of ``column`` per language, null being one, and one
+    row with ``every`` set over all. Values are counted in steps, so no group is sorted whole."""
     from pyspark.sql import Window
 
-    steps = rates.where("rate is not null").select("lang", F.floor(F.col("rate") / STEP).alias("step"))
+    steps = rows.where(F.col(column).isNotNull()).select("lang", F.floor(F.col(column) / STEP).alias("step"))
     counted = steps.groupBy("lang", "step").agg(F.count("*").alias("n")).withColumn("every", F.lit(False))
     whole = counted.groupBy("step").agg(F.sum("n").alias("n")).withColumns(
         {"lang": F.lit(None).cast("string"), "every": F.lit(True)})
@@ -219,18 +219,31 @@ def cutoffs(rates: DataFrame, share: float) -> DataFrame:
     ranked = counted.unionByName(whole).withColumns({
         "upto": F.sum("n").over(own.orderBy("step")), "total": F.sum("n").over(own)})
     return (ranked.where(F.col("upto") >= F.col("total") * share).groupBy("every", "lang")
-            .agg(((F.min("step") + 1) * STEP).alias("cutoff")))
+            .agg(((F.min("step") + 1) * STEP).alias("at")))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.999, slack: float = 1.1) -> DataFrame:
-    """``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` per byte, ``cutoff`` and ``kept``.
+def _with_quantiles(rows: DataFrame, found: DataFrame, name: str) -> tuple[DataFrame, Column]:
+    """``rows`` with the quantile of their language as ``name``, and the one over all."""
+    own = found.where("not every").select(F.col("lang").alias("q_lang"), F.col("at").alias(name))
+    every = found.where("every").agg(F.max("at")).scalar()
+    return rows.join(own, F.col("lang").eqNullSafe(F.col("q_lang")), "left").drop("q_lang"), every
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.995, margin: float = 0.05,
+                 weight: int = 400) -> DataFrame:
+    """``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` per byte, ``excess``, ``cutoff`` and ``kept``.
 
     Trusted are the documents that ``labels`` gives quality 1. One half of them, by the md5
-    of the id, trains the model; the other, which it has not seen, sets the cutoffs. A
-    document is kept when its bits per byte are at most ``slack`` times the ``share`` quantile
-    of that half's documents of its language, or of all where its language has none. Null and empty texts have no
-    perplexity and are not kept. Without trusted texts in the second half nothing is known and every text
-    with a byte is kept. Repeated rows are judged each; other columns are ignored.
+    of the id, trains the model; the other, which it has not seen, sets the cutoffs. The rate of a
+    short text varies more than that of a long one, so ``excess`` is what a text's bits per byte are
+    above the median of its language, counted as if ``weight`` more bytes had stood at the median. A
+    document is kept when its excess is at most ``margin`` above the ``share`` quantile of that half's
+    documents of its language, or of all languages where that is larger, so that a language with few
+    trusted texts is not judged by their chance. A language without any takes the median of all.
+
+    Null and empty texts have no perplexity and are not kept. Without trusted texts in the second half
+    nothing is known and every text with a byte is kept. Repeated rows are judged each; other columns
+    are ignored, an empty table gives no rows.
     """
     rows = only(docs, "doc_id", "lang", "text")
     digit = F.substring(F.md5(F.col("doc_id").cast("string")), 32, 1)
@@ -238,12 +251,18 @@ def perplexities(docs: DataFrame, labels: DataFrame, share: float = 0.999, slack
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id", half.alias("half"))
     trusted = keep_ids(rows, good.where("half = 0"), "doc_id")
     lengths = materialise(code_lengths(rows, fit(trusted), ("doc_id", "lang")), "lengths")
-    rated = lengths.withColumn("rate", F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes")))
-    cuts = materialise(cutoffs(keep_ids(rated, good.where("half = 1"), "doc_id"), share), "cutoffs")
-    of_all = cuts.where("every").agg(F.max("cutoff")).scalar()
-    own = cuts.where("not every").select(F.col("lang").alias("c_lang"), "cutoff")
-    out = (rated.join(own, F.col("lang").eqNullSafe(F.col("c_lang")), "left")
-           .withColumn("cutoff", F.coalesce("cutoff", of_all) * slack))
-    return out.select("doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), "rate").alias("perplexity"),
-                      F.pow(F.lit(2.0), "cutoff").alias("cutoff"),
-                      F.coalesce(F.col("rate") <= F.coalesce("cutoff", "rate"), F.lit(False)).alias("kept"))
+    held = materialise(keep_ids(lengths.where("n_bytes > 0"), good.where("half = 1"), "doc_id"), "held")
+    rated = held.withColumn("rate", F.col("bits") / F.col("n_bytes"))
+    usual = materialise(quantiles(rated, "rate", 0.5), "usual")
+
+    def excess(of: DataFrame) -> DataFrame:
+        beside, every = _with_quantiles(of, usual, "usual")
+        above = (F.col("bits") - F.coalesce("usual", every) * F.col("n_bytes")) / (F.col("n_bytes") + weight)
+        return beside.withColumn("excess", F.when(F.col("n_bytes") > 0, above))
+
+    limits = materialise(quantiles(excess(held), "excess", share), "limits")
+    out, every = _with_quantiles(excess(lengths), limits, "limit")
+    out = out.withColumn("cutoff", F.greatest("limit", every) + margin)
+    perplexity = F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n_bytes")))
+    return out.select("doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), "excess", "cutoff",
+                      F.coalesce(F.col("excess") <= F.col("cutoff"), F.col("n_bytes") > 0).alias("kept"))

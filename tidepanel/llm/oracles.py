@@ -163,7 +163,7 @@ SELECT doc_id, source, block::BIGINT AS block, (start + (frame - kind) * size +
 FROM spot JOIN plan USING (kind, s, j)"""
 
 
-def perplexity(order: int = 5, share: float = 0.999, slack: float = 1.1, step: float = 0.001) -> str:
+def perplexity(order: int = 5, share: float = 0.995, margin: float = 0.05, weight: int = 400, step: float = 0.001) -> str:
     """Bytes as pairs of hex digits; count tables and probabilities order by order."""
     rows, pad = [], "00" * (order - 1)
     grams = lambda source: f"""SELECT doc_id, substr(x, 2 * i + 1, {2 * order}) AS g, count(*) AS n
@@ -194,20 +194,28 @@ x{k} AS (SELECT x, sum(c) AS total, sum(cut) / sum(c) AS free FROM u{k} GROUP BY
         joins += (f" LEFT JOIN p{k} ON p{k}.g = substr(e.g, {at}) "
                   f"LEFT JOIN x{k} ON x{k}.x = substr(e.g, {at}, {2 * k - 2})")
     rows.append(f"z AS (SELECT e.g AS g, -log2({chain}) AS bits FROM (SELECT DISTINCT g FROM n) AS e{joins})")
-    rows.append("""r AS (SELECT d.doc_id, lang, length(h) // 2 AS n_bytes, sum(n * bits) / nullif(length(h) // 2, 0) AS rate
+    rows.append("""r AS (SELECT d.doc_id, lang, length(h) // 2 AS n_bytes, sum(n * bits) AS bits
       FROM d LEFT JOIN n USING (doc_id) LEFT JOIN z USING (g) GROUP BY d.doc_id, lang, h)""")
-    quantile = lambda keys: f"""SELECT {keys}(min(s) FILTER (WHERE upto >= total * {share}) + 1) * {step} AS cut FROM (
-  SELECT {keys}s, sum(count(*)) OVER ({'PARTITION BY ' + keys[:-2] if keys else ''} ORDER BY s) AS upto,
-         sum(count(*)) OVER ({'PARTITION BY ' + keys[:-2] if keys else ''}) AS total
-  FROM (SELECT lang, floor(rate / {step}) AS s FROM r WHERE rate IS NOT NULL AND doc_id IN (SELECT doc_id FROM good WHERE half = 1))
-  GROUP BY {keys}s) {'GROUP BY ' + keys[:-2] if keys else ''}"""
-    rows.append(f"own AS ({quantile('lang, ')})")
-    rows.append(f"whole AS ({quantile('')})")
+
+    def quantile(source: str, keys: str, of: str, share: float) -> str:
+        over = f"PARTITION BY {keys[:-2]}" if keys else ""
+        return f"""SELECT {keys}(min(s) FILTER (WHERE upto >= total * {share}) + 1) * {step} AS cut FROM (
+  SELECT {keys}s, sum(count(*)) OVER ({over} ORDER BY s) AS upto, sum(count(*)) OVER ({over}) AS total
+  FROM (SELECT lang, floor(x / {step}) AS s FROM (SELECT doc_id, lang, {of} AS x FROM {source}) WHERE x IS NOT NULL
+        AND doc_id IN (SELECT doc_id FROM good WHERE half = 1)) GROUP BY {keys}s) {'GROUP BY ' + keys[:-2] if keys else ''}"""
+
+    rate = "bits / nullif(n_bytes, 0)"
+    rows.append(f"usual AS ({quantile('r', 'lang, ', rate, 0.5)})")
+    rows.append(f"middle AS ({quantile('r', '', rate, 0.5)})")
+    rows.append(f"""e AS (SELECT r.*, CASE WHEN n_bytes > 0 THEN (bits - coalesce(usual.cut, middle.cut) * n_bytes) / (n_bytes + {weight}) END AS excess
+      FROM r LEFT JOIN usual ON r.lang IS NOT DISTINCT FROM usual.lang, middle)""")
+    rows.append(f"own AS ({quantile('e', 'lang, ', 'excess', share)})")
+    rows.append(f"whole AS ({quantile('e', '', 'excess', share)})")
     return "WITH " + ",\n".join(rows) + f"""
-SELECT doc_id, r.lang AS lang, n_bytes, round(pow(2, rate), 6) AS perplexity,
-       round(pow(2, coalesce(own.cut, whole.cut) * {slack}), 6) AS cutoff,
-       coalesce(rate <= coalesce(own.cut, whole.cut) * {slack}, rate IS NOT NULL) AS kept
-FROM r LEFT JOIN own ON r.lang IS NOT DISTINCT FROM own.lang, whole"""
+SELECT doc_id, e.lang AS lang, n_bytes, round(pow(2, bits / nullif(n_bytes, 0)), 6) AS perplexity, round(excess, 6) AS excess,
+       round(greatest(own.cut, whole.cut) + {margin}, 6) AS cutoff,
+       coalesce(excess <= greatest(own.cut, whole.cut) + {margin}, n_bytes > 0) AS kept
+FROM e LEFT JOIN own ON e.lang IS NOT DISTINCT FROM own.lang, whole"""
 
 
 SQL = {"op2_perplexity": perplexity(), "op4_secret_scans": secret_scans(), "op5_near_duplicates": near_duplicates(3, 85),

@@ -131,7 +131,7 @@ SELECT *, chosen_mask <> '' AND rejected_mask <> '' AND chosen <> rejected AS di
 @query
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.withColumns({c: F.round(c, 6) for c in ("perplexity", "cutoff")})
+    return found.withColumns({c: F.round(c, 6) for c in ("perplexity", "excess", "cutoff")})
 
 
 @query
