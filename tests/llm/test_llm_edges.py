@@ -113,7 +113,7 @@ def test_language_id(odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
 
 
-@pytest.mark.parametrize("paths", [6, 200])
+@pytest.mark.parametrize("paths", [6, 200, 1 << 20])
 def test_language_id_with_more_paths_than_travel(spark, odd, monkeypatch, paths):
     """A hot language does not take paths from a small one, and every path has its exact cost."""
     rows = ([(i, prose(i, 40), "en") for i in range(60)] + [(100, "zażółć gęślą jaźń", "pl"), (101, "日本語の文", "ja")]

@@ -7,11 +7,10 @@ share of that context's symbols that the longer one has excluded. Costs therefor
 lengths of a proper distribution under statistics that no longer change. The language that
 codes a text shortest is predicted.
 
-All bytes of all learning rows are counted on Spark. Where the counted paths are few, they reach
-the driver, which turns them into cost tables. Otherwise the paths stay in tables, dealt by
-context, with totals over all of them: the commonest travel to the documents with their costs in
-a table of bounded size, the others are collected per document and looked up by a shuffled join.
-Either way every path counts, and which ones travel changes the cost only.
+All bytes of all learning rows are counted on Spark, and the paths stay in tables, dealt by
+context, with totals over all of them. The commonest travel to the documents with their costs in
+a table of bounded size; the others, seen in learning or not, are collected per document and looked
+up by a shuffled join. Every path counts, and which ones travel changes the cost only.
 """
 
 from __future__ import annotations
@@ -76,62 +75,6 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["lang", "path", "n"])
 
 
-class Trees:
-    """Cost tables in bits of every language's context tree."""
-
-    def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
-        self.langs = langs
-        n = len(langs)
-        self.c1, self.e2 = np.zeros((n, 65536), np.float32), np.zeros((n, 65536), np.float32)
-        every = np.unique(np.concatenate([k for k, _ in counts]))
-        self.k4, self.k3 = every, np.unique(every & 0xFFFFFF)
-        self.x3 = np.unique(every >> 8)
-        self.t3 = np.zeros((n, len(self.k3)), np.float32)
-        self.t4 = np.zeros((n, len(self.k4)), np.float32)
-        self.e3 = np.zeros((n, len(self.x3)), np.float32)
-        for i, (path, count) in enumerate(counts):
-            self._fill(i, path.astype(np.int64), count.astype(np.float64))
-        self.slots = hash_slots(self.k4)
-
-    def _fill(self, i: int, path: np.ndarray, count: np.ndarray) -> None:
-        order1 = _order1(path, count)
-        self.c1[i] = order1
-        triples, n2 = _summed(path & 0xFFFFFF, count)
-        seen, self.e2[i] = _context(triples >> 8, n2, order1[triples & 0xFFFF], 65536)
-        order2 = self.e2[i][self.k3 >> 8] + order1[self.k3 & 0xFFFF]
-        order2[np.searchsorted(self.k3, triples)] = seen
-        self.t3[i] = order2
-        owner = np.searchsorted(self.x3, path >> 8)
-        lower = order2[np.searchsorted(self.k3, path & 0xFFFFFF)]
-        seen, self.e3[i] = _context(owner, count, lower, len(self.x3))
-        order3 = self.e3[i][np.searchsorted(self.x3, self.k4 >> 8)] + order2[np.searchsorted(self.k3, self.k4 & 0xFFFFFF)]
-        order3[np.searchsorted(self.k4, path)] = seen
-        self.t4[i] = order3
-
-    def bits(self, values: list[bytes]) -> np.ndarray:
-        """Code length of each text in each language."""
-        _, grams, sizes = _stream(values)
-        out = np.zeros((len(values), len(self.langs)))
-        if not len(grams):
-            return out
-        at = find_slots(self.slots, self.k4, grams)
-        miss = np.flatnonzero(at < 0)
-        rare = grams[miss].astype(np.int64)
-        p3 = np.minimum(np.searchsorted(self.k3, rare & 0xFFFFFF), len(self.k3) - 1)
-        has3 = self.k3[p3] == (rare & 0xFFFFFF)
-        px = np.minimum(np.searchsorted(self.x3, rare >> 8), len(self.x3) - 1)
-        hasx = self.x3[px] == (rare >> 8)
-        full = np.flatnonzero(sizes)
-        starts = (np.cumsum(sizes) - sizes)[full]
-        at[miss] = 0
-        for i in range(len(self.langs)):
-            cost = self.t4[i][at].astype(np.float64)
-            low = self.e2[i][(rare >> 8) & 0xFFFF] + self.c1[i][rare & 0xFFFF]
-            cost[miss] = np.where(hasx, self.e3[i][px], 0) + np.where(has3, self.t3[i][p3], low)
-            out[full, i] = np.add.reduceat(cost, starts)
-        return out
-
-
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     k, at = np.unique(keys, return_inverse=True)
     return k, np.bincount(at, n, len(k))
@@ -165,9 +108,9 @@ def _context(owner: np.ndarray, n: np.ndarray, lower: np.ndarray, size: int):
 
 
 @dataclass(frozen=True)
-class Tables:
-    """Context trees of more paths than travel. ``low``: cost of each pair of bytes per
-    language. ``contexts``: (size, context, lang, escape, next) for each context of two and three
+class Trees:
+    """Context trees of all languages. ``low``: cost of each pair of bytes per language.
+    ``contexts``: (size, context, lang, escape, next) for each context of two and three
     bytes of a language, ``lang`` being its place in ``langs`` and ``next`` the cost of each byte
     seen there. ``common``: the commonest paths in order, and their costs per language."""
     langs: list[str]
@@ -176,27 +119,6 @@ class Tables:
     common: tuple[np.ndarray, np.ndarray]
 
 
-def fit(docs: DataFrame) -> Trees | Tables | None:
-    """Context trees of the languages of ``docs`` (text, lang); None if no row has both."""
-    rows = only(docs, "text", "lang").where("lang is not null and text is not null")
-    counted = materialise(rows.mapInArrow(_grams, "lang string, path long, n long")
-                          .groupBy("lang", "path").agg(F.sum("n").alias("n")), "paths")
-    if counted.count() > PATHS:
-        return _tables(counted)
-    counted = counted.toArrow()
-    if not len(counted):
-        return None
-    lang = np.array(counted["lang"].to_pylist(), dtype=object)
-    path, n = counted["path"].to_numpy(), counted["n"].to_numpy()
-    langs = sorted(set(lang))
-    own = []
-    for name in langs:
-        here = lang == name
-        order = np.argsort(path[here])
-        own.append((path[here][order].astype(np.uint32), n[here][order]))
-    return Trees(langs, own)
-
-
 def _ending(paths: DataFrame, size: int) -> DataFrame:
     """Counts of the last ``size`` bytes of paths, with the cost of the last one after the others."""
     low = F.col("path").bitwiseAND((1 << (8 * size)) - 1)
@@ -222,8 +144,15 @@ def _contexts(table: DataFrame, below: DataFrame, size: int) -> DataFrame:
     return rows.select(F.lit(size).alias("size"), "context", "lang", escape.alias("escape"), "next")
 
 
-def _tables(counted: DataFrame) -> Tables:
+def fit(docs: DataFrame) -> Trees | None:
+    """Context trees of the languages of ``docs`` (text, lang); None if no row has both with a byte.
+    Rows without a text or language are left out, repeated rows count each."""
+    rows = only(docs, "text", "lang").where("lang is not null and text is not null")
+    counted = materialise(rows.mapInArrow(_grams, "lang string, path long, n long")
+                          .groupBy("lang", "path").agg(F.sum("n").alias("n")), "paths")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    if not langs:
+        return None
     place = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
     paths = materialise(counted.select(place.cast("int").alias("lang"), "path", "n"), "paths")
     pairs, triples = (materialise(_ending(paths, size), "endings") for size in (2, 3))
@@ -236,7 +165,7 @@ def _tables(counted: DataFrame) -> Tables:
         .limit(max(1, PATHS // len(langs))).select("path")
     found = path_costs(top, low, contexts).toArrow().sort_by("path")
     bits = found["bits"].combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
-    return Tables(langs, low, contexts, (found["path"].to_numpy(), bits))
+    return Trees(langs, low, contexts, (found["path"].to_numpy(), bits))
 
 
 def _costs(batches: Iterator[pa.RecordBatch], low) -> Iterator[pa.RecordBatch]:
@@ -286,25 +215,6 @@ def _judged(bits: np.ndarray, known: list[bool], langs: list[str]) -> list[pa.Ar
             pa.array([float(s) if k else 0.0 for s, k in zip(odds, known)], pa.float64())]
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    trees = model.value
-    for batch in batches:
-        column, lang, score = texts(batch), [], []
-        for start, end in slices(column, 1 << 20):
-            values = column[start:end].to_pylist()
-            bits = trees.bits(values) if trees else np.zeros((len(values), 1))
-            found = _judged(bits, [trees is not None and _has_letter(v) for v in values],
-                            trees.langs if trees else [UNKNOWN])
-            lang.append(found[0])
-            score.append(found[1])
-        names = [c for c in batch.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in names]
-            + [pa.concat_arrays(lang or [pa.array([], pa.string())]),
-               pa.concat_arrays(score or [pa.array([], pa.float64())])],
-            names=names + ["lang_pred", "score"])
-
-
 def _scores(batches: Iterator[pa.RecordBatch], common, keys: list[str]) -> Iterator[pa.RecordBatch]:
     """A row with the bits of a text's common paths per language, and a row per other path with
     its count."""
@@ -344,42 +254,40 @@ def _sums(batches: Iterator[pa.RecordBatch], langs: list[str], keys: list[str])
             names=keys + ["lang_pred", "score"])
 
 
-def _looked_up(rows: DataFrame, model: Tables, keys: tuple[str, ...], schema: str) -> DataFrame:
-    """``predict`` by tables."""
-    common = rows.sparkSession.sparkContext.broadcast(model.common)
+def predict(docs: DataFrame, trees: Trees | None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys``, the predicted language and its posterior share of every whole text.
+
+    A text that is null or has no letter is ``und`` with score 0, and so is every text when
+    nothing was learned. A tie goes to the first language by name. Each row is judged on its
+    own text, so repeated rows agree; columns besides ``keys`` and ``text`` are not read.
+    """
+    rows = only(docs, *keys, "text")
+    if trees is None:
+        return rows.select(*keys, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "text")
+    common = rows.sparkSession.sparkContext.broadcast(trees.common)
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     scored = materialise(rows.mapInArrow(
         lambda b: _scores(b, common, list(keys)),
         f"row long, {schema}, known boolean, bits array<double>, path long, n long"), "scores")
     others = scored.where("path is not null").select("row", "path", "n")
-    more = (others.join(path_costs(others, model.low, model.contexts), "path")
+    more = (others.join(path_costs(others, trees.low, trees.contexts), "path")
             .select("row", "n", F.posexplode("bits").alias("i", "b"))
             .groupBy("row", "i").agg(F.sum(F.col("n") * F.col("b")).alias("b"))
             .groupBy("row").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "b"))), lambda x: x["b"])
                                 .alias("more")))
     bits = F.when(F.col("more").isNull(), F.col("bits")).otherwise(F.zip_with("bits", "more", lambda a, b: a + b))
     whole = scored.where("path is null").join(more, "row", "left").select(*keys, "known", bits.alias("bits"))
-    langs = model.langs
+    langs = trees.langs
     return whole.mapInArrow(lambda b: _sums(b, langs, list(keys)), f"{schema}, lang_pred string, score double")
 
 
-def predict(docs: DataFrame, trees: Trees | Tables | None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keys``, the predicted language and its posterior share of every whole text.
+def identify(docs: DataFrame) -> DataFrame:
+    """Learns from the rows outside the held-out fold and predicts every row.
 
-    A text that is null or has no letter is ``und`` with score 0, and so is every text when
-    nothing was learned. A tie goes to the first language by name. Each row is judged on its
-    own text, so repeated rows agree; columns besides ``keys`` and ``text`` are not read.
+    Rows with a null id, text or language teach nothing but are predicted; repeated rows count and
+    are predicted each; an empty table gives no rows; other columns are not read.
     """
-    rows = only(docs, *keys, "text")
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "text")
-    if isinstance(trees, Tables):
-        return _looked_up(rows, trees, keys, schema)
-    model = docs.sparkSession.sparkContext.broadcast(trees)
-    return rows.mapInArrow(lambda b: _predict(b, model), f"{schema}, lang_pred string, score double")
-
-
-def identify(docs: DataFrame) -> DataFrame:
-    """Learns from the rows outside the held-out fold and predicts every row."""
     marked = only(docs, "doc_id", "text", "lang").withColumn("held_out", held_out())
     trees = fit(marked.where("doc_id is not null and not held_out"))
     return predict(marked, trees, ("doc_id", "held_out"))
