@@ -108,17 +108,25 @@ def lexicon(sample: DataFrame) -> frozenset[str]:
 
 def _lanes(n0: np.ndarray, n1: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
     """Solves r[t] = (n0[t] + n1[t] r[t-1]) / (d0[t] + d1[t] r[t-1]) for all t; the first step of
-    a text has n1 = d1 = 0."""
+    a text has n1 = d1 = 0. Lanes of steps are worked at once: what a lane does to any start is
+    composed first, so each starts from where the one before ends, and no start is guessed."""
     n = len(n0)
     width = -(-n // LANE)
     pad = width * LANE - n
     cut = lambda x, fill: np.ascontiguousarray(
         np.concatenate([x, np.full(pad, fill)]).reshape(width, LANE).T)
     n0, n1, d0, d1 = cut(n0, 1.0), cut(n1, 0.0), cut(d0, 1.0), cut(d1, 0.0)
-    r = np.ones(width)
+    # r -> (a r + b) / (c r + d) over a whole lane, composed step by step, in any common scale
+    a, b, c, d = np.ones(width), np.zeros(width), np.zeros(width), np.ones(width)
     for t in range(LANE):
-        r = (n0[t] + n1[t] * r) / (d0[t] + d1[t] * r)
-    r = np.concatenate([[1.0], r[:-1]])
+        a, c = n1[t] * a + n0[t] * c, d1[t] * a + d0[t] * c
+        b, d = n1[t] * b + n0[t] * d, d1[t] * b + d0[t] * d
+        if t % 8 == 7:
+            scale = np.maximum.reduce([a, b, c, d])
+            a, b, c, d = a / scale, b / scale, c / scale, d / scale
+    r = np.ones(width)
+    for k in range(width - 1):
+        r[k + 1] = (a[k] * r[k] + b[k]) / (c[k] * r[k] + d[k])
     out = np.empty((LANE, width))
     for t in range(LANE):
         r = (n0[t] + n1[t] * r) / (d0[t] + d1[t] * r)
@@ -230,7 +238,7 @@ def fit(sample: DataFrame) -> Field:
         m, v = 0.8 * m + 0.2 * g, 0.95 * v + 0.05 * g * g
         x += RATE * (m / (1 - 0.8 ** i)) / (np.sqrt(v / (1 - 0.95 ** i)) + 1e-7)
         x[0] = 0
-        x[BUCKETS + 1:] = np.clip(x[BUCKETS + 1:], -3, 3)  # lanes forget their start
+        x[BUCKETS + 1:] = np.clip(x[BUCKETS + 1:], -3, 3)  # keeps the ratios of a lane in range
         state.unpersist()
     field = Field(x[:BUCKETS].astype(np.float32), float(x[BUCKETS]), x[BUCKETS + 1:].reshape(2, 2),
                   np.zeros(4))
