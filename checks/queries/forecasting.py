@@ -178,8 +178,7 @@ def _(t):
 @query("model_registry")
 def _(t):
     root = shared_dir(t.spark, "registry")
-    for entity in ("A", "N"):
-        FC.train_and_save(t.spark, t.daily, PANEL, root, entity, CUTOFF, QUICK_GBT)
+    FC.train_all(t.spark, t.daily, PANEL, root, ["A", "N"], CUTOFF, QUICK_GBT)
     return registry.trained_models(t.spark, root).select(
         "entity", "model_type", "target", "size_kb", "trained_at")
 

@@ -167,3 +167,23 @@ WHERE no2 IS NULL GROUP BY city, seen""")
 def _(t):
     holes = t.daily.withColumn("no2", F.when(F.day("date") % 9 >= 3, F.col("no2")))
     return W.missing_runs(holes, PANEL, "no2")
+
+
+@query("events_missing_runs", """
+SELECT city, min(datetime) AS "start", max(datetime) AS "end", count(*) AS length
+FROM (SELECT city, datetime, k, count(k) OVER (PARTITION BY city ORDER BY datetime, event_id) AS seen
+      FROM (SELECT city, datetime, event_id, CASE WHEN k % 3 = 0 THEN k END AS k FROM readings))
+WHERE k IS NULL GROUP BY city, seen""")
+def _(t):
+    """Runs of raw events, counted within days and joined across them."""
+    holes = t.readings.withColumn("k", F.when(F.col("k") % 3 == 0, F.col("k")))
+    return W.missing_runs(holes, EVENT_BLOCKS, "k")
+
+
+@query("events_rolling_calendar", f"""
+SELECT event_id, {r('avg(pm2_5) OVER (PARTITION BY city ORDER BY CAST(datetime AS DATE) RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)')}
+       AS pm2_5_avg7d FROM readings""")
+def _(t):
+    """Raw events, averaged over the sums of the last seven days."""
+    out = W.rolling_calendar(t.readings, EVENT_BLOCKS, "pm2_5", 7)
+    return fixed(out.select("event_id", "pm2_5_avg7d"))

@@ -9,6 +9,7 @@ from tidepanel.models import registry, trees
 from tidepanel.operators.evaluation import evaluate
 from tidepanel.panel import PanelSpec
 from tidepanel.plans import forecasting as FC
+from tidepanel.session import at_once
 
 SPEC = PanelSpec()
 QUICK = {"maxIter": 5, "maxDepth": 3}
@@ -90,6 +91,31 @@ def test_registry_round_trip(spark, panel, work):
     assert first["upper_bound"] == pytest.approx(first["prediction"] * 1.15, abs=0.1)
 
 
+def test_fits_at_once_equal_fits_one_by_one(spark, panel, work):
+    whole = QUICK | {"subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    names = ["New Delhi_1", "b", "tiny", "nowhere"]
+    assert FC.train_all(spark, panel, SPEC, f"{work}/all", names, CUTOFF, whole) == {
+        "New Delhi_1": "ok", "b": "ok", "tiny": "insufficient_data", "nowhere": "insufficient_data"}
+    assert FC.train_all(spark, panel, SPEC, f"{work}/none", names[:3], str(day(50)), whole)["b"] == "insufficient_train"
+    assert registry.trained_models(spark, f"{work}/none") is None
+    listed = {r["entity"]: r["features"] for r in registry.trained_models(spark, f"{work}/all").collect()}
+    assert set(listed) == {"New Delhi_1", "b"}
+    for i, name in enumerate(listed):
+        assert FC.train_and_save(spark, panel, SPEC, f"{work}/{i}", name, CUTOFF, whole) == "ok"
+        one, both = (FC.predict_future(registry.load_model(spark, f"{work}/{root}", name),
+                                       panel.where(F.col("city") == name), SPEC, 1, CUTOFF).first()["prediction"]
+                     for root in (i, "all"))
+        assert one == pytest.approx(both, abs=0.2)
+
+
+def test_at_once_keeps_the_order_and_raises(spark):
+    jobs = [lambda i=i: spark.range(i).count() for i in range(9)]
+    assert at_once(spark, jobs, slots=3) == list(range(9))
+    assert at_once(spark, []) == []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, [lambda: 1, lambda: 1 / 0])
+
+
 def test_service(spark, panel, work):
     got = FC.forecast_service(spark, panel, SPEC, work, "New Delhi_1", 48, CUTOFF, QUICK).collect()
     assert len(got) == 3 and {r["status"] for r in got} == {"ok"}

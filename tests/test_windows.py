@@ -111,3 +111,33 @@ def test_calendar_window_sees_the_missing_day(panel, values):
     got = of(W.rolling_calendar(panel, SPEC, "aqi", 2), "a", "aqi_avg2d")
     assert got[40][0] == values[40]  # the day before is missing
     assert not math.isnan(got[41][0])
+
+
+def test_blocks_do_not_change_runs_and_calendar_means(spark):
+    rng = random.Random(5)
+    at = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(900):  # "hot" has long stretches without values, over several slots
+        value = None if i // 60 % 3 == 1 or rng.random() < 0.4 else float(rng.randrange(90))
+        rows.append(("hot", at + dt.timedelta(hours=rng.randrange(700)), i, value))
+    rows += [("none", at + dt.timedelta(days=d), 1000 + d, None) for d in range(4)]
+    rows += [("one", at, 2000, 3.0), ("one", at, 2001, None), ("one", at + dt.timedelta(days=9), 2002, None)]
+    rng.shuffle(rows)
+    df = frame(spark, rows, "city string, datetime timestamp_ntz, id int, aqi double")
+    plain = PanelSpec(time="datetime", tie_break=("id",))
+    known = sorted(rows, key=lambda r: r[:3])
+    want, last = [], None
+    for city, time, _, value in known:
+        if value is None and last == (city, None):
+            want[-1][2:] = [time, want[-1][3] + 1]
+        elif value is None:
+            want.append([city, time, time, 1])
+        last = (city, value)
+    for seconds in (None, 3600, 86_400, 40 * 86_400):
+        spec = plain.with_(block_seconds=seconds)
+        assert sorted(list(r) for r in W.missing_runs(df, spec).collect()) == sorted(want)
+        means = {r["id"]: r["aqi_avg3d"] for r in W.rolling_calendar(df, spec, "aqi", 3).collect()}
+        assert len(means) == len(rows)
+        for city, time, i, _ in rows:
+            near = [v for c, t, _, v in rows if c == city and v is not None and 0 <= (time.date() - t.date()).days < 3]
+            assert means[i] == (pytest.approx(sum(near) / len(near)) if near else None)

@@ -23,15 +23,24 @@ def model_path(root: str, entity: str, model_type: str = "gbt") -> str:
 def save_model(spark: SparkSession, root: str, model: PipelineModel, entity: str, target: str,
                features: Sequence[str], model_type: str = "gbt") -> str:
     """Write a model and add its registry row; a later save of the same name supersedes it."""
+    row = write_model(spark, root, model, entity, target, features, model_type)
+    add_rows(spark, root, [row])
+    return row[4]
+
+
+def write_model(spark: SparkSession, root: str, model: PipelineModel, entity: str, target: str,
+                features: Sequence[str], model_type: str = "gbt") -> tuple:
+    """Write a model; returns the row that ``add_rows`` takes."""
     path = model_path(root, entity, model_type)
     model.write().overwrite().save(path)
-    size = _folder_kb(spark, path)
-    row = spark.createDataFrame(
-        [(entity, model_type, target, list(features), path, size)],
-        REGISTRY.replace(", trained_at timestamp", ""))
-    row.withColumn("trained_at", F.current_timestamp()).write.mode("append").parquet(
-        f"{root}/registry")
-    return path
+    return entity, model_type, target, list(features), path, _folder_kb(spark, path)
+
+
+def add_rows(spark: SparkSession, root: str, rows: Sequence[tuple]) -> None:
+    """Add rows to the registry in one append; two appends at once would disturb each other."""
+    if rows:
+        new = spark.createDataFrame(list(rows), REGISTRY.replace(", trained_at timestamp", ""))
+        new.withColumn("trained_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/registry")
 
 
 def _folder_kb(spark: SparkSession, path: str) -> float:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.panel import PanelSpec
+from tidepanel.session import materialise
 
 # Default settings of both models.
 GBT_PARAMS = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
@@ -79,7 +80,7 @@ def typology(profiles: DataFrame, entity: str, columns: Sequence[str], groups: i
     """Entities grouped by their profile: (entity, group, axes...).
 
     ``profiles`` has one complete row per entity, such as its mean of each measure; it is
-    kept for the four fits that read it.
+    written once for the four fits and the result that read it.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import PCA, StandardScaler
@@ -91,11 +92,7 @@ def typology(profiles: DataFrame, entity: str, columns: Sequence[str], groups: i
         PCA(k=axes, inputCol="scaled", outputCol="axes"),
         KMeans(k=groups, seed=42, featuresCol="axes", predictionCol="group"),
     ]
-    kept = profiles.persist()
-    try:
-        model = Pipeline(stages=stages).fit(kept)
-    finally:
-        kept.unpersist()
-    out = model.transform(profiles)
+    kept = materialise(profiles, "profiles")
+    out = Pipeline(stages=stages).fit(kept).transform(kept)
     at = vector_to_array("axes")
     return out.select(entity, "group", *[at[i].alias(f"axis{i + 1}") for i in range(axes)])

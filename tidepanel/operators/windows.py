@@ -77,10 +77,22 @@ def rolling_mean(df: DataFrame, spec: PanelSpec, column: str, width: int) -> Dat
 
 
 def rolling_calendar(df: DataFrame, spec: PanelSpec, column: str, days: int) -> DataFrame:
-    """Trailing mean over true calendar days of a daily panel, gaps included."""
-    w = (Window.partitionBy(spec.entity).orderBy(F.unix_date(F.to_date(spec.time)))
-         .rangeBetween(-(days - 1), 0))
-    return df.withColumn(f"{column}_avg{days}d", F.avg(column).over(w))
+    """Trailing mean over true calendar days, gaps included.
+
+    A panel in blocks is summed per entity and day first, so a window task holds the days of
+    an entity and not its rows.
+    """
+    name = f"{column}_avg{days}d"
+    last = lambda day: (Window.partitionBy(spec.entity).orderBy(F.unix_date(day))
+                        .rangeBetween(-(days - 1), 0))
+    day = F.to_date(spec.time)
+    if spec.block_seconds is None:
+        return df.withColumn(name, F.avg(column).over(last(day)))
+    sums = df.groupBy(spec.entity, day.alias("_day")).agg(
+        F.sum(column).alias("_sum"), F.count(column).alias("_n"))
+    total, n = (F.sum(c).over(last(F.col("_day"))) for c in ("_sum", "_n"))
+    means = sums.select(spec.entity, "_day", F.when(n > 0, total / n).alias(name))
+    return df.withColumn("_day", day).join(means, [spec.entity, "_day"], "left").select(*df.columns, name)
 
 
 def add_zscore(df: DataFrame, spec: PanelSpec, target: str | None = None,
@@ -198,13 +210,26 @@ def last_features(df: DataFrame, spec: PanelSpec, columns: Sequence[str]) -> Dat
 def missing_runs(df: DataFrame, spec: PanelSpec, column: str | None = None) -> DataFrame:
     """Runs of consecutive rows without a value: first and last time and length.
 
-    A missing row's distance between its position among all rows and among missing
-    rows is constant within a run. Meant for panels whose history the calendar bounds.
+    The rows of a run have the same number of values before them. A panel in blocks counts
+    within slots of ``block_seconds`` and adds the values of earlier slots, one row per entity
+    and slot, so pieces of a run in several slots meet under the same number.
     """
     c = column or spec.target
-    w = Window.partitionBy(spec.entity).orderBy(spec.time, *spec.tie_break)
+    part = [spec.entity] if spec.block_seconds is None else [spec.entity, "_slot"]
+    if spec.block_seconds is not None:
+        df = df.withColumn("_slot", F.floor(epoch_seconds(F.col(spec.time)) / F.lit(spec.block_seconds)))
+    w = Window.partitionBy(*part).orderBy(spec.time, *spec.tie_break)
     seen = F.count(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    runs = df.withColumn("_seen", seen).where(F.col(c).isNull())
-    return (runs.groupBy(spec.entity, "_seen")
+    runs = (df.withColumn("_seen", seen).where(F.col(c).isNull())
+            .groupBy(*part, "_seen")
             .agg(F.min(spec.time).alias("start"), F.max(spec.time).alias("end"),
-                 F.count(F.lit(1)).alias("length")).drop("_seen"))
+                 F.count(F.lit(1)).alias("length")))
+    if spec.block_seconds is None:
+        return runs.drop("_seen")
+    earlier = Window.partitionBy(spec.entity).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = df.groupBy(*part).agg(F.count(c).alias("_n")).select(
+        *part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return (runs.join(slots, part)
+            .groupBy(spec.entity, (F.col("_before") + F.col("_seen")).alias("_seen"))
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
+                 F.sum("length").alias("length")).drop("_seen"))

@@ -7,6 +7,7 @@ daily series, ``session.materialise`` writes one, rather than a view over raw re
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidepanel.operators.joins import over_horizon
 from tidepanel.panel import PanelSpec
 from tidepanel.plans import dataset
 from tidepanel.plans.features import feature_frame, feature_groups
-from tidepanel.session import materialise
+from tidepanel.session import at_once, materialise
 from tidepanel.sources.readers import date_spine
 
 # Training cutoff, forecast length, gates of the flows.
@@ -231,7 +232,7 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
     """Prediction rows (entity, model, ds, y, yhat) of all applicable models.
 
     Trees are pooled: one model over all entities' leak-free features; ``separate`` names
-    entities that get a model of their own instead, fitted one after the other. An entity
+    entities that get a model of their own instead, several fitted at a time. An entity
     needs more training rows than ``gates`` names for a model to be scored by it; ``status_of``
     says which models that leaves out.
     """
@@ -248,10 +249,14 @@ def evaluate_models(panel: DataFrame, spec: PanelSpec, cutoff: str = "2019-01-01
             named = counts.where(F.col(spec.entity).isin(list(separate))).collect()
             scopes = [(frame.where(F.col(spec.entity) == r[spec.entity]),
                        [k for k in kinds if r["n_train"] > gates.get(trees.MODELS[k][2], 0)]) for r in named]
-        for scope, wanted in scopes:
+
+        def predictions(scope: DataFrame, wanted: Sequence[str]) -> list[DataFrame]:
             rows, kept = dataset.prepare(scope, spec, safe_features(scope, spec), cutoff)
-            parts += [_past_gate(p, counts, spec, gates) for p in
-                      _tree_predictions(rows, kept, spec, {k: kinds[k] for k in wanted})]
+            return [_past_gate(p, counts, spec, gates) for p in
+                    _tree_predictions(rows, kept, spec, {k: kinds[k] for k in wanted})]
+
+        for found in at_once(panel.sparkSession, [partial(predictions, *s) for s in scopes]):
+            parts += found
     if seasonal_trend:
         series = filters.entity_series(panel, spec, use_synthetic=True)
         enough = counts.where(F.col("n_train") > gates.get("Seasonal Trend", 0))
@@ -336,20 +341,39 @@ def training_rows(panel: DataFrame, spec: PanelSpec, cutoff: str) -> tuple[DataF
 
 def train_and_save(spark: SparkSession, panel: DataFrame, spec: PanelSpec, root: str, entity: str,
                    cutoff: str = "2019-01-01", params: Mapping[str, object] | None = None) -> str:
-    """Train one entity's boosted trees and save them; returns a status.
+    """``train_all`` of one entity; returns its status."""
+    return train_all(spark, panel, spec, root, [entity], cutoff, params)[entity]
+
 
-    Guards: at least 200 rows, at least 100 clean training rows.
+def train_all(spark: SparkSession, panel: DataFrame, spec: PanelSpec, root: str, entities: Sequence[str],
+              cutoff: str = "2019-01-01", params: Mapping[str, object] | None = None,
+              slots: int = 4) -> dict[str, str]:
+    """Train boosted trees of each entity and save them; returns the status of each.
+
+    Guards: at least 200 rows, at least 100 clean training rows. Features of all are written
+    once, ``slots`` fits run at a time, and the registry gets its rows in one append.
     """
-    one = panel.where(F.col(spec.entity) == entity)
-    if one.count() < evaluation.MIN_ROWS:
-        return "insufficient_data"
-    rows, kept = training_rows(one, spec, cutoff)
-    train = rows.where(F.col("split") == "train")
-    if train.count() < MIN_TRAIN_CLEAN:
-        return "insufficient_train"
-    model = trees.fit(train, kept, spec.target, "gbt", params)
-    registry.save_model(spark, root, model, entity, spec.target, kept)
-    return "ok"
+    name = F.col(spec.entity).cast("string")
+    named = panel.where(name.isin(list(entities)))
+    sizes = {r["entity"]: r["count"] for r in named.groupBy(name.alias("entity")).count().collect()}
+    big = [e for e in dict.fromkeys(entities) if sizes.get(e, 0) >= evaluation.MIN_ROWS]
+    status = {e: "ok" if e in big else "insufficient_data" for e in entities}
+    if not big:
+        return status
+    frame = training_frame(named.where(name.isin(big)), spec, cutoff)
+    features = safe_features(frame, spec)
+
+    def trained(entity: str) -> tuple | None:
+        rows, kept = dataset.prepare(frame.where(name == entity), spec, features, cutoff)
+        train = rows.where(F.col("split") == "train")
+        if train.count() < MIN_TRAIN_CLEAN:
+            return None
+        model = trees.fit(train, kept, spec.target, "gbt", params)
+        return registry.write_model(spark, root, model, entity, spec.target, kept)
+
+    saved = at_once(spark, [partial(trained, e) for e in big], slots)
+    registry.add_rows(spark, root, [row for row in saved if row])
+    return status | {e: "insufficient_train" for e, row in zip(big, saved) if not row}
 
 
 def predict_future(model, panel: DataFrame, spec: PanelSpec, days: int = 30,

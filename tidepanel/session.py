@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -38,3 +41,23 @@ def materialise(df, label: str = "stage"):
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def at_once(spark: SparkSession, jobs: Sequence[Callable[[], object]], slots: int = 4) -> list:
+    """Results of ``jobs`` in their order, ``slots`` of them at a time.
+
+    For work that the driver leads step by step, such as fits. Each runs in a thread with the
+    caller's job properties; where the session schedules fairly and the caller has no pool, the
+    slots have one each, so a small job does not wait for the tasks of a large one.
+    """
+    context = spark.sparkContext
+    own = context.getLocalProperty("spark.scheduler.pool") is None
+
+    def led(i: int):
+        if own:
+            context.setLocalProperty("spark.scheduler.pool", f"at-once-{i % slots}")
+        return jobs[i]()
+
+    with ThreadPoolExecutor(slots) as threads:
+        running = [threads.submit(inheritable_thread_target(spark)(led), i) for i in range(len(jobs))]
+        return [r.result() for r in running]
