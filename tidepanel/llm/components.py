@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.session import materialise
@@ -31,21 +31,24 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     return hung.unionAll(centers.join(hung.select("id"), "id", "left_anti"))
 
 
+def _pair(a: str, b: str) -> Column:
+    return F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+
+
 def _round(edges: DataFrame) -> DataFrame:
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    """Both ways of a link come from one row: a union would plan everything below it twice."""
+    both = edges.select(F.inline(F.array(_pair("a", "b"), _pair("b", "a"))))
     least = both.groupBy(F.col("a").alias("k")).agg(F.least(F.min("b"), F.col("k")).alias("m"))
     large = (both.where("b > a").join(least, F.col("a") == F.col("k"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
     own = large.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
     small = large.join(own, F.col("a") == F.col("k"))
-    return (small.select("a", F.col("m").alias("b"))
-            .unionAll(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-            .where("a <> b").distinct())
+    return small.select(F.inline(F.array(_pair("a", "m"), _pair("b", "m")))).where("a <> b").distinct()
 
 
 def _stars(edges: DataFrame) -> bool:
     """Whether every id hangs on one other that hangs on nothing."""
-    ends = (edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-            .unionAll(edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    end = lambda c, up: F.struct(F.col(c).alias("id"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    ends = edges.select(F.inline(F.array(end("a", 1), end("b", 0))))
     found = ends.groupBy("id").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
     return found.where("up > 1 or (up > 0 and down > 0)").isEmpty()

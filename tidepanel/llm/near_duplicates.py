@@ -158,14 +158,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
                        .mapInArrow(lambda b: _sets(b, width), f"id {kind}, shingles array<long>"), "sets")
 
     pairs = lists.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    links = materialise(_confirmed(pairs, classes, sets, k, overlap, percent), "links")
-    found = materialise(components(links), "components")
-    confirmed = lambda pairs: _confirmed(pairs, classes, sets, k, overlap, percent)
-    found = _across(lists, found, sets, percent, confirmed)
     # Rows that repeat an id tie the classes they are in.
     ties = (some.join(member, ["n_shingles", "s1", "s2"]).where("doc_id <> class_id")
             .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
-    ids = _joined(found, ties)
+    links = _confirmed(pairs, classes, sets, k, overlap, percent).unionByName(ties)
+    found = materialise(components(materialise(links, "links")), "components")
+    confirmed = lambda pairs: _confirmed(pairs, classes, sets, k, overlap, percent)
+    ids = _across(lists, found, sets, percent, confirmed)
     return (stored.join(ids, stored["doc_id"] == ids["id"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
