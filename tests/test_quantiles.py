@@ -51,6 +51,26 @@ def test_without_groups(spark):
     assert exact_quantiles(df, [], ["x"], [0.5]).first()["q"] == 5.0
 
 
+@pytest.fixture
+def large(spark):
+    """Rows too many to broadcast, three groups and some of none."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    yield spark.range(0, 60_000, 1, 4).selectExpr(
+        "element_at(array('a', 'b', 'c', null), cast(id % 4 + 1 as int)) as city",
+        "cast(id * 7919 % 60000 as double) as x", "if(id % 11 < 2, null, cast(id % 11 as double)) as y")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_groups_are_not_joined_in_one_task(large):
+    """Rows meet the brackets where they are; a join by group would sort a whole group in one task."""
+    got = exact_quantiles(large, ["city"], ["x"], [0.5])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    of = lambda k: float(np.median([i * 7919 % 60000 for i in range(k, 60_000, 4)]))
+    assert table(got) == {(c, "x", 0.5): of(k) for k, c in enumerate("abc")}
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60), st.sampled_from([0.0, 0.3, 0.5, 0.95]))
 def test_any_values(spark, values, p):

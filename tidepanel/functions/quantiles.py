@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.session import materialise
+
 # A bracket holds a share of 4 / ACCURACY of its group: 40,000 of a billion values.
 ACCURACY = 100_000
 
@@ -41,6 +43,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     Per wanted rank the sketch gives two bounds around it. Values between the bounds are
     counted and ranked; of those below and above, only the count and the nearest value are
     kept, as a rank may be one beside a bound. A rank further out raises an error.
+    The brackets are written first: their size is then known, so they travel to the rows. By
+    their estimate, that of the sketches, all rows of a group would be sorted in one task.
     """
     keys, x = [*by, "measure"], F.col("x")
     probs = sorted(float(p) for p in probs)
@@ -51,7 +55,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     sketch = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.percentile_approx("x", lows + highs, accuracy).alias("s"))
     lo, hi = [f"lo{i}" for i in range(k)], [f"hi{i}" for i in range(k)]
-    brackets = sketch.select(*keys, "n", *[F.col("s")[i].alias(c) for i, c in enumerate(lo + hi)])
+    brackets = materialise(
+        sketch.select(*keys, "n", *[F.col("s")[i].alias(c) for i, c in enumerate(lo + hi)]), "brackets")
     # Values outside all brackets only count: those between the same bounds become one cell.
     reached = sum((x >= F.col(c)).cast("int") for c in lo)
     passed = sum((x > F.col(c)).cast("int") for c in hi)
