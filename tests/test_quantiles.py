@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,6 +9,8 @@ from hypothesis import strategies as st
 from tests.conftest import frame
 from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles
 from tidepanel.operators.correlation import spearman_pairs
+from tidepanel.operators.reshape import measure_summary
+from tidepanel.panel import PanelSpec
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -71,6 +74,18 @@ def test_groups_are_not_joined_in_one_task(large):
     assert table(got) == {(c, "x", 0.5): of(k) for k, c in enumerate("abc")}
 
 
+def test_measures_are_not_joined_in_one_task(large):
+    """The same where a measure is the whole group."""
+    got = measure_summary(large, PanelSpec(), ["x", "y"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "raise_error" in plan and not re.search(r"SortMergeJoin \[measure#\d+\], \[measure#\d+\], Inner", plan)
+    got = {r["measure"]: r for r in got.collect()}
+    assert (got["x"]["p25"], got["x"]["p50"], got["x"]["count"]) == (14999.75, 29999.5, 60_000)
+    y = [i % 11 for i in range(60_000) if i % 11 >= 2]
+    assert [got["y"][c] for c in ("p25", "p50", "p75")] == [float(np.quantile(y, p)) for p in (0.25, 0.5, 0.75)]
+    assert got["y"]["missing_pct"] == pytest.approx((60_000 - len(y)) / 600)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60), st.sampled_from([0.0, 0.3, 0.5, 0.95]))
 def test_any_values(spark, values, p):
