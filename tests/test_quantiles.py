@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -8,9 +9,11 @@ from hypothesis import strategies as st
 
 from tests.conftest import frame
 from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles
+from tidepanel.operators import correlation
 from tidepanel.operators.correlation import spearman_pairs
 from tidepanel.operators.reshape import measure_summary
 from tidepanel.panel import PanelSpec
+from tidepanel.session import materialise
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -125,3 +128,35 @@ def test_spearman_of_many_pairs(spark):
     rank = lambda v: np.array([(np.searchsorted(s, x) + np.searchsorted(s, x, "right") + 1) / 2 for s in [np.sort(v)] for x in v])
     assert got["a", "b"] == pytest.approx(np.corrcoef(rank(a[known]), rank(b[known]))[0, 1])
     assert len(got) == 6 and got["a", "c"] is None and got["c", "d"] is None
+
+
+@pytest.mark.parametrize("travel,held", [(1 << 16, 1 << 21), (20, 1 << 21), (20, 1)])
+def test_spearman_ranks_a_measure_once(spark, monkeypatch, travel, held):
+    """Rows are not repeated for each pair, whether ranks travel to them or are shuffled."""
+    monkeypatch.setattr(correlation, "TRAVEL", travel)
+    monkeypatch.setattr(correlation, "HELD", held)
+    written = []
+
+    def kept(df, label):
+        done = materialise(df, label)
+        written.append((label, done.count()))
+        return done
+
+    monkeypatch.setattr(correlation, "materialise", kept)
+    rng = np.random.default_rng(9)
+    m = 4000
+    a, b, c = rng.integers(0, 10, m) * 1.0, rng.integers(0, 900, m) * 1.0, rng.normal(0, 1, m)
+    b += 40 * a
+    none = {"a": rng.random(m) < 0.3, "b": np.zeros(m, bool), "c": rng.random(m) < 0.5, "d": a > 4}
+    cols = {"a": a, "b": b, "c": c, "d": b % 7 - c}
+    rows = [tuple(None if none[k][i] else float(cols[k][i]) for k in cols) for i in range(m)]
+    df = frame(spark, rows + rows[:50], ", ".join(f"{k} double" for k in cols)).repartition(5)
+    got = {(r["a"], r["b"]): r["rho"] for r in spearman_pairs(df, list(cols)).collect()}
+    rank = lambda v: np.array([(np.searchsorted(s, x) + np.searchsorted(s, x, "right") + 1) / 2 for s in [np.sort(v)] for x in v])
+    at = np.r_[0:m, 0:50]
+    for x, y in combinations(cols, 2):
+        both = at[~none[x][at] & ~none[y][at]]
+        want = np.corrcoef(rank(cols[x][both]), rank(cols[y][both]))[0, 1]
+        assert got[x, y] == pytest.approx(want, abs=1e-12)
+    distinct = sum(len({r[i] for r in rows if r[i] is not None}) for i in range(4))
+    assert len(got) == 6 and written and max(n for _, n in written) == distinct

@@ -31,6 +31,9 @@ def _moments(batches: Iterator[pa.RecordBatch], shift: list[float]) -> Iterator[
         [pa.array(i * k + j, pa.int32()), *[pa.array(t[i, j]) for t in total]], names=["i", *_SUMS])
 
 
+# Up to so many ranked values are sent to every task, or held by a task of a shuffled join.
+TRAVEL = 1 << 16
+HELD = 1 << 21
 _SUMS = ("n", "x", "y", "xx", "yy", "xy")
 
 
@@ -95,45 +98,68 @@ def correlation_stability(df: DataFrame, spec: PanelSpec, regressors: Sequence[s
 def spearman_pairs(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """(a, b, rho) over rows where both are known, by average ranks; NULL without spread.
 
-    All pairs go through one job: equal pairs of values are one row before any sort, both sides
-    of all pairs are ranked together, and the ranks join back.
+    A measure has the same ranks in all its pairs with measures that lack no row. So its values
+    are counted and ranked once among all rows, and once more for each measure with gaps. Then
+    the ranks join the rows, measure by measure, and one pass sums the products of all pairs.
     """
     got = present(df, measures)
-    pairs = list(combinations(got, 2))
-    x = lambda c: F.col(c).cast("double")
-    each = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), x(a).alias("x"), x(b).alias("y")) for i, (a, b) in enumerate(pairs)])))
-    cells = materialise(each.where("x is not null and y is not null").groupBy("pair", "x", "y")
-                        .agg(F.count(F.lit(1)).alias("w")), "cells")
-    side = lambda c: F.struct(F.lit(c).alias("side"), F.col(c).alias("value"), "w")
-    counts = (cells.select("pair", F.inline(F.array(side("x"), side("y"))))
-              .groupBy("pair", "side", "value").agg(F.sum("w").alias("count")))
-    ranks = materialise(group_ranks(counts, ["pair", "side"]), "ranks")
-    of = lambda c: ranks.where(F.col("side") == c).select("pair", F.col("value").alias(c), F.col("rank").alias(f"r{c}"))
-    ranked = cells.join(of("x"), ["pair", "x"]).join(of("y"), ["pair", "y"])
-    n, sx, sy = F.sum("w"), F.sum(F.col("w") * F.col("rx")), F.sum(F.col("w") * F.col("ry"))
-    prod = lambda p, q: F.sum(F.col("w") * F.col(p) * F.col(q))
-    cov = prod("rx", "ry") - sx * sy / n
-    vx, vy = prod("rx", "rx") - sx * sx / n, prod("ry", "ry") - sy * sy / n
-    rho = ranked.groupBy("pair").agg((cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))).alias("rho"))
-    names = df.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])))
-    return names.join(rho, "pair", "left").select("a", "b", "rho")
-
-
-def group_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., value, rank): average ranks within each group of values that occur ``count`` times.
-
-    Groups and values are dealt by ranges, so a large group lies in many; the sizes of a group's
-    earlier ranges are added to the ranks within one.
+    pairs = list(combinations(range(len(got)), 2))
+    rows = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(got)])
+    total, *known = rows.agg(F.count(F.lit(1)), *[F.count(c) for c in rows.columns]).first()
+    gaps = [i for i, n in enumerate(known) if n < total]
+    among = [gaps.index(i) + 1 if i in gaps else 0 for i in range(len(got))]
+    counted = [F.lit(1).alias("n0"), *[F.col(f"v{g}").isNotNull().cast("int").alias(f"n{among[g]}") for g in gaps]]
+    n = [f"n{s}" for s in range(len(counted))]
+    each = rows.select(*counted, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("measure"), F.col(c).alias("value")) for i, c in enumerate(rows.columns)])))
+    counts = each.where("value is not null").groupBy("measure", "value").agg(*[F.sum(c).alias(c) for c in n])
+    ranks = materialise(group_ranks(counts, ["measure"], n), "ranks")
+    spread = {r["measure"]: r for r in ranks.groupBy("measure").agg(
+        F.count(F.lit(1)).alias("values"),
+        *[F.sum(F.col(c) * F.col(f"rank_{c}") * F.col(f"rank_{c}")).alias(c) for c in n]).collect()}
+    rank = lambda i, j: f"r{i}_{among[j]}"  # noqa: E731  the column of i's ranks among the rows that know j
+    # Ranks of many values are shuffled, while the rows are narrow; others travel to the rows.
+    held = HELD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for i in sorted(spread, key=lambda i: -spread[i]["values"]):
+        sets = sorted({among[j] for j in range(len(got)) if j != i})
+        of = ranks.where(F.col("measure") == i).select(
+            F.col("value").alias(f"v{i}"), *[F.col(f"rank_n{s}").alias(f"r{i}_{s}") for s in sets])
+        values = spread[i]["values"]
+        way = "broadcast" if values <= TRAVEL else "shuffle_hash" if values <= held else "merge"
+        rows = rows.join(of.hint(way), f"v{i}", "left").drop(f"v{i}")
+    both = [(i, j) for i, j in pairs if i in spread and j in spread]
+    sums = rows.agg(F.lit(0).alias("_"), *[
+        F.sum(F.col(rank(i, j)) * F.col(rank(j, i))).alias(f"s{i}_{j}") for i, j in both])
+
+    def rho(i: int, j: int):
+        if (i, j) not in both:
+            return F.lit(None).cast("double")
+        square = F.lit(spread[i][n[among[j]]]) * F.lit(spread[j][n[among[i]]])
+        return F.col(f"s{i}_{j}") / F.nullif(F.sqrt(square), F.lit(0.0))
+
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(got[i]).alias("a"), F.lit(got[j]).alias("b"), rho(i, j).alias("rho")) for i, j in pairs])))
+
+
+def group_ranks(counts: DataFrame, keys: Sequence[str], among: Sequence[str]) -> DataFrame:
+    """(keys..., value, and for each count c of ``among``: c, rank_c), a row for each value of a group.
+
+    ``rank_c`` is the average rank within the group, where the value occurs ``c`` times, less the
+    mean of all ranks, which keeps sums of products small. Groups and values are dealt by ranges,
+    so a large group lies in many; the sizes of a group's earlier ranges are added to the ranks
+    within one.
     """
     keys = list(keys)
     ranged = materialise(counts.repartitionByRange(*keys, "value")
                          .withColumn("_range", F.spark_partition_id()), "ranges")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy(*keys, "_range").agg(F.sum("count").alias("_n")).select(
-        *keys, "_range", F.coalesce(F.sum("_n").over(before(Window.partitionBy(*keys).orderBy("_range"))),
-                                    F.lit(0)).alias("_start"))
-    inner = F.coalesce(F.sum("count").over(before(Window.partitionBy(*keys, "_range").orderBy("value"))), F.lit(0))
-    return ranged.withColumn("_inner", inner).join(starts, [*keys, "_range"]).select(
-        *keys, "value", (F.col("_start") + F.col("_inner") + (F.col("count") + 1) / 2).alias("rank"))
+    group = Window.partitionBy(*keys)
+    starts = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_{c}") for c in among]).select(
+        *keys, "_range", *[x for c in among for x in (
+            F.coalesce(F.sum(f"_{c}").over(before(group.orderBy("_range"))), F.lit(0)).alias(f"_start_{c}"),
+            F.sum(f"_{c}").over(group).alias(f"_all_{c}"))])
+    within = before(Window.partitionBy(*keys, "_range").orderBy("value"))
+    inner = ranged.withColumns({f"_inner_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in among})
+    rank = lambda c: F.col(f"_start_{c}") + F.col(f"_inner_{c}") + (F.col(c) - F.col(f"_all_{c}")) / 2
+    return inner.join(starts, [*keys, "_range"]).select(
+        *keys, "value", *among, *[rank(c).alias(f"rank_{c}") for c in among])
