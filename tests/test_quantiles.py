@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import frame
+from tidepanel.functions import quantiles
 from tidepanel.functions.quantiles import approx_quantiles, exact_quantiles
 from tidepanel.operators import correlation
 from tidepanel.operators.correlation import spearman_pairs
@@ -77,6 +78,38 @@ def test_groups_are_not_joined_in_one_task(large):
     assert table(got) == {(c, "x", 0.5): of(k) for k, c in enumerate("abc")}
 
 
+@pytest.fixture
+def unsent(spark):
+    """A session that broadcasts nothing unless told to."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_groups_are_not_joined_in_one_task_without_a_broadcast_limit(large, unsent):
+    test_groups_are_not_joined_in_one_task(large)
+
+
+@pytest.mark.parametrize("held", [0, 100, 1 << 20])
+def test_many_brackets(skewed, monkeypatch, unsent, held):
+    """With too many brackets to travel, only those of large groups do; NULL is no group."""
+    monkeypatch.setattr(quantiles, "TRAVEL", 2)
+    monkeypatch.setattr(quantiles, "HELD", held)
+    df, rows = skewed
+    df = df.unionByName(df.selectExpr("cast(null as string) as city", "x", "y"))
+    got = exact_quantiles(df, ["city"], ["x", "y"], PROBS)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin .*LeftAnti", plan) and re.search(r"SortMergeJoin .*Inner", plan)
+    got = table(got)
+    want = {}
+    for city in ("hot", "small", "one"):
+        for i, name in ((1, "x"), (2, "y")):
+            values = [r[i] for r in rows if r[0] == city and r[i] is not None]
+            want |= {(city, name, p): np.quantile(values, p) for p in PROBS if values}
+    assert got == pytest.approx(want)
+
+
 def test_measures_are_not_joined_in_one_task(large):
     """The same where a measure is the whole group."""
     got = measure_summary(large, PanelSpec(), ["x", "y"])

@@ -17,6 +17,9 @@ from tidepanel.session import materialise
 
 # A bracket holds a share of 4 / ACCURACY of its group: 40,000 of a billion values.
 ACCURACY = 100_000
+# Up to so many brackets travel to the rows. Of more, those of groups of more than HELD values do.
+TRAVEL = 1 << 16
+HELD = 1 << 20
 
 
 def melt(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
@@ -36,6 +39,17 @@ def approx_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     return out.select(*by, "measure", F.inline(cells))
 
 
+def _bracketed(long: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the brackets of their group. A join by group sorts a whole group in one task,
+    so only groups of at most HELD values are joined so; large groups are few."""
+    if brackets.count() <= TRAVEL:
+        return long.join(F.broadcast(brackets), keys)
+    large = brackets.where(F.col("n") > HELD)
+    small = brackets.where(F.col("n") <= HELD)
+    rest = long.join(F.broadcast(large.select(*keys)), keys, "left_anti")
+    return long.join(F.broadcast(large), keys).unionByName(rest.join(small, keys))
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
                     probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """(by..., measure, prob, q): linear interpolation between order statistics.
@@ -43,8 +57,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     Per wanted rank the sketch gives two bounds around it. Values between the bounds are
     counted and ranked; of those below and above, only the count and the nearest value are
     kept, as a rank may be one beside a bound. A rank further out raises an error.
-    The brackets are written first: their size is then known, so they travel to the rows. By
-    their estimate, that of the sketches, all rows of a group would be sorted in one task.
+    The brackets are written first: their number is then known, so that they travel to the rows
+    whatever the session's limit of broadcasts, and no task sorts all rows of a large group.
     """
     keys, x = [*by, "measure"], F.col("x")
     probs = sorted(float(p) for p in probs)
@@ -62,7 +76,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], measures: Sequence[str],
     passed = sum((x > F.col(c)).cast("int") for c in hi)
     inside = F.array_max(F.array(*[(x >= F.col(a)) & (x <= F.col(b)) for a, b in zip(lo, hi)]))
     cells = (
-        long.join(brackets, keys)
+        _bracketed(long, brackets, keys)
         .groupBy(*keys, reached.alias("g1"), passed.alias("g2"), F.when(inside, x).alias("v"))
         .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"), F.max("x").alias("top"),
              F.first("n").alias("n"), *[F.first(c).alias(c) for c in lo + hi])
