@@ -122,6 +122,10 @@ def test_measures_are_not_joined_in_one_task(large):
     assert got["y"]["missing_pct"] == pytest.approx((60_000 - len(y)) / 600)
 
 
+def test_measures_are_not_joined_in_one_task_without_a_broadcast_limit(large, unsent):
+    test_measures_are_not_joined_in_one_task(large)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60), st.sampled_from([0.0, 0.3, 0.5, 0.95]))
 def test_any_values(spark, values, p):
